@@ -10,18 +10,33 @@ from procwarden.functions import text as X
 from procwarden.functions.timeparts import hour_or_null
 from procwarden.operators.clean import drop_helpers, prepare
 
-child, parent, cmd = F.col("_child"), F.col("_parent"), F.col("_cmd")
-matched = F.col("pair_desc").isNotNull()
+
+def child():
+    return F.col("_child")
+
+
+def parent():
+    return F.col("_parent")
+
+
+def cmd():
+    return F.col("_cmd")
+
+
+def matched():
+    return F.col("pair_desc").isNotNull()
+
+
 
 # (points, text, condition) in the order in which they are listed.
 MODIFIERS = [
     (20, "+20 Office→Script chain",
-     lambda: parent.isin(V.OFFICE_APPS) & child.isin(V.SCRIPT_ENGINES)),
-    (15, "+15 URL in command", lambda: F.rlike(cmd, F.lit("https?://"))),
-    (10, "+10 LOLBin child", lambda: child.isin(V.CHAIN_BINARIES) & ~matched),
+     lambda: parent().isin(V.OFFICE_APPS) & child().isin(V.SCRIPT_ENGINES)),
+    (15, "+15 URL in command", lambda: F.rlike(cmd(), F.lit("https?://"))),
+    (10, "+10 LOLBin child", lambda: child().isin(V.CHAIN_BINARIES) & ~matched()),
     (10, "+10 off-hours", lambda: hour_or_null(F.col("UtcTime")).between(0, 5)),
-    (10, "+10 encoded command", lambda: X.contains_any(cmd, ["-enc ", "-encodedcommand"])),
-    (5, "+5 suspicious flags", lambda: X.contains_any(cmd, V.CHAIN_FLAGS)),
+    (10, "+10 encoded command", lambda: X.contains_any(cmd(), ["-enc ", "-encodedcommand"])),
+    (5, "+5 suspicious flags", lambda: X.contains_any(cmd(), V.CHAIN_FLAGS)),
 ]
 
 
@@ -59,13 +74,13 @@ def score_chains(df: DataFrame) -> DataFrame:
                  F.coalesce("pair_score", F.lit(0)))
     listed = F.concat_ws(", ", *[F.when(F.col(f"_mod{i}"), t)
                                  for i, (_, t, _) in enumerate(MODIFIERS)])
-    base = F.concat(parent, F.lit(" → "), child, F.lit(": "),
+    base = F.concat(parent(), F.lit(" → "), child(), F.lit(": "),
                     F.coalesce("pair_desc", F.lit("No known suspicious pattern")))
     return paired.withColumns({
         "chain_risk_score": F.least(points, F.lit(100)),
         "chain_description": F.when(listed == "", base).otherwise(
             F.concat(base, F.lit(" [Modifiers: "), listed, F.lit("]"))),
-        "chain_matched_pattern": matched,
+        "chain_matched_pattern": matched(),
     }).drop("pair_score", "pair_desc", *hits)
 
 

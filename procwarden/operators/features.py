@@ -13,17 +13,38 @@ from procwarden.operators.clean import drop_helpers, prepare
 from procwarden.operators.encoders import Encoder, encode
 from procwarden.operators.lookup import lookup_join
 
-child, parent, cmd = F.col("_child"), F.col("_parent"), F.col("_cmd")
-line, user, when_text = F.col("CommandLine"), F.col("User"), F.col("UtcTime")
+
+def child():
+    return F.col("_child")
+
+
+def parent():
+    return F.col("_parent")
+
+
+def cmd():
+    return F.col("_cmd")
+
+
+def line():
+    return F.col("CommandLine")
+
+
+def user():
+    return F.col("User")
+
+
+def when_text():
+    return F.col("UtcTime")
 
 
 def ancestry_depth():
     near = V.SCRIPT_ENGINES + V.OFFICE_APPS + V.BROWSERS
-    return F.when(parent.isin(V.ROOT_PROCESSES), 1).when(parent.isin(near), 2).otherwise(3)
+    return F.when(parent().isin(V.ROOT_PROCESSES), 1).when(parent().isin(near), 2).otherwise(3)
 
 
 def chain_hash():
-    digest = F.md5(F.concat(parent, F.lit(">"), child).cast("binary"))
+    digest = F.md5(F.concat(parent(), F.lit(">"), child()).cast("binary"))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
@@ -37,30 +58,30 @@ def integrity_code():
 
 # Features of one row alone, over the prepared columns.
 ROW_FEATURES = {
-    "is_known_lolbin": lambda: X.flag(child.isin(V.KNOWN_BINARIES)),
-    "is_scripting_engine": lambda: X.flag(child.isin(V.SCRIPT_ENGINES)),
-    "command_line_length": lambda: F.length(line),
-    "command_line_entropy": lambda: X.shannon_entropy(line),
-    "has_suspicious_flag": lambda: X.flag(X.contains_any(cmd, V.SUSPICIOUS_FLAGS)),
-    "contains_url": lambda: X.flag(F.rlike(line, F.lit(V.URL_PATTERN))),
-    "contains_ip_address": lambda: X.flag(F.rlike(line, F.lit(V.IP_PATTERN))),
-    "has_base64_pattern": lambda: X.flag(F.rlike(line, F.lit(V.BASE64_PATTERN))),
-    "argument_count": lambda: F.size(X.tokens(line)),
-    "suspicious_argument_ratio": lambda: X.flagged_share(cmd),
+    "is_known_lolbin": lambda: X.flag(child().isin(V.KNOWN_BINARIES)),
+    "is_scripting_engine": lambda: X.flag(child().isin(V.SCRIPT_ENGINES)),
+    "command_line_length": lambda: F.length(line()),
+    "command_line_entropy": lambda: X.shannon_entropy(line()),
+    "has_suspicious_flag": lambda: X.flag(X.contains_any(cmd(), V.SUSPICIOUS_FLAGS)),
+    "contains_url": lambda: X.flag(F.rlike(line(), F.lit(V.URL_PATTERN))),
+    "contains_ip_address": lambda: X.flag(F.rlike(line(), F.lit(V.IP_PATTERN))),
+    "has_base64_pattern": lambda: X.flag(F.rlike(line(), F.lit(V.BASE64_PATTERN))),
+    "argument_count": lambda: F.size(X.tokens(line())),
+    "suspicious_argument_ratio": lambda: X.flagged_share(cmd()),
     "has_encoded_command": lambda: X.flag(
-        X.contains_any(cmd, ["-enc ", "-enc\t", "-encodedcommand"])
-        | F.endswith(cmd, F.lit("-enc"))),
-    "has_download_indicator": lambda: X.flag(X.contains_any(cmd, V.DOWNLOAD_INDICATORS)),
+        X.contains_any(cmd(), ["-enc ", "-enc\t", "-encodedcommand"])
+        | F.endswith(cmd(), F.lit("-enc"))),
+    "has_download_indicator": lambda: X.flag(X.contains_any(cmd(), V.DOWNLOAD_INDICATORS)),
     "process_ancestry_depth": ancestry_depth,
-    "parent_is_office_app": lambda: X.flag(parent.isin(V.OFFICE_APPS)),
-    "parent_is_browser": lambda: X.flag(parent.isin(V.BROWSERS)),
-    "parent_is_script_engine": lambda: X.flag(parent.isin(V.SCRIPT_ENGINES)),
+    "parent_is_office_app": lambda: X.flag(parent().isin(V.OFFICE_APPS)),
+    "parent_is_browser": lambda: X.flag(parent().isin(V.BROWSERS)),
+    "parent_is_script_engine": lambda: X.flag(parent().isin(V.SCRIPT_ENGINES)),
     "chain_hash": chain_hash,
-    "hour_of_day": lambda: T.hour_of_day(when_text),
-    "is_off_hours": lambda: X.flag(T.hour_of_day(when_text).between(0, 5)),
-    "is_weekend": lambda: T.is_weekend(when_text),
-    "minute_of_hour": lambda: T.minute_of_hour(when_text),
-    "is_system_user": lambda: X.flag(X.contains_any(F.upper(user), ["NT AUTHORITY", "SYSTEM"])),
+    "hour_of_day": lambda: T.hour_of_day(when_text()),
+    "is_off_hours": lambda: X.flag(T.hour_of_day(when_text()).between(0, 5)),
+    "is_weekend": lambda: T.is_weekend(when_text()),
+    "minute_of_hour": lambda: T.minute_of_hour(when_text()),
+    "is_system_user": lambda: X.flag(X.contains_any(F.upper(user()), ["NT AUTHORITY", "SYSTEM"])),
     "integrity_encoded": integrity_code,
 }
 
@@ -102,7 +123,7 @@ CODED = [
 
 
 def label_codes(prepared: DataFrame, encoders: dict[str, Encoder]) -> DataFrame:
-    df = prepared.withColumn("_user", F.lower(user))
+    df = prepared.withColumn("_user", F.lower(user()))
     for name, value, encoder in CODED:
         df = encode(df, value, encoders[encoder], name)
     return df.drop("_user")

@@ -51,13 +51,15 @@ def running_totals(df: DataFrame, order: str, totals: dict[str, str], n_rows: in
     return out.drop("_range", *[f"_off_{v}" for v in totals])
 
 
-def exact_quantiles(df: DataFrame, group: str, value: str, probs: dict[str, float],
+def exact_quantiles(counts: DataFrame, group: str, value: str, probs: dict[str, float],
                     n_rows: int) -> DataFrame:
-    """Interpolated quantiles per group over distinct-value counts."""
-    counts = df.groupBy(group, value).agg(F.count("*").alias("_n"))
+    """Interpolated quantiles per group.
+
+    ``counts`` holds (group, value, _n), one row per distinct value, ``n_rows``
+    rows in all; pass it with its lineage cut, since it is read three times.
+    """
     run = running_totals(counts, value, {"_n": "_upto"}, n_rows, groups=[group])
-    sizes = df.groupBy(group).agg(F.count("*").alias("_total"))
-    run = run.join(sizes, group)
+    run = run.join(counts.groupBy(group).agg(F.sum("_n").alias("_total")), group)
     out = []
     for name, p in probs.items():
         pos = F.lit(p) * (F.col("_total") - 1)
@@ -65,6 +67,5 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: dict[str, floa
         first = F.col("_upto") - F.col("_n")
         v_lo = F.max(F.when((first <= lo) & (lo < F.col("_upto")), F.col(value)))
         v_hi = F.max(F.when((first <= hi) & (hi < F.col("_upto")), F.col(value)))
-        frac = F.max(pos - lo)
-        out.append((v_lo + (v_hi - v_lo) * frac).alias(name))
+        out.append((v_lo + (v_hi - v_lo) * F.max(pos - lo)).alias(name))
     return run.groupBy(group).agg(*out)

@@ -91,6 +91,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A tiny input in fewer files than cores is spread over the cores.
+
+    Large inputs already have more splits than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
+
+
+def plain_base64(column: str) -> Column:
+    """Base64 text without line breaks."""
+    return F.translate(F.base64(F.encode(F.col(column), "UTF-8")), "\r\n", "")
+
+
 def pick(values: list, index: Column) -> Column:
     """The list element at a zero-based index."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
@@ -98,7 +113,7 @@ def pick(values: list, index: Column) -> Column:
 
 def process_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One process event per row of ``events``."""
-    e = read_table(spark, sf_dir, "events")
+    e = spread(read_table(spark, sf_dir, "events").drop("value"))
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     n_pages, n_docs = pages.count(), docs.count()  # answered from file footers
@@ -120,9 +135,9 @@ def process_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = (
         F.when(kind == "url", F.col("url"))
         .when(kind == "props", F.col("props"))
-        .when(kind == "props64", F.base64(F.encode(F.col("props"), "UTF-8")))
+        .when(kind == "props64", plain_base64("props"))
         .when(kind == "doc", F.col("text"))
-        .when(kind == "doc64", F.base64(F.encode(F.col("text"), "UTF-8")))
+        .when(kind == "doc64", plain_base64("text"))
         .otherwise("")
     )
     image = pick(IMAGES, (eid * 7 + uid) % len(IMAGES))
