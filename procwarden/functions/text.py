@@ -1,9 +1,10 @@
-"""Column expressions over paths and command lines."""
+"""SQL expressions over paths and command lines.
 
-from __future__ import annotations
+The functions take and give Spark SQL text, so that an expression with dozens
+of constants is handed to Spark in one piece.  ``col`` turns it into a column.
+"""
 
-from functools import reduce
-from operator import or_
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,74 +12,83 @@ from pyspark.sql import functions as F
 from procwarden.fixed_values import SUSPICIOUS_FLAGS, WHITESPACE_PATTERN
 
 
-def text(c: Column) -> Column:
-    """Null becomes the empty string."""
-    return F.coalesce(c.cast("string"), F.lit(""))
+def col(sql: str) -> Column:
+    return F.expr(sql)
 
 
-def basename(c: Column, lower: bool = True) -> Column:
-    """Last segment of a Windows path; empty or null gives ``unknown``."""
-    last = F.substring_index(F.replace(c, F.lit("/"), F.lit("\\")), "\\", -1)
-    name = F.lower(last) if lower else last
-    return F.when(c.isNull() | (c == ""), F.lit("unknown")).otherwise(name)
+def quoted(value: str) -> str:
+    """A string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def any_of(parts: list[Column]) -> Column:
-    return reduce(or_, parts, F.lit(False)) if not parts else reduce(or_, parts)
+def number(value: float) -> str:
+    """A double literal with all digits."""
+    return f"({float(value)!r}D)"
 
 
-def contains_any(c: Column, needles: list[str]) -> Column:
-    return any_of([F.contains(c, F.lit(n)) for n in needles])
+def name_list(values: list[str]) -> str:
+    return "(" + ", ".join(quoted(v) for v in values) + ")"
 
 
-def flag(condition: Column) -> Column:
+def filled(c: str) -> str:
+    """Null becomes the empty string."""
+    return f"coalesce(cast({c} AS string), '')"
+
+
+def basename(c: str, lower: bool = True) -> str:
+    """Last segment of a Windows path; empty or null gives ``unknown``."""
+    last = f"substring_index(replace({c}, '/', '\\\\'), '\\\\', -1)"
+    return (f"CASE WHEN {c} IS NULL OR {c} = '' THEN 'unknown' "
+            f"ELSE {f'lower({last})' if lower else last} END")
+
+
+def contains_any(c: str, needles: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({c}, {quoted(n)})" for n in needles) + ")"
+
+
+def flag(condition: str) -> str:
     """Boolean to 0/1; null counts as 0."""
-    return F.coalesce(condition, F.lit(False)).cast("int")
+    return f"cast(coalesce({condition}, false) AS int)"
 
 
-def half_even(c: Column, digits: int) -> Column:
+def half_even(c: Column | str, digits: int) -> Column | str:
     """Round half to even with the same floating-point steps in every engine."""
     scale = float(10 ** digits)
+    if isinstance(c, str):
+        return f"(rint(({c}) * {number(scale)}) / {number(scale)})"
     return F.rint(c * F.lit(scale)) / F.lit(scale)
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and hand it to ``body``."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def let(name: str, value: str, body: str) -> str:
+    """Evaluate ``value`` once and use it as ``name`` in ``body``."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def shannon_entropy(c: Column) -> Column:
+def shannon_entropy(c: str) -> str:
     """Bits per character, 4 decimals; empty text gives 0.
 
     How often a character occurs follows from the bytes lost when it is
     removed, so the work is one scan per distinct character, in built-in
     functions.  Byte lengths are known without a scan.
     """
-    distinct = F.filter(F.array_distinct(F.split(c, "")), lambda ch: ch != "")
-    counts = F.transform(
-        distinct,
-        lambda ch: (F.octet_length(c) - F.octet_length(F.replace(c, ch, F.lit(""))))
-        / F.octet_length(ch))
-    bits = let(counts, lambda ks: let(
-        F.aggregate(ks, F.lit(0.0), lambda acc, k: acc + k),
-        lambda n: F.aggregate(ks, F.lit(0.0), lambda acc, k: acc - (k / n) * F.log2(k / n))))
-    return F.when(c == "", F.lit(0.0)).otherwise(half_even(bits, 4))
-
-
-def tokens(c: Column) -> Column:
+    counts = (f"transform(filter(array_distinct(split({c}, '')), ch -> ch != ''), ch -> "
+              f"(octet_length({c}) - octet_length(replace({c}, ch, ''))) / octet_length(ch))")
+    bits = "aggregate(ks, 0D, (acc, k) -> acc - (k / n) * log2(k / n))"
+    bits = let("ks", counts, let("n", "aggregate(ks, 0D, (acc, k) -> acc + k)", bits))
+    return f"CASE WHEN {c} = '' THEN 0D ELSE {half_even(bits, 4)} END"
+
+
+def tokens(c: str) -> str:
     """White-space separated arguments."""
-    return F.filter(F.split(c, WHITESPACE_PATTERN), lambda t: t != "")
+    return f"filter(split({c}, {quoted(WHITESPACE_PATTERN)}), t -> t != '')"
 
 
-def flagged_share(c_lower: Column) -> Column:
+def flagged_share(c_lower: str) -> str:
     """Share of arguments that hold a suspicious flag, 4 decimals.
 
     Only a line that holds some flag is split; all others have share 0.
     """
-    def share(args: Column) -> Column:
-        hits = F.size(F.filter(args, lambda t: contains_any(t, SUSPICIOUS_FLAGS)))
-        return F.when(F.size(args) == 0, F.lit(0.0)).otherwise(
-            half_even(hits.cast("double") / F.size(args), 4))
-
-    return F.when(contains_any(c_lower, SUSPICIOUS_FLAGS), let(tokens(c_lower), share)).otherwise(
-        F.lit(0.0))
+    hits = f"size(filter(args, t -> {contains_any('t', SUSPICIOUS_FLAGS)}))"
+    share = f"CASE WHEN size(args) = 0 THEN 0D ELSE {half_even(f'{hits} / size(args)', 4)} END"
+    return (f"CASE WHEN {contains_any(c_lower, SUSPICIOUS_FLAGS)} "
+            f"THEN {let('args', tokens(c_lower), share)} ELSE 0D END")

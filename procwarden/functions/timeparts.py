@@ -1,25 +1,18 @@
-"""Clock parts of the event time text."""
+"""Clock parts of the event time text, as SQL expressions."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def hour_or_null(c: str) -> str:
+    """Hour of an ISO text, null when it cannot be read."""
+    return f"hour(try_to_timestamp({c}))"
 
-def parsed(c: Column) -> Column:
-    """Timestamp of an ISO text, null when it cannot be read."""
-    return F.try_to_timestamp(c)
 
+def hour_of_day(c: str) -> str:
+    return f"coalesce({hour_or_null(c)}, 12)"
 
-def hour_or_null(c: Column) -> Column:
-    return F.hour(parsed(c))
 
+def minute_of_hour(c: str) -> str:
+    return f"coalesce(minute(try_to_timestamp({c})), 0)"
 
-def hour_of_day(c: Column) -> Column:
-    return F.coalesce(hour_or_null(c), F.lit(12))
 
-
-def minute_of_hour(c: Column) -> Column:
-    return F.coalesce(F.minute(parsed(c)), F.lit(0))
-
-
-def is_weekend(c: Column) -> Column:
-    return F.coalesce((F.weekday(parsed(c)) >= 5).cast("int"), F.lit(0))
+def is_weekend(c: str) -> str:
+    return f"coalesce(cast(weekday(try_to_timestamp({c})) >= 5 AS int), 0)"

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from procwarden.functions.text import half_even, shannon_entropy
+from procwarden.functions.text import col, half_even, shannon_entropy
 from procwarden.operators.clean import prepare
 from procwarden.session import cut_lineage
 
@@ -35,7 +36,7 @@ def pair_profile(benign: DataFrame) -> DataFrame:
     rows = prepare(benign).select(
         F.col("_parent").alias("parent"), F.col("_child").alias("child"),
         F.length("CommandLine").cast("double").alias("len"),
-        shannon_entropy(F.col("CommandLine")).alias("ent"),
+        col(shannon_entropy("CommandLine")).alias("ent"),
     )
     return rows.groupBy("parent", "child").agg(
         F.count("*").alias("n"),
@@ -78,9 +79,7 @@ def fit_baseline(benign: DataFrame) -> Baseline:
     ss = profile.agg(spread("len_var", "len_mean", lm).alias("l"),
                      spread("ent_var", "ent_mean", em).alias("e")).first()
     divisor = max(n - 1, 1)
-    rarest = profile.agg(half_even(
-        -F.log10(F.greatest(F.lit(head["rarest"] / n), F.lit(FREQ_FLOOR))) + 1.0, 4
-    ).alias("r")).first()["r"]
+    rarest = round((1.0 - math.log10(max(head["rarest"] / n, FREQ_FLOOR))) * 1e4) / 1e4
     return Baseline(
         events=n,
         length_mean=lm, length_std=max((ss["l"] / divisor) ** 0.5, LENGTH_STD_FLOOR),

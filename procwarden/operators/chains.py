@@ -11,41 +11,23 @@ from procwarden.functions.timeparts import hour_or_null
 from procwarden.operators.clean import drop_helpers, prepare
 
 
-def child():
-    return F.col("_child")
-
-
-def parent():
-    return F.col("_parent")
-
-
-def cmd():
-    return F.col("_cmd")
-
-
-def matched():
-    return F.col("pair_desc").isNotNull()
-
-
-
 # (points, text, condition) in the order in which they are listed.
 MODIFIERS = [
     (20, "+20 Office→Script chain",
-     lambda: parent().isin(V.OFFICE_APPS) & child().isin(V.SCRIPT_ENGINES)),
-    (15, "+15 URL in command", lambda: F.rlike(cmd(), F.lit("https?://"))),
-    (10, "+10 LOLBin child", lambda: child().isin(V.CHAIN_BINARIES) & ~matched()),
-    (10, "+10 off-hours", lambda: hour_or_null(F.col("UtcTime")).between(0, 5)),
-    (10, "+10 encoded command", lambda: X.contains_any(cmd(), ["-enc ", "-encodedcommand"])),
-    (5, "+5 suspicious flags", lambda: X.contains_any(cmd(), V.CHAIN_FLAGS)),
+     f"_parent IN {X.name_list(V.OFFICE_APPS)} AND _child IN {X.name_list(V.SCRIPT_ENGINES)}"),
+    (15, "+15 URL in command", "rlike(_cmd, 'https?://')"),
+    (10, "+10 LOLBin child", f"_child IN {X.name_list(V.CHAIN_BINARIES)} AND pair_desc IS NULL"),
+    (10, "+10 off-hours", f"{hour_or_null('UtcTime')} BETWEEN 0 AND 5"),
+    (10, "+10 encoded command", X.contains_any("_cmd", ["-enc ", "-encodedcommand"])),
+    (5, "+5 suspicious flags", X.contains_any("_cmd", V.CHAIN_FLAGS)),
 ]
 
 
 def pair_table(spark) -> DataFrame:
     """The fixed table of suspicious pairs."""
-    rows = [F.struct(F.lit(p).alias("_parent"), F.lit(c).alias("_child"),
-                     F.lit(s).alias("pair_score"), F.lit(d).alias("pair_desc"))
-            for p, c, s, d in V.SUSPICIOUS_PAIRS]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+    rows = ", ".join(f"({X.quoted(p)}, {X.quoted(c)}, {s}, {X.quoted(d)})"
+                     for p, c, s, d in V.SUSPICIOUS_PAIRS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(_parent, _child, pair_score, pair_desc)")
 
 
 def with_pair(prepared: DataFrame) -> DataFrame:
@@ -57,7 +39,7 @@ def with_pair(prepared: DataFrame) -> DataFrame:
 def modifier(i: int):
     """Points of one modifier; an unreadable time adds nothing."""
     points, _, condition = MODIFIERS[i]
-    return F.when(condition(), points).otherwise(0)
+    return X.col(f"CASE WHEN {condition} THEN {points} ELSE 0 END")
 
 
 def score_chains(df: DataFrame) -> DataFrame:
@@ -65,22 +47,17 @@ def score_chains(df: DataFrame) -> DataFrame:
 
     ``df`` has the helper columns of ``prepare``.
     """
-    paired = with_pair(df)
-    hits = {f"_mod{i}": F.coalesce(cond(), F.lit(False))
-            for i, (_, _, cond) in enumerate(MODIFIERS)}
-    paired = paired.withColumns(hits)
-    points = sum((F.when(F.col(f"_mod{i}"), p).otherwise(0)
-                  for i, (p, _, _) in enumerate(MODIFIERS)),
-                 F.coalesce("pair_score", F.lit(0)))
-    listed = F.concat_ws(", ", *[F.when(F.col(f"_mod{i}"), t)
-                                 for i, (_, t, _) in enumerate(MODIFIERS)])
-    base = F.concat(parent(), F.lit(" → "), child(), F.lit(": "),
-                    F.coalesce("pair_desc", F.lit("No known suspicious pattern")))
-    return paired.withColumns({
-        "chain_risk_score": F.least(points, F.lit(100)),
-        "chain_description": F.when(listed == "", base).otherwise(
-            F.concat(base, F.lit(" [Modifiers: "), listed, F.lit("]"))),
-        "chain_matched_pattern": matched(),
+    hits = {f"_mod{i}": X.col(f"coalesce({cond}, false)") for i, (_, _, cond) in enumerate(MODIFIERS)}
+    points = " + ".join(["coalesce(pair_score, 0)"] + [
+        f"CASE WHEN _mod{i} THEN {p} ELSE 0 END" for i, (p, _, _) in enumerate(MODIFIERS)])
+    listed = "concat_ws(', ', " + ", ".join(
+        f"CASE WHEN _mod{i} THEN {X.quoted(t)} END" for i, (_, t, _) in enumerate(MODIFIERS)) + ")"
+    base = "concat(_parent, ' → ', _child, ': ', coalesce(pair_desc, 'No known suspicious pattern'))"
+    return with_pair(df).withColumns(hits).withColumns({
+        "chain_risk_score": X.col(f"least({points}, 100)"),
+        "chain_description": X.col(
+            X.let("l", listed, f"CASE WHEN l = '' THEN {base} ELSE concat({base}, ' [Modifiers: ', l, ']') END")),
+        "chain_matched_pattern": F.col("pair_desc").isNotNull(),
     }).drop("pair_score", "pair_desc", *hits)
 
 

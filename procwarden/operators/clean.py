@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from procwarden.fixed_values import DETAIL_COLUMNS
-from procwarden.functions.text import basename, text
+from procwarden.functions.text import basename, col, filled
 from procwarden.schema import EVENT_KEY, TEXT_COLUMNS
 
 HELPERS = ["_child", "_parent", "_cmd"]
@@ -15,14 +15,14 @@ HELPERS = ["_child", "_parent", "_cmd"]
 def fill_text(events: DataFrame) -> DataFrame:
     """Text columns that are present: null becomes the empty string."""
     present = [c for c in TEXT_COLUMNS if c in events.columns]
-    return events.withColumns({c: text(F.col(c)) for c in present})
+    return events.withColumns({c: col(filled(c)) for c in present})
 
 
 def with_names(events: DataFrame) -> DataFrame:
     """Helper columns: child and parent base name, lower-cased command line."""
     return events.withColumns({
-        "_child": basename(F.col("Image")),
-        "_parent": basename(F.col("ParentImage")),
+        "_child": col(basename("Image")),
+        "_parent": col(basename("ParentImage")),
         "_cmd": F.lower(F.col("CommandLine")),
     })
 
@@ -38,8 +38,8 @@ def drop_helpers(df: DataFrame) -> DataFrame:
 def with_display_names(df: DataFrame) -> DataFrame:
     """Base names as written, for reports."""
     return df.withColumns({
-        "child_process": basename(F.col("Image"), lower=False),
-        "parent_process": basename(F.col("ParentImage"), lower=False),
+        "child_process": col(basename("Image", lower=False)),
+        "parent_process": col(basename("ParentImage", lower=False)),
     })
 
 
@@ -57,7 +57,7 @@ def analyst_filter(df: DataFrame, priority: str = "All", verdict: str = "All",
 
 
 def command_preview(df: DataFrame, width: int = 200) -> DataFrame:
-    return df.withColumn("command_preview", F.substring(text(F.col("CommandLine")), 1, width))
+    return df.withColumn("command_preview", F.substring(col(filled("CommandLine")), 1, width))
 
 
 def event_detail(df: DataFrame, position: int, order: str = EVENT_KEY) -> DataFrame:

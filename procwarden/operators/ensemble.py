@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from procwarden import fixed_values as V
-from procwarden.functions.text import half_even
+from procwarden.functions.text import half_even, let, number, quoted
 from procwarden.operators.boundary import FEATURES, Boundary, boundary_score, fit_boundary
 from procwarden.operators.forest import Forest, fit_forest, forest_score
 from procwarden.operators.lookup import lookup_join
@@ -138,31 +138,32 @@ def score(features: DataFrame, model: Model, order: str = EVENT_KEY) -> DataFram
     return lookup_join(keyed, table, ["_vkey"], table.count(), salt_by=order).drop("_vkey")
 
 
-def explanation(stats: FeatureStats, columns: list[str], score_column: Column | None = None) -> Column:
-    """Which features lie more than two deviations from the baseline, top five.
+def explanation(stats: FeatureStats, columns: list[str], score_column: str | None = None) -> str:
+    """Which features lie more than two deviations from the baseline, top five (SQL text).
 
     Deviations equal to 9 decimals count as ties and keep the column order.
     """
+    head = "'ANOMALY ANALYSIS'" if score_column is None else (
+        f"format_string('ANOMALY SCORE: %.0f/100', {half_even(score_column, 0)})")
+    nothing = f"concat({head}, ' | No significantly unusual features detected.')"
     found = []
     for i, (name, mean, std) in enumerate(zip(stats.columns, stats.mean, stats.explain_std)):
         if name not in columns:
             continue
-        value = F.col(name).cast("double")
-        z = F.abs((value - F.lit(float(mean))) / F.lit(float(std)))
-        found.append(F.when(z > V.EXPLAIN_Z, F.struct(
-            (-half_even(z, 9)).alias("nz"), F.lit(i).alias("i"), value.alias("v"),
-            F.lit(float(mean)).alias("m"), F.lit(float(std)).alias("s"),
-            F.lit(V.FEATURE_DESCRIPTIONS.get(name, name)).alias("d"))))
-    head = F.lit("ANOMALY ANALYSIS") if score_column is None else F.format_string(
-        "ANOMALY SCORE: %.0f/100", half_even(score_column, 0))
+        m, s = number(mean), number(std)
+        z = f"abs((cast({name} AS double) - {m}) / {s})"
+        found.append(
+            f"CASE WHEN {z} > {V.EXPLAIN_Z}D THEN named_struct('nz', -{half_even(z, 9)}, 'i', {i}, "
+            f"'v', cast({name} AS double), 'm', {m}, 's', {s}, "
+            f"'d', {quoted(V.FEATURE_DESCRIPTIONS.get(name, name))}) END")
     if not found:
-        return F.concat(head, F.lit(" | No significantly unusual features detected."))
-    top = F.slice(F.array_sort(F.filter(F.array(*found), lambda d: d.isNotNull())), 1, V.EXPLAIN_TOP)
-    told = F.array_join(F.transform(top, lambda d: F.format_string(
-        "%s: %.2f (baseline: %.2f±%.2f, z=%.1f)", d.d, half_even(d.v, 2), half_even(d.m, 2),
-        half_even(d.s, 2), half_even(-d.nz, 1))), "; ")
-    return F.when(told == "", F.concat(head, F.lit(" | No significantly unusual features detected."))
-                  ).otherwise(F.concat(head, F.lit(" | Unusual factors: "), told))
+        return nothing
+    line = ("format_string('%s: %.2f (baseline: %.2f±%.2f, z=%.1f)', d.d, "
+            f"{half_even('d.v', 2)}, {half_even('d.m', 2)} + 0D, {half_even('d.s', 2)}, {half_even('-d.nz', 1)})")
+    top = f"slice(array_sort(filter(array({', '.join(found)}), d -> d IS NOT NULL)), 1, {V.EXPLAIN_TOP})"
+    told = f"array_join(transform({top}, d -> {line}), '; ')"
+    return let("w", told, f"CASE WHEN w = '' THEN {nothing} "
+                          f"ELSE concat({head}, ' | Unusual factors: ', w) END")
 
 
 def score_summary(df: DataFrame) -> DataFrame:
@@ -183,8 +184,8 @@ def score_summary(df: DataFrame) -> DataFrame:
 def top_anomalies(df: DataFrame, model: Model, n: int = 10) -> DataFrame:
     """Highest scores with names and explanation, worked out for the top rows only."""
     top = df.orderBy(F.desc("ml_anomaly_score"), EVENT_KEY).limit(n)
-    return top.withColumn("explanation", explanation(
-        model.stats, df.columns, F.col("ml_anomaly_score")))
+    return top.withColumn("explanation", F.expr(explanation(
+        model.stats, df.columns, "ml_anomaly_score")))
 
 
 def alert_count(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from procwarden.fixed_values import CHAIN_THRESHOLD, ML_THRESHOLD
-from procwarden.functions.text import basename, half_even
+from procwarden.functions.text import basename, col, half_even
 from procwarden.operators.ordered import running_totals
 from procwarden.session import cut_lineage
 
@@ -145,7 +145,7 @@ def false_positives_by_label(df: DataFrame) -> DataFrame:
 
 
 def false_positives_by_process(df: DataFrame, n: int = 5) -> DataFrame:
-    return (false_positives(df).groupBy(basename(F.col("Image")).alias("process"))
+    return (false_positives(df).groupBy(col(basename("Image")).alias("process"))
             .agg(F.count("*").alias("fps")).orderBy(F.desc("fps"), "process").limit(n))
 
 

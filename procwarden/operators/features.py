@@ -14,81 +14,42 @@ from procwarden.operators.encoders import Encoder, encode
 from procwarden.operators.lookup import lookup_join
 
 
-def child():
-    return F.col("_child")
+NEAR = V.SCRIPT_ENGINES + V.OFFICE_APPS + V.BROWSERS
+CODES = " ".join(f"WHEN {X.quoted(k)} THEN {v}" for k, v in V.INTEGRITY_CODES.items())
 
-
-def parent():
-    return F.col("_parent")
-
-
-def cmd():
-    return F.col("_cmd")
-
-
-def line():
-    return F.col("CommandLine")
-
-
-def user():
-    return F.col("User")
-
-
-def when_text():
-    return F.col("UtcTime")
-
-
-def ancestry_depth():
-    near = V.SCRIPT_ENGINES + V.OFFICE_APPS + V.BROWSERS
-    return F.when(parent().isin(V.ROOT_PROCESSES), 1).when(parent().isin(near), 2).otherwise(3)
-
-
-def chain_hash():
-    digest = F.md5(F.concat(parent(), F.lit(">"), child()).cast("binary"))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
-
-
-def integrity_code():
-    level = F.col("IntegrityLevel")
-    code = F.lit(None).cast("int")
-    for name, value in V.INTEGRITY_CODES.items():
-        code = F.when(level == name, value).otherwise(code)
-    return F.coalesce(code, F.lit(V.INTEGRITY_DEFAULT))
-
-
-# Features of one row alone, over the prepared columns.
+# Features of one row alone, as SQL over the prepared columns.
 ROW_FEATURES = {
-    "is_known_lolbin": lambda: X.flag(child().isin(V.KNOWN_BINARIES)),
-    "is_scripting_engine": lambda: X.flag(child().isin(V.SCRIPT_ENGINES)),
-    "command_line_length": lambda: F.length(line()),
-    "command_line_entropy": lambda: X.shannon_entropy(line()),
-    "has_suspicious_flag": lambda: X.flag(X.contains_any(cmd(), V.SUSPICIOUS_FLAGS)),
-    "contains_url": lambda: X.flag(F.rlike(line(), F.lit(V.URL_PATTERN))),
-    "contains_ip_address": lambda: X.flag(F.rlike(line(), F.lit(V.IP_PATTERN))),
-    "has_base64_pattern": lambda: X.flag(F.rlike(line(), F.lit(V.BASE64_PATTERN))),
-    "argument_count": lambda: F.size(X.tokens(line())),
-    "suspicious_argument_ratio": lambda: X.flagged_share(cmd()),
-    "has_encoded_command": lambda: X.flag(
-        X.contains_any(cmd(), ["-enc ", "-enc\t", "-encodedcommand"])
-        | F.endswith(cmd(), F.lit("-enc"))),
-    "has_download_indicator": lambda: X.flag(X.contains_any(cmd(), V.DOWNLOAD_INDICATORS)),
-    "process_ancestry_depth": ancestry_depth,
-    "parent_is_office_app": lambda: X.flag(parent().isin(V.OFFICE_APPS)),
-    "parent_is_browser": lambda: X.flag(parent().isin(V.BROWSERS)),
-    "parent_is_script_engine": lambda: X.flag(parent().isin(V.SCRIPT_ENGINES)),
-    "chain_hash": chain_hash,
-    "hour_of_day": lambda: T.hour_of_day(when_text()),
-    "is_off_hours": lambda: X.flag(T.hour_of_day(when_text()).between(0, 5)),
-    "is_weekend": lambda: T.is_weekend(when_text()),
-    "minute_of_hour": lambda: T.minute_of_hour(when_text()),
-    "is_system_user": lambda: X.flag(X.contains_any(F.upper(user()), ["NT AUTHORITY", "SYSTEM"])),
-    "integrity_encoded": integrity_code,
+    "is_known_lolbin": X.flag(f"_child IN {X.name_list(V.KNOWN_BINARIES)}"),
+    "is_scripting_engine": X.flag(f"_child IN {X.name_list(V.SCRIPT_ENGINES)}"),
+    "command_line_length": "length(CommandLine)",
+    "command_line_entropy": X.shannon_entropy("CommandLine"),
+    "has_suspicious_flag": X.flag(X.contains_any("_cmd", V.SUSPICIOUS_FLAGS)),
+    "contains_url": X.flag(f"rlike(CommandLine, {X.quoted(V.URL_PATTERN)})"),
+    "contains_ip_address": X.flag(f"rlike(CommandLine, {X.quoted(V.IP_PATTERN)})"),
+    "has_base64_pattern": X.flag(f"rlike(CommandLine, {X.quoted(V.BASE64_PATTERN)})"),
+    "argument_count": f"size({X.tokens('CommandLine')})",
+    "suspicious_argument_ratio": X.flagged_share("_cmd"),
+    "has_encoded_command": X.flag(
+        X.contains_any("_cmd", ["-enc ", "-enc\t", "-encodedcommand"]) + " OR endswith(_cmd, '-enc')"),
+    "has_download_indicator": X.flag(X.contains_any("_cmd", V.DOWNLOAD_INDICATORS)),
+    "process_ancestry_depth": f"CASE WHEN _parent IN {X.name_list(V.ROOT_PROCESSES)} THEN 1 "
+                              f"WHEN _parent IN {X.name_list(NEAR)} THEN 2 ELSE 3 END",
+    "parent_is_office_app": X.flag(f"_parent IN {X.name_list(V.OFFICE_APPS)}"),
+    "parent_is_browser": X.flag(f"_parent IN {X.name_list(V.BROWSERS)}"),
+    "parent_is_script_engine": X.flag(f"_parent IN {X.name_list(V.SCRIPT_ENGINES)}"),
+    "chain_hash": "cast(conv(substring(md5(cast(concat(_parent, '>', _child) AS binary)), 1, 8), 16, 10) AS bigint)",
+    "hour_of_day": T.hour_of_day("UtcTime"),
+    "is_off_hours": X.flag(f"{T.hour_of_day('UtcTime')} BETWEEN 0 AND 5"),
+    "is_weekend": T.is_weekend("UtcTime"),
+    "minute_of_hour": T.minute_of_hour("UtcTime"),
+    "is_system_user": X.flag(X.contains_any("upper(User)", ["NT AUTHORITY", "SYSTEM"])),
+    "integrity_encoded": f"CASE IntegrityLevel {CODES} ELSE {V.INTEGRITY_DEFAULT} END",
 }
 
 
 def row_features(prepared: DataFrame, names: list[str] | None = None) -> DataFrame:
     wanted = names or list(ROW_FEATURES)
-    return prepared.withColumns({n: ROW_FEATURES[n]() for n in wanted})
+    return prepared.withColumns({n: X.col(ROW_FEATURES[n]) for n in wanted})
 
 
 def pair_rarity(prepared: DataFrame, baseline: Baseline) -> DataFrame:
@@ -123,7 +84,7 @@ CODED = [
 
 
 def label_codes(prepared: DataFrame, encoders: dict[str, Encoder]) -> DataFrame:
-    df = prepared.withColumn("_user", F.lower(user()))
+    df = prepared.withColumn("_user", F.lower("User"))
     for name, value, encoder in CODED:
         df = encode(df, value, encoders[encoder], name)
     return df.drop("_user")
@@ -153,11 +114,10 @@ def model_matrix(df: DataFrame) -> DataFrame:
     present = [c for c in V.MODEL_COLUMNS if c in df.columns]
     if not present:
         raise ValueError(f"no model column found, expected some of {V.MODEL_COLUMNS[:5]}")
-    return df.withColumns({c: clean_number(F.col(c)) for c in present})
+    return df.withColumns({c: X.col(clean_number(c)) for c in present})
 
 
-def clean_number(c):
+def clean_number(c: str) -> str:
     """Missing and infinite values become 0."""
-    d = c.cast("double")
-    bad = d.isNull() | F.isnan(d) | (F.abs(d) == F.lit(float("inf")))
-    return F.when(bad, F.lit(0.0)).otherwise(d)
+    d = f"cast({c} AS double)"
+    return f"CASE WHEN {d} IS NULL OR isnan({d}) OR abs({d}) = double('infinity') THEN 0D ELSE {d} END"

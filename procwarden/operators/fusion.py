@@ -2,66 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from procwarden.fixed_values import CHAIN_THRESHOLD, ML_THRESHOLD
-from procwarden.functions.text import half_even
+from procwarden.functions.text import col, half_even
 
+ML, CHAIN = "ml_anomaly_score", "chain_risk_score"
+ML_0, CHAIN_0 = half_even(ML, 0), half_even(f"cast({CHAIN} AS double)", 0)
+OVER_ML = f"({ML} - {ML_THRESHOLD})"
+OVER_CHAIN = f"cast({CHAIN} - {CHAIN_THRESHOLD} AS double)"
 
-def ml():
-    return F.col("ml_anomaly_score")
 
-
-def chain():
-    return F.col("chain_risk_score")
-
-
-def ladder(critical, high, medium, low, clear) -> Column:
+def ladder(critical: str, high: str, medium: str, low: str, clear: str) -> str:
     """The first rung that holds; both thresholds are exclusive."""
-    odd, risky = ml() > ML_THRESHOLD, chain() > CHAIN_THRESHOLD
-    return (F.when(F.col("sigma_match"), critical).when(odd & risky, high)
-            .when(odd, medium).when(risky, low).otherwise(clear))
-
-
-def whole(c: Column) -> Column:
-    return half_even(c.cast("double"), 0)
-
-
-def verdict() -> Column:
-    return ladder("ALERT", "ALERT", "ALERT", "REVIEW", "CLEAR")
-
-
-def priority() -> Column:
-    return ladder("CRITICAL", "HIGH", "MEDIUM", "LOW", "NONE")
+    odd, risky = f"{ML} > {ML_THRESHOLD}", f"{CHAIN} > {CHAIN_THRESHOLD}"
+    return (f"CASE WHEN sigma_match THEN {critical} WHEN {odd} AND {risky} THEN {high} "
+            f"WHEN {odd} THEN {medium} WHEN {risky} THEN {low} ELSE {clear} END")
 
 
-def confidence() -> Column:
-    over_ml, over_chain = ml() - ML_THRESHOLD, (chain() - CHAIN_THRESHOLD).cast("double")
-    value = ladder(
-        F.least(90 + ml() / 10, F.lit(100.0)),
-        75 + F.least(over_ml / 3 + over_chain / 4, F.lit(14.0)),
-        50 + F.least(over_ml / F.lit(1.5), F.lit(24.0)),
-        30 + F.least(over_chain / 2, F.lit(19.0)),
-        F.greatest(F.lit(0.0), ml() / 3))
-    return half_even(value, 1)
+VERDICT = ladder("'ALERT'", "'ALERT'", "'ALERT'", "'REVIEW'", "'CLEAR'")
+PRIORITY = ladder("'CRITICAL'", "'HIGH'", "'MEDIUM'", "'LOW'", "'NONE'")
+CONFIDENCE = half_even(ladder(
+    f"least(90D + {ML} / 10, 100D)",
+    f"75D + least({OVER_ML} / 3 + {OVER_CHAIN} / 4, 14D)",
+    f"50D + least({OVER_ML} / 1.5D, 24D)",
+    f"30D + least({OVER_CHAIN} / 2, 19D)",
+    f"greatest(0D, {ML} / 3)"), 1)
 
 
-def reason(ml_reason: Column) -> Column:
+def reason(ml_reason: str) -> str:
     return ladder(
-        F.format_string("Sigma rule matched: %s | ML Score: %.0f | Chain Risk: %.0f",
-                        F.col("sigma_rule_name"), whole(ml()), whole(chain())),
-        F.format_string("Chain + ML anomaly detected | ML Score: %.0f | Chain: %s",
-                        whole(ml()), F.col("chain_description")),
+        "format_string('Sigma rule matched: %s | ML Score: %.0f | Chain Risk: %.0f', "
+        f"sigma_rule_name, {ML_0}, {CHAIN_0})",
+        f"format_string('Chain + ML anomaly detected | ML Score: %.0f | Chain: %s', {ML_0}, chain_description)",
         ml_reason,
-        F.concat(F.lit("Suspicious chain detected | Chain: "), F.col("chain_description")),
-        "")
+        "concat('Suspicious chain detected | Chain: ', chain_description)",
+        "''")
 
 
-def fuse(df: DataFrame, ml_reason: Column | None = None) -> DataFrame:
+def fuse(df: DataFrame, ml_reason: str | None = None) -> DataFrame:
     """Add final_verdict, priority, confidence and explanation."""
-    if ml_reason is None:
-        ml_reason = F.format_string("ML anomaly score: %.0f", whole(ml()))
+    ml_reason = ml_reason or f"format_string('ML anomaly score: %.0f', {ML_0})"
     return df.withColumns({
-        "final_verdict": verdict(), "priority": priority(),
-        "confidence": confidence(), "explanation": reason(ml_reason)})
+        "final_verdict": col(VERDICT), "priority": col(PRIORITY),
+        "confidence": col(CONFIDENCE), "explanation": col(reason(ml_reason))})

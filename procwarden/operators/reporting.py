@@ -100,7 +100,7 @@ def facets(df: DataFrame) -> DataFrame:
 
 def label_profile(events: DataFrame) -> DataFrame:
     """Per label: count, share, and events in business hours, at night, else."""
-    hour = hour_or_null(F.col("UtcTime"))
+    hour = F.expr(hour_or_null("UtcTime"))
     business, night = hour.between(8, 17), hour.between(0, 5)
     counts = events.groupBy("label").agg(
         F.count("*").alias("events"), F.count_if(business).alias("business"),

@@ -9,15 +9,13 @@ from __future__ import annotations
 import logging
 import re
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from procwarden.fixed_values import RULES, SEVERITY
-from procwarden.functions.text import any_of
+from procwarden.functions.text import quoted
 
 log = logging.getLogger(__name__)
 TECHNIQUE_PREFIX = "attack.t"
@@ -86,40 +84,39 @@ def _usable_pattern(df: DataFrame, pattern: str) -> bool:
     return True
 
 
-def match_field(df: DataFrame, name: str, modifier: str, values) -> Column:
+def match_field(df: DataFrame, name: str, modifier: str, values) -> str:
     """OR over the values; an absent, null, empty, zero or false value never matches."""
     if name not in df.columns:
-        return F.lit(False)
+        return "false"
     if not isinstance(values, list):
         values = [values]
-    raw = F.col(f"`{name}`")
     kind = df.schema[name].dataType
-    value = raw.cast("string")
+    value = f"cast(`{name}` AS string)" if not isinstance(kind, T.StringType) else f"`{name}`"
     if isinstance(kind, T.BooleanType):
-        present = raw
+        present = f"`{name}`"
     elif isinstance(kind, T.NumericType):
-        present = raw != 0
+        present = f"`{name}` != 0"
     else:
-        present = value != ""
-    low = F.lower(value)
+        present = f"{value} != ''"
+    low = f"lower({value})"
     tests = []
     for v in values:
-        needle = F.lit(str(v).lower())
+        needle = quoted(str(v).lower())
         if modifier == "startswith":
-            tests.append(F.startswith(low, needle))
+            tests.append(f"startswith({low}, {needle})")
         elif modifier == "endswith":
-            tests.append(F.endswith(low, needle))
+            tests.append(f"endswith({low}, {needle})")
         elif modifier == "re":
             if _usable_pattern(df, str(v)):
-                tests.append(F.rlike(value, F.lit("(?i)" + str(v))))
+                tests.append(f"rlike({value}, {quoted('(?i)' + str(v))})")
         elif modifier == "exact":
-            tests.append(low == needle)
+            tests.append(f"{low} = {needle}")
         else:  # contains, and every unknown modifier
-            tests.append(F.contains(low, needle))
-    return F.coalesce(present & any_of(tests), F.lit(False))
+            tests.append(f"contains({low}, {needle})")
+    return f"coalesce({present} AND ({' OR '.join(tests) or 'false'}), false)"
 
 
-def match_block(df: DataFrame, entries: list, duplicate_keys: str = "last") -> Column:
+def match_block(df: DataFrame, entries: list, duplicate_keys: str = "last") -> str:
     """AND over the fields of a block.
 
     ``duplicate_keys``: "last" keeps the last of equal keys, as the usual file
@@ -131,43 +128,47 @@ def match_block(df: DataFrame, entries: list, duplicate_keys: str = "last") -> C
     for key, values in entries:
         name, _, modifiers = key.partition("|")
         parts.append(match_field(df, name, modifiers.split("|")[0] or "exact", values))
-    return reduce(and_, parts, F.lit(True)) if not parts else reduce(and_, parts)
+    return f"({' AND '.join(parts) or 'true'})"
 
 
-def match_rule(df: DataFrame, rule: Rule, duplicate_keys: str = "last") -> Column:
-    """The rule's condition as one boolean column."""
+def rule_condition(df: DataFrame, rule: Rule, duplicate_keys: str = "last") -> str:
+    """The rule's condition over the columns of ``df``, as SQL."""
     filters = {n: b for n, b in rule.blocks.items() if n.startswith("filter")}
     selections = {n: b for n, b in rule.blocks.items() if n not in filters}
 
-    def block(entries):
-        return match_block(df, entries, duplicate_keys)
+    def any_block(entries: list) -> str:
+        return f"({' OR '.join(match_block(df, e, duplicate_keys) for e in entries) or 'false'})"
 
     def positive(part: str) -> str:
         return part.split(" and not ")[0].strip()
 
     if " or " in rule.condition:
         names = [positive(p) for p in rule.condition.split(" or ")]
-        result = any_of([block(selections[n]) for n in names if n in selections])
+        chosen = [selections[n] for n in names if n in selections]
     else:
         name = positive(rule.condition)
         if name not in selections:
             name = "selection" if "selection" in selections else next(iter(selections), None)
-        result = block(selections[name]) if name is not None else F.lit(False)
+        chosen = [selections[name]] if name is not None else []
+    result = any_block(chosen)
     if "and not" in rule.condition and filters:
-        result = result & ~any_of([block(b) for b in filters.values()])
-    return result
+        result += f" AND NOT {any_block(list(filters.values()))}"
+    return f"({result})"
+
+
+def match_rule(df: DataFrame, rule: Rule, duplicate_keys: str = "last") -> Column:
+    """The rule as one boolean column."""
+    return F.expr(rule_condition(df, rule, duplicate_keys))
 
 
 def all_matches(df: DataFrame, rules: list[Rule], duplicate_keys: str = "last") -> DataFrame:
     """Add ``rule_matches``: one struct per matching rule, in rule order."""
-    found = [
-        F.when(match_rule(df, r, duplicate_keys), F.struct(
-            F.lit(r.title).alias("rule_title"), F.lit(r.id).alias("rule_id"),
-            F.lit(r.level).alias("level"),
-            F.array(*[F.lit(t) for t in r.techniques]).cast("array<string>").alias("mitre_tags"),
-            F.lit(r.description).alias("description")))
-        for r in rules]
-    return df.withColumn("rule_matches", F.filter(F.array(*found), lambda m: m.isNotNull()))
+    found = ", ".join(
+        f"CASE WHEN {rule_condition(df, r, duplicate_keys)} THEN named_struct("
+        f"'rule_title', {quoted(r.title)}, 'rule_id', {quoted(r.id)}, 'level', {quoted(r.level)}, "
+        f"'mitre_tags', cast(array({', '.join(quoted(t) for t in r.techniques)}) AS array<string>), "
+        f"'description', {quoted(r.description)}) END" for r in rules)
+    return df.withColumn("rule_matches", F.expr(f"filter(array({found}), m -> m IS NOT NULL)"))
 
 
 def apply_rules(df: DataFrame, rules: list[Rule] | None = None,
@@ -178,28 +179,23 @@ def apply_rules(df: DataFrame, rules: list[Rule] | None = None,
     match is the first hit of one ordered CASE.
     """
     rules = default_rules() if rules is None else rules
-    ranked = sorted(enumerate(rules), key=lambda r: (-r[1].severity, r[0]))
-    best = None
-    for _, r in ranked:
-        hit = F.struct(F.lit(True).alias("sigma_match"), F.lit(r.title).alias("sigma_rule_name"),
-                       F.lit(r.level).alias("sigma_level"),
-                       F.lit(", ".join(r.techniques)).alias("sigma_mitre_tags"))
-        condition = match_rule(df, r, duplicate_keys)
-        best = F.when(condition, hit) if best is None else best.when(condition, hit)
-    if best is None:
+    if not rules:
         return df.withColumns({k: F.lit(v) for k, v in NO_MATCH.items()})
-    names = df.columns
-    return df.withColumn("_best", best).select(*[F.col(f"`{c}`") for c in names], *[
-        F.coalesce(F.col(f"_best.{k}"), F.lit(v)).alias(k) for k, v in NO_MATCH.items()])
+    ranked = sorted(enumerate(rules), key=lambda r: (-r[1].severity, r[0]))
+    best = " ".join(
+        f"WHEN {rule_condition(df, r, duplicate_keys)} THEN named_struct("
+        f"'sigma_match', true, 'sigma_rule_name', {quoted(r.title)}, 'sigma_level', {quoted(r.level)}, "
+        f"'sigma_mitre_tags', {quoted(', '.join(r.techniques))})" for _, r in ranked)
+    return df.withColumn("_best", F.expr(f"CASE {best} END")).withColumns({
+        k: F.coalesce(F.col(f"_best.{k}"), F.lit(v)) for k, v in NO_MATCH.items()}).drop("_best")
 
 
 def rules_table(spark, rules: list[Rule]) -> DataFrame:
     """One row of metadata per rule, in file order."""
-    rows = [F.struct(
-        F.lit(i).alias("rule_order"), F.lit(r.title).alias("title"), F.lit(r.id).alias("id"),
-        F.lit(r.level).alias("level"), F.lit(", ".join(r.techniques)).alias("mitre_tags"),
-        F.lit(r.filename).alias("filename")) for i, r in enumerate(rules)]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+    rows = ", ".join(
+        f"({i}, {', '.join(quoted(v) for v in (r.title, r.id, r.level, ', '.join(r.techniques), r.filename))})"
+        for i, r in enumerate(rules))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(rule_order, title, id, level, mitre_tags, filename)")
 
 
 def match_rate_by_label(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from procwarden.fixed_values import MODEL_COLUMNS
+from procwarden.functions.text import col, number
 from procwarden.operators.features import clean_number
 from procwarden.schema import EVENT_KEY
 from procwarden.session import cut_lineage
@@ -41,12 +42,10 @@ def fit_stats(features: DataFrame) -> FeatureStats:
     present = [c for c in MODEL_COLUMNS if c in features.columns]
     if not present:
         raise ValueError(f"no model column found, expected some of {MODEL_COLUMNS[:5]}")
-    numbers = features.select(*[clean_number(F.col(c)).alias(c) for c in present])
-    row = numbers.agg(
-        F.count("*").alias("rows"),
-        *[f(c).alias(f"{tag}_{c}") for c in present
-          for tag, f in [("m", F.avg), ("s", F.stddev_pop), ("l", F.min), ("h", F.max)]],
-    ).first()
+    numbers = features.selectExpr(*[f"{clean_number(c)} AS {c}" for c in present])
+    row = numbers.agg(F.count("*").alias("rows"), *[
+        F.expr(f"{f}({c}) AS {tag}_{c}") for c in present
+        for tag, f in [("m", "avg"), ("s", "stddev_pop"), ("l", "min"), ("h", "max")]]).first()
     if not row["rows"]:
         raise ValueError("the baseline has no rows")
     return FeatureStats(present, *[[row[f"{t}_{c}"] for c in present] for t in "mslh"],
@@ -55,25 +54,22 @@ def fit_stats(features: DataFrame) -> FeatureStats:
 
 def stats_table(spark, stats: FeatureStats) -> DataFrame:
     """One row per feature, for explanations and for storage."""
-    rows = [F.struct(
-        F.lit(i).alias("position"), F.lit(c).alias("feature"), F.lit(float(m)).alias("mean"),
-        F.lit(float(e)).alias("std"), F.lit(float(lo)).alias("min"),
-        F.lit(float(hi)).alias("max"), F.lit(float(s)).alias("raw_std"))
-        for i, (c, m, e, lo, hi, s) in enumerate(zip(
-            stats.columns, stats.mean, stats.explain_std, stats.low, stats.high, stats.std))]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+    rows = ", ".join(
+        f"({i}, '{c}', {', '.join(map(number, values))})" for i, (c, *values) in enumerate(zip(
+            stats.columns, stats.mean, stats.explain_std, stats.low, stats.high, stats.std)))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(position, feature, mean, std, min, max, raw_std)")
 
 
 def scaled_vector(stats: FeatureStats) -> Column:
-    return F.array(*[
-        (clean_number(F.col(c)) - F.lit(float(m))) / F.lit(float(s))
-        for c, m, s in zip(stats.columns, stats.mean, stats.scale)])
+    return col("array(" + ", ".join(
+        f"({clean_number(c)} - {number(m)}) / {number(s)}"
+        for c, m, s in zip(stats.columns, stats.mean, stats.scale)) + ")")
 
 
 def vector_key(columns: list[str]) -> Column:
     """A 128-bit key of the model input of a row."""
-    return F.md5(F.concat_ws(",", *[clean_number(F.col(c)).cast("string") for c in columns])
-                 .cast("binary"))
+    parts = ", ".join(f"cast({clean_number(c)} AS string)" for c in columns)
+    return col(f"md5(cast(concat_ws(',', {parts}) AS binary))")
 
 
 def distinct_vectors(features: DataFrame, stats: FeatureStats, order: str = EVENT_KEY) -> DataFrame:
@@ -82,7 +78,8 @@ def distinct_vectors(features: DataFrame, stats: FeatureStats, order: str = EVEN
     Equal inputs are merged on the map side before the shuffle, so one input
     that makes up a third of all rows costs one row per task.
     """
-    numbers = features.select(order, *[clean_number(F.col(c)).alias(c) for c in stats.columns])
+    numbers = features.selectExpr(
+        order, *[f"{clean_number(c)} AS {c}" for c in stats.columns])
     merged = numbers.groupBy(*stats.columns).agg(
         F.min(order).alias("vid"), F.count("*").alias("copies"))
     return cut_lineage(merged.select(

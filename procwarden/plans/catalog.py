@@ -175,7 +175,7 @@ def rule_counts(events: DataFrame, rules: list[R.Rule]) -> DataFrame:
 
 
 @query("io7_baseline_roundtrip", f"""
-SELECT parent, child, n, {rr('freq')}, rarity, {rr('length_mean', 'lm')}, {rr('length_std', 'ls')},
+SELECT parent, child, pairs.n AS n, {rr('freq')}, rarity, {rr('length_mean', 'lm')}, {rr('length_std', 'ls')},
   {rr('entropy_mean', 'em')}, {rr('entropy_std', 'es')} FROM pairs, baseline""")
 def io7(spark, sf):
     path = scratch_path(spark, "baseline")
@@ -595,8 +595,8 @@ def m11(spark, sf):
 @query("m12_explain", "SELECT event_id, explanation FROM explained")
 def m12(spark, sf):
     df, fitted = scored(spark, sf)
-    return df.select("event_id", M.explanation(
-        fitted.model.stats, df.columns, F.col("ml_anomaly_score")).alias("explanation"))
+    return df.select("event_id", F.expr(M.explanation(
+        fitted.model.stats, df.columns, "ml_anomaly_score")).alias("explanation"))
 
 
 @query("m13_score_summary", f"""
@@ -646,7 +646,7 @@ def c01(spark, sf):
     return C.with_pair(prepared(spark, sf)).select(
         "event_id", F.col("_parent").alias("parent"), F.col("_child").alias("child"),
         F.coalesce("pair_score", F.lit(0)).alias("base_score"), F.col("pair_desc").alias("description"),
-        C.matched().alias("matched"))
+        F.col("pair_desc").isNotNull().alias("matched"))
 
 
 MODIFIER_IDS = ["c02_office_script", "c03_url", "c04_binary_child", "c05_off_hours", "c06_encoded", "c07_flags"]

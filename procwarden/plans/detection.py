@@ -47,7 +47,7 @@ def detect(events: DataFrame, artefacts: Artefacts, rules: list[Rule] | None = N
     df = score(df, artefacts.model)
     df = score_chains(df)
     stats = artefacts.model.stats
-    return drop_helpers(fuse(df, explanation(stats, df.columns, F.col("ml_anomaly_score"))))
+    return drop_helpers(fuse(df, explanation(stats, df.columns, "ml_anomaly_score")))
 
 
 def run(events: DataFrame, parts: tuple[str, ...] = PARTS, **options) -> DataFrame:

@@ -266,7 +266,7 @@ VIEWS["deviations"] = "\nUNION ALL ".join(
     f"SELECT event_id, {i} AS i, {c}::DOUBLE AS v, m_{c} AS m, greatest(s_{c}, 0.001) AS s, "
     f"{q(V.FEATURE_DESCRIPTIONS.get(c, c))} AS d FROM features, fstats" for i, c in enumerate(V.MODEL_COLUMNS))
 VIEWS["factors"] = f"""
-SELECT event_id, string_agg(printf('%s: %.2f (baseline: %.2f±%.2f, z=%.1f)', d, {rnd('v', 2)}, {rnd('m', 2)},
+SELECT event_id, string_agg(printf('%s: %.2f (baseline: %.2f±%.2f, z=%.1f)', d, {rnd('v', 2)}, {rnd('m', 2)} + 0.0,
     {rnd('s', 2)}, {rnd('z', 1)}), '; ' ORDER BY z DESC, i) AS told
 FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY z DESC, i) AS rn
       FROM (SELECT *, {rnd('abs((v - m) / s)', 9)} AS z FROM deviations WHERE abs((v - m) / s) > 2.0))
