@@ -31,17 +31,14 @@ class Baseline:
     n_pairs: int = 0
 
 
-def pair_profile(benign: DataFrame) -> DataFrame:
+def pair_profile(rows: DataFrame) -> DataFrame:
     """One row per pair: count, mean and variance of length and entropy."""
-    rows = prepare(benign).select(
-        F.col("_parent").alias("parent"), F.col("_child").alias("child"),
-        F.length("CommandLine").cast("double").alias("len"),
-        col(shannon_entropy("CommandLine")).alias("ent"),
-    )
-    return rows.groupBy("parent", "child").agg(
+    length = F.col("command_line_length").cast("double")
+    entropy = F.col("command_line_entropy")
+    return rows.groupBy(F.col("_parent").alias("parent"), F.col("_child").alias("child")).agg(
         F.count("*").alias("n"),
-        F.avg("len").alias("len_mean"), F.var_pop("len").alias("len_var"),
-        F.avg("ent").alias("ent_mean"), F.var_pop("ent").alias("ent_var"),
+        F.avg(length).alias("len_mean"), F.var_pop(length).alias("len_var"),
+        F.avg(entropy).alias("ent_mean"), F.var_pop(entropy).alias("ent_var"),
     )
 
 
@@ -54,13 +51,21 @@ def with_rarity(pairs: DataFrame, total: int) -> DataFrame:
 
 
 def fit_baseline(benign: DataFrame) -> Baseline:
-    """One pass over the benign events; all else works on the pair table.
+    """Baseline of plain events."""
+    return fit_baseline_rows(prepare(benign).select(
+        "_parent", "_child", F.length("CommandLine").alias("command_line_length"),
+        col(shannon_entropy("CommandLine")).alias("command_line_entropy")))
+
+
+def fit_baseline_rows(rows: DataFrame) -> Baseline:
+    """Baseline of rows with names, length and entropy.
 
-    The pair table is pre-aggregated on the map side, so a pair that holds a
-    third of the rows sends one row per task.  Means and variances per pair
-    are merged to the overall ones without loss of precision.
+    One pass over the rows; all else works on the pair table.  It is
+    pre-aggregated on the map side, so a pair that holds a third of the rows
+    sends one row per task.  Means and variances per pair are merged to the
+    overall ones without loss of precision.
     """
-    profile = cut_lineage(pair_profile(benign))
+    profile = cut_lineage(pair_profile(rows))
     total = F.sum("n")
     head = profile.agg(
         total.alias("n"), F.count("*").alias("pairs"),

@@ -105,15 +105,12 @@ def fit_boundary(vectors: DataFrame, inputs: int, features: int = FEATURES,
     return Boundary(b.directions, b.phases, w)
 
 
-def boundary_score(spark, b: Boundary, x: Column) -> Column:
+def boundary_score(b: Boundary, x: Column) -> Column:
     """-w . z(x): higher is odder.  The offset cancels in the normalisation."""
-    shared = spark.sparkContext.broadcast(b)
-
     @F.pandas_udf("double")
     def score(batch: pd.Series) -> pd.Series:
         if not len(batch):
             return pd.Series([], dtype="float64")
-        model = shared.value
-        return pd.Series(-(lift(np.stack(batch.to_numpy()), model) @ model.weights))
+        return pd.Series(-(lift(np.stack(batch.to_numpy()), b) @ b.weights))
 
     return score(x)

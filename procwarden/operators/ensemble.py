@@ -53,13 +53,13 @@ def fingerprint(stats: FeatureStats) -> str:
     return f"{stats.rows}:{means}"
 
 
-def raw_columns(model: Model, spark, x: Column) -> dict[str, Column]:
+def raw_columns(model: Model, x: Column) -> dict[str, Column]:
     """Raw scores that need the vector only; higher is odder."""
     out = {}
     if model.forest is not None:
         out["forest"] = forest_score(model.forest, x)
     if model.boundary is not None:
-        out["boundary"] = boundary_score(spark, model.boundary, x)
+        out["boundary"] = boundary_score(model.boundary, x)
     return out
 
 
@@ -71,7 +71,6 @@ def fit_model(benign: DataFrame, parts: tuple[str, ...] = PARTS, trees: int = V.
     The forest samples rows; density and boundary work on distinct vectors
     with their counts.  ``steps=0`` keeps the boundary at the kernel mean.
     """
-    spark = benign.sparkSession
     stats = fit_stats(benign)
     model = Model(stats, fingerprint=fingerprint(stats), digits=digits)
     vectors = distinct_vectors(benign, stats, order)
@@ -80,7 +79,7 @@ def fit_model(benign: DataFrame, parts: tuple[str, ...] = PARTS, trees: int = V.
         model.forest = fit_forest(rows, stats.rows, trees=trees, order=order)
     if "boundary" in parts:
         model.boundary = fit_boundary(vectors, len(stats.columns), features=rff, steps=steps)
-    own = vectors.select("vid", *[c.alias(n) for n, c in raw_columns(model, spark, F.col("x")).items()])
+    own = vectors.select("vid", *[c.alias(n) for n, c in raw_columns(model, F.col("x")).items()])
     ends = own.agg(*[f(n).alias(f"{t}_{n}") for n in own.columns if n != "vid"
                      for t, f in (("lo", F.min), ("hi", F.max))], F.count("*").alias("n")).first()
     for n in own.columns:
@@ -110,8 +109,7 @@ def combined(model: Model) -> Column:
 
 def score_vectors(vectors: DataFrame, model: Model) -> DataFrame:
     """Raw scores and ml_anomaly_score of distinct vectors (vid, vkey, x)."""
-    spark = vectors.sparkSession
-    scored = vectors.withColumns(raw_columns(model, spark, F.col("x")))
+    scored = vectors.withColumns(raw_columns(model, F.col("x")))
     if model.lof is not None:
         scored = scored.join(outlier_factors(vectors.select("vid", "x"), model.lof), "vid", "left")
     return scored.withColumn("ml_anomaly_score", combined(model))
@@ -128,7 +126,7 @@ def score(features: DataFrame, model: Model, order: str = EVENT_KEY) -> DataFram
         x = scaled_vector(model.stats)
         names = features.columns
         raw = features.withColumn("_x", x).withColumns(
-            raw_columns(model, features.sparkSession, F.col("_x")))
+            raw_columns(model, F.col("_x")))
         return raw.withColumn("ml_anomaly_score", combined(model)).select(
             *[F.col(f"`{c}`") for c in names], "ml_anomaly_score")
     vectors = distinct_vectors(features, model.stats, order)

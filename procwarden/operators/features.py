@@ -90,14 +90,17 @@ def label_codes(prepared: DataFrame, encoders: dict[str, Encoder]) -> DataFrame:
     return df.drop("_user")
 
 
+def relative_features(rows: DataFrame, baseline: Baseline) -> DataFrame:
+    """Add what depends on the baseline to rows that have names and row features."""
+    return zscores(pair_rarity(rows, baseline), baseline)
+
+
 def model_features(events: DataFrame, baseline: Baseline) -> DataFrame:
     """All features but the three label codes, which no model reads.
 
     No shuffle while the pair table is small enough to broadcast.
     """
-    df = events.transform(prepare).transform(row_features)
-    return df.transform(lambda d: pair_rarity(d, baseline)).transform(
-        lambda d: zscores(d, baseline))
+    return relative_features(events.transform(prepare).transform(row_features), baseline)
 
 
 def extract_features(events: DataFrame, baseline: Baseline | None = None,

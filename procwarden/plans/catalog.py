@@ -566,7 +566,7 @@ def m08(spark, sf):
     fitted = checked_fit(spark, sf)
     x = FE.model_features(process_events(spark, sf), fitted.baseline).select(
         "event_id", S.scaled_vector(fitted.model.stats).alias("x"))
-    raw = M.raw_columns(fitted.model, spark, F.col("x"))["boundary"]
+    raw = M.raw_columns(fitted.model, F.col("x"))["boundary"]
     return x.select("event_id", X.half_even(-raw, 6).alias("similarity"))
 
 

@@ -7,15 +7,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from procwarden.operators.baseline import Baseline, fit_baseline
+from procwarden.fixed_values import MODEL_COLUMNS
+from procwarden.operators.baseline import Baseline, fit_baseline_rows
 from procwarden.operators.chains import score_chains
-from procwarden.operators.clean import benign_only, drop_helpers
+from procwarden.operators.clean import benign_only, drop_helpers, prepare
 from procwarden.operators.ensemble import PARTS, Model, explanation, fit_model, score
-from procwarden.operators.features import CODED, label_codes, model_features
 from procwarden.operators.encoders import Encoder, fit_encoder
-from procwarden.operators.clean import prepare
+from procwarden.operators.features import (
+    CODED, ROW_FEATURES, label_codes, model_features, relative_features, row_features,
+)
 from procwarden.operators.fusion import fuse
 from procwarden.operators.rules import Rule, apply_rules
+from procwarden.schema import EVENT_KEY
+from procwarden.session import cut_lineage
 
 
 @dataclass
@@ -27,9 +31,15 @@ class Artefacts:
 
 
 def fit(benign: DataFrame, parts: tuple[str, ...] = PARTS, **options) -> Artefacts:
-    """Baseline and ensemble from benign events."""
-    baseline = fit_baseline(benign)
-    return Artefacts(baseline, fit_model(model_features(benign, baseline), parts, **options))
+    """Baseline and ensemble from benign events.
+
+    The command lines are read once: their features are written as a narrow
+    table, and baseline and models are fitted on that.
+    """
+    own = [c for c in MODEL_COLUMNS if c in ROW_FEATURES]
+    rows = cut_lineage(row_features(prepare(benign), own).select(EVENT_KEY, "_parent", "_child", *own))
+    baseline = fit_baseline_rows(rows)
+    return Artefacts(baseline, fit_model(relative_features(rows, baseline), parts, **options))
 
 
 def fit_encoders(events: DataFrame) -> dict[str, Encoder]:
