@@ -16,7 +16,7 @@ from procwarden.session import cut_lineage
 
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, "
                "left int, right int, path double")
-HASH_SPACE = 1 << 20
+HASH_SPACE = 1 << 40  # fine enough to draw 256 of 10**12 rows
 EULER = 0.5772156649015329
 
 
