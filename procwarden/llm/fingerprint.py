@@ -54,7 +54,7 @@ def fingerprint(text: str) -> tuple[str, list[int]]:
     digits = np.array(marks, ">u4").view(np.uint8).reshape(-1, 4)[:, 1:].tobytes().hex()
     sections: list[list[bytes]] = [[]]
     shown: list[list[str]] = [[]]
-    at = done = 0
+    done = 0
     of_line = np.searchsorted(ends, np.cumsum([len(x) + 1 for x in raw.split(b"\n")]), "right").tolist()
     for line, upto in zip(raw.split(b"\n"), of_line):
         if line.startswith(b"#") and sections[-1]:
@@ -63,7 +63,7 @@ def fingerprint(text: str) -> tuple[str, list[int]]:
         node = hashlib.blake2b(line, digest_size=16).digest()
         sections[-1].append(node)
         shown[-1].append(f"{node[:8].hex()}.{digits[done * MARK:upto * MARK]}")
-        at, done = at + 1, upto
+        done = upto
         if not line.strip() or node[-1] % SECTION == 0:
             sections.append([])
             shown.append([])
@@ -97,11 +97,11 @@ def locate_edits(a: str, b: str) -> list[int]:
     """Paragraphs of ``b`` (from 0) that ``a`` has not, found below differing sections only."""
     if a.split("|", 1)[0] == b.split("|", 1)[0]:
         return []
-    left = _parts(a)
+    left, right = ([[p.split(".")[0] for p in s] for s in _parts(x)] for x in (a, b))
     same = Counter(",".join(s) for s in left)
     paragraphs: Counter[str] = Counter(p for s in left for p in s)
     out, at = [], 0
-    for section in _parts(b):
+    for section in right:
         if same[",".join(section)]:
             same[",".join(section)] -= 1
             paragraphs.subtract(section)
