@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from procwarden.llm import language, mixing
 from procwarden.llm.common import table
 from procwarden.llm.fingerprint import fingerprint_documents
 
@@ -14,7 +15,20 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.in_training_order(mixing.mix_documents(table(spark, sf_dir, "documents")))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_document_fingerprints": op1_document_fingerprints,
+    "op3_curriculum_mix": op3_curriculum_mix,
+    "op6_language_id": op6_language_id,
+}
+CHECKS: dict[str, str] = {
+    "op3_curriculum_mix": mixing.oracle_sql(),
 }
-CHECKS: dict[str, str] = {}
