@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from procwarden.llm import language, mixing
+from procwarden.llm import fixity, language, metric_join, mixing, toxicity
 from procwarden.llm.common import table
 from procwarden.llm.fingerprint import fingerprint_documents
+from procwarden.session import cut_lineage
 
 
 def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,11 +25,32 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.fit(docs))
 
 
+def op2_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    first = cut_lineage(fixity.records_of_pages(pages))
+    second = cut_lineage(fixity.records_of_pages(fixity.damaged(pages)))
+    return fixity.audit(first, second)
+
+
+def op9_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.grade_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_document_fingerprints": op1_document_fingerprints,
+    "op2_fixity_audit": op2_fixity_audit,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op6_language_id": op6_language_id,
+    "op9_metric_range_join": op9_metric_range_join,
+    "op10_toxicity": op10_toxicity,
 }
 CHECKS: dict[str, str] = {
+    "op2_fixity_audit": fixity.ORACLE,
     "op3_curriculum_mix": mixing.oracle_sql(),
+    "op9_metric_range_join": metric_join.ORACLE,
 }
