@@ -26,7 +26,7 @@ STEMS = (4, 5)  # bytes of a word's beginning that are features beside the word
 GRADES = 4
 #: Labelled documents that the model is fitted on, at most about so many of either kind.
 SAMPLE_PER_LABEL = 3_000
-EPOCHS, RATE, L1, L2 = 8, 0.6, 30.0, 0.1
+EPOCHS, RATE, L1, L2 = 8, 0.8, 25.0, 0.1
 L1_ROWS = 600  # with fewer labelled documents than this L1 shrinks in proportion
 MIN_DOCS = 4  # labelled documents that must hold a feature
 MARKER_ODDS = 3.0  # log odds between toxic and clean documents
@@ -130,8 +130,8 @@ def train(rows: pd.DataFrame) -> pd.DataFrame:
 def fit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The model as a table, from texts and their toxic labels (0 or 1; null ones are no labels).
 
-    About ``SAMPLE_PER_LABEL`` labelled documents of either kind are drawn by hash.  A
-    document with several labels counts as toxic if one of them says so.  Without a
+    About ``SAMPLE_PER_LABEL`` toxic documents are drawn by hash, and no more clean ones
+    than there are toxic ones.  A document with several labels counts as toxic if one of them says so.  Without a
     toxic label in the draw nothing is learned and every severity is 0.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(
@@ -141,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     if not sizes.get(1):
         return spark.createDataFrame([], "feature long, weight double")
     rate = F.when(F.col("toxic") == 1, min(1.0, SAMPLE_PER_LABEL / sizes[1])).otherwise(
-        min(1.0, SAMPLE_PER_LABEL / max(1, sizes.get(0, 0))))
+        min(1.0, min(SAMPLE_PER_LABEL, sizes[1]) / max(1, sizes.get(0, 0))))
     drawn = known.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < rate * 1_000_000)
     sample = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(
         F.broadcast(drawn), F.col("doc_id") == F.col("_id")).select("text", "toxic")
@@ -163,6 +163,7 @@ def grade_documents(docs: DataFrame, model: DataFrame) -> DataFrame:
     for feature, weight in rows:
         if feature >= 0:
             weights[feature] = weight
+    learned = bool(rows)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text"):
@@ -170,7 +171,7 @@ def grade_documents(docs: DataFrame, model: DataFrame) -> DataFrame:
             heavy = weights[found] != 0
             keys, n = np.unique((owner[heavy] << BITS) | found[heavy], return_counts=True)
             eta = np.bincount(keys >> BITS, np.log1p(n) * weights[keys & ((1 << BITS) - 1)], batch.num_rows)
-            spoken = np.bincount(owner, minlength=batch.num_rows) > 0
+            spoken = (np.bincount(owner, minlength=batch.num_rows) > 0) & learned
             above = np.where(spoken[:, None], _sigmoid(eta[:, None] - cuts[None, :]), 0.0)
             p = -np.diff(np.c_[np.ones(batch.num_rows), above, np.zeros(batch.num_rows)], axis=1)
             yield pa.RecordBatch.from_arrays(

