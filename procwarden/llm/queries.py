@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from procwarden.llm import fixity, language, metric_join, mixing, toxicity
+from procwarden.llm import fixity, jaccard_join, language, metric_join, mixing, toxicity
 from procwarden.llm.common import table
 from procwarden.llm.fingerprint import fingerprint_documents
 from procwarden.session import cut_lineage
@@ -20,6 +20,10 @@ def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.in_training_order(mixing.mix_documents(table(spark, sf_dir, "documents")))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.fit(docs))
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_fixity_audit": op2_fixity_audit,
     "op3_curriculum_mix": op3_curriculum_mix,
+    "op4_jaccard_join": op4_jaccard_join,
     "op6_language_id": op6_language_id,
     "op9_metric_range_join": op9_metric_range_join,
     "op10_toxicity": op10_toxicity,

@@ -14,7 +14,7 @@ def test_labels_are_learned(spark):
     got = toxicity.grade_documents(docs, toxicity.fit(docs, train)).join(
         labels.where("doc_id % 3 = 0").withColumnRenamed("toxic", "truth"), "doc_id").collect()
     truth, said = np.array([r.truth for r in got]), np.array([r.toxic for r in got])
-    assert said[truth == 1].mean() > 0.95 and said[truth == 0].mean() < 0.01
+    assert said[truth == 1].mean() > 0.9 and said[truth == 0].mean() < 0.01
     assert all(0 <= r.severity <= 3 and r.toxic == (r.p_toxic >= 0.5) for r in got)
 
 
