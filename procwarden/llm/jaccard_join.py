@@ -8,14 +8,15 @@ Links are found without comparing all pairs:
 * sets that link share a shingle among the first ``n - ceil(0.8 n) + 1`` of any
   common order of the shingles.  The order is by hash, with the shingles that are
   frequent in a sample of documents last; the sample changes the work only;
-* first, every document is compared with one leader per leading shingle.  That
-  finds the groups of copies, whose documents need no further comparison;
-* documents that share a shingle of their first part but are not in one
-  component yet form a tile, ordered by size and cut into blocks.  Pairs of
-  blocks whose size bands cannot link are left out.  In a pair of blocks the
-  bit counts of hashed bitmaps bound the overlap from above; pairs that pass are
-  decided by the exact intersection of sorted arrays, unless they are in one
-  component by then.
+* documents that share a shingle of their first parts form a tile.  In each of a
+  few rounds every tile has a leader, and its documents of other components are
+  compared with it; that finds the groups of copies at a cost linear in the tiles;
+* tiles that still hold several components are decided in full: documents outside
+  the largest component against all others, in blocks of bounded size and of size
+  bands that can link.  Pairs whose components have met by then are skipped.
+
+In either step the bit counts of hashed bitmaps bound the overlap from above;
+pairs that pass are decided by the exact intersection of sorted arrays.
 """
 
 from __future__ import annotations
@@ -24,24 +25,25 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from procwarden.llm.common import byte_slices, lowered, mix, small_or_shuffled, span_hashes, text_bytes, words
+from procwarden.llm.common import byte_slices, lowered, mix, span_hashes, text_bytes, words
 from procwarden.llm.graph import components
 from procwarden.session import cut_lineage
 
 WORDS = 5
 SHARE = 80  # per cent
-BITMAP_BITS = (6, 14)  # a signature has two bits or more per shingle, from 2**6 to 2**14 bits
-LEADING = 4  # shingles per document that propose leaders
+BITMAP_BITS = (6, 14)  # a signature has a bit or more per shingle, from 2**6 to 2**14 bits
+ROUNDS = 2  # rounds with leaders
 #: Documents whose shingles are counted to put frequent ones last, about so many.
 SAMPLE = 4_000
 #: Frequent shingles known to every task, at most so many.
 FREQUENT = 100_000
 BLOCK = 256  # documents of a block
+#: Ids (8 bytes each) that are broadcast to fetch their texts; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 _MULTIPLIERS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(WORDS)], np.uint64)
 
 
@@ -84,7 +86,7 @@ def _digest(shingles: bytes) -> bytes | None:
 
 def bitmap(shingles: np.ndarray) -> bytes:
     """A bit set for every shingle; sizes are powers of two, so that longer ones fold to shorter ones."""
-    size = 1 << min(max(BITMAP_BITS[0], (2 * len(shingles) - 1).bit_length()), BITMAP_BITS[1])
+    size = 1 << min(max(BITMAP_BITS[0], (len(shingles) - 1).bit_length()), BITMAP_BITS[1])
     bits = np.zeros(size, bool)
     bits[shingles.view(np.uint64) & np.uint64(size - 1)] = True
     return np.packbits(bits).tobytes()
@@ -167,60 +169,101 @@ def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _unpacked(bits: pd.Series) -> np.ndarray:
-    """One row of bits each, all folded to the shortest."""
-    maps = [np.unpackbits(np.frombuffer(b, np.uint8)) for b in bits]
-    size = min(map(len, maps))
-    return np.stack([m.reshape(-1, size).max(axis=0) for m in maps]).astype(np.float32)
+def _folded(mark: bytes, size: int) -> int:
+    """A signature as a number of ``size`` bytes."""
+    bits = int.from_bytes(mark, "big")
+    while (length := len(mark)) > size:
+        half = length * 4
+        bits = (bits >> half) | (bits & ((1 << half) - 1))
+        mark = mark[:length // 2]
+    return bits
 
 
-def _bounded(tile: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
-    """Pairs (i < j) of a tile that may link: of unlike components, by size and by bit counts."""
-    tile = tile.sort_values(["block", "id"]).reset_index(drop=True)
-    n, comp, marks = tile["n"].to_numpy(), tile["comp"].to_numpy(), _unpacked(tile["bits"])
-    set_bits = marks.sum(axis=1)
-    block = tile["block"].to_numpy()
-    least = needed(n[:, None], n[None, :])
-    # every shingle that only one set holds and that shows in the bitmap lowers the bound
-    common = marks @ marks.T
-    bound = np.minimum(n[:, None] - (set_bits[:, None] - common), n[None, :] - (set_bits[None, :] - common))
-    may = (comp[:, None] != comp[None, :]) & (bound >= least)
-    if tile["i"][0] != tile["j"][0]:  # pairs within a block belong to the block's own tile
-        may &= block[:, None] != block[None, :]
-    i, j = np.nonzero(np.triu(may, 1))
-    return tile, i, j
+def may_link(n: int, m: int, a: bytes, b: bytes) -> bool:
+    """Whether sets of n and m shingles with these signatures can link at all."""
+    least = needed(n, m)
+    if least > min(n, m):
+        return False
+    size = min(len(a), len(b))
+    x, y = _folded(a, size), _folded(b, size)
+    # a bit that only one signature has stands for one shingle or more that only one set has
+    return n - (x & ~y).bit_count() >= least and m - (y & ~x).bit_count() >= least
 
 
-def _candidates(tile: pd.DataFrame) -> pd.DataFrame:
-    tile, i, j = _bounded(tile)
-    some = np.unique(np.concatenate([i, j]))
-    return tile.iloc[some][["tile", "i", "j", "block", "id", "digest", "comp", "n", "bits"]]
-
-
-def _decide(tile: pd.DataFrame) -> pd.DataFrame:
-    """A spanning set of the links in a tile; pairs whose components have met are skipped."""
-    tile, left, right = _bounded(tile)
-    sets = [np.frombuffer(x, np.int64) for x in tile["shingles"]]
-    root = {c: c for c in tile["comp"]}
+def _promising(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = [may_link(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "bits", "bits_to")),
+                                              strict=True)]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    def find(c: int) -> int:
-        while root[c] != c:
-            root[c] = root[root[c]]
-            c = root[c]
-        return c
 
-    comp, ids, links = tile["comp"].to_numpy(), tile["id"].to_numpy(), []
-    for i, j in zip(left, right, strict=True):
-        p, q = find(comp[i]), find(comp[j])
-        if p != q and overlap(sets[i], sets[j]) >= needed(len(sets[i]), len(sets[j])):
-            root[max(p, q)] = min(p, q)
-            links.append((ids[i], ids[j]))
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+_KEY = ["tile", "l_band", "l_at", "r_band", "r_at"]
 
 
-def _with_component(reps: DataFrame, links: DataFrame) -> DataFrame:
-    return cut_lineage(reps.join(components(links).withColumnRenamed("node", "id"), "id", "left")
-                       .withColumn("comp", F.coalesce("component", "id")).drop("component"))
+def _runs(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[tuple, list[list]]]:
+    """Rows of sorted batches by block pair: the key and the values of every column."""
+    key, held = None, [[] for _ in columns]
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in _KEY], axis=1)
+        starts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, len(keys)]
+        values = [batch.column(c).to_pylist() for c in columns]
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            if key != (now := tuple(keys[a].tolist())):
+                if key is not None:
+                    yield key, held
+                key, held = now, [[] for _ in columns]
+            for old, new in zip(held, values, strict=True):
+                old += new[a:b]
+    if key is not None:
+        yield key, held
+
+
+def _pairs(left: list[bool], comp: list[int], n: list[int], bits: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Left against right rows of unlike components that may link."""
+    rights = [j for j, x in enumerate(left) if not x]
+    for i in (i for i, x in enumerate(left) if x):
+        for j in rights:
+            if comp[i] != comp[j] and may_link(n[i], n[j], bits[i], bits[j]):
+                yield i, j
+
+
+_ROW = ["left", "id", "comp", "n", "bits"]
+
+
+def _open(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the block pairs that have a promising partner."""
+    for key, (left, ids, comp, n, bits) in _runs(batches, _ROW):
+        some = sorted({k for pair in _pairs(left, comp, n, bits) for k in pair})
+        if some:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k] * len(some), pa.int64()) for k in key]
+                + [pa.array([left[k] for k in some]), pa.array([ids[k] for k in some], pa.int64()),
+                   pa.array([comp[k] for k in some], pa.int64()), pa.array([n[k] for k in some], pa.int64()),
+                   pa.array([bits[k] for k in some], pa.binary())], _KEY + _ROW)
+
+
+def _decide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning set of the links of each block pair."""
+    for _, (left, ids, comp, n, bits, raw) in _runs(batches, [*_ROW, "shingles"]):
+        sets = [np.frombuffer(x, np.int64) for x in raw]
+        root = {c: c for c in comp}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        links = []
+        for i, j in _pairs(left, comp, n, bits):
+            p, q = find(comp[i]), find(comp[j])
+            if p != q and overlap(sets[i], sets[j]) >= needed(len(sets[i]), len(sets[j])):
+                root[max(p, q)] = min(p, q)
+                links.append((ids[i], ids[j]))
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], ["a", "b"])
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
@@ -236,89 +279,109 @@ def join_documents(docs: DataFrame) -> DataFrame:
     profile = cut_lineage(docs.mapInArrow(
         _profile(late), "doc_id long, n long, digest binary, part array<long>, bits binary"))
     there = profile.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    # one document for every set: the smallest id, which may have more than one set if ids repeat
-    groups = there.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    reps = cut_lineage(there.join(groups, ["digest", "doc_id"], "left_semi").groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("part").alias("part"), F.first("bits").alias("bits")))
-    links = cut_lineage(_leader_links(docs, reps))
-    reps = _with_component(reps, links)
-    more = _tile_links(docs, reps)
-    named = components(links.union(more)).withColumnRenamed("node", "id")
-    component = (reps.select("digest", "id").join(named, "id", "left")
-                 .select("digest", F.coalesce("component", "id").alias("component_id")))
+    # one document for every set, the one of the smallest id
+    groups = cut_lineage(there.groupBy("digest").agg(F.min("doc_id").alias("id")))
+    reps = there.join(groups, (there["digest"] == groups["digest"]) & (there["doc_id"] == groups["id"]), "left_semi")
+    reps = cut_lineage(reps.withColumnRenamed("doc_id", "id").dropDuplicates(["digest"]))
+    shared = cut_lineage(reps.select(F.explode("part").alias("tile")).groupBy("tile").count()
+                         .where("count > 1").select("tile"))
+    first = reps.select("id", "n", F.explode("part").alias("tile"))
+    members = cut_lineage(first.hint("merge").join(shared, "tile"))
+    comp = reps.select("id", F.col("id").alias("comp"))
+    links = docs.sparkSession.createDataFrame([], "a long, b long")
+    for lowest in ([True, False] * ROUNDS)[:ROUNDS]:
+        if (found := _leader_links(docs, reps, members.join(comp, "id"), lowest)) is None:
+            break
+        links = cut_lineage(links.union(found))
+        comp = cut_lineage(reps.select("id").join(components(links).withColumnRenamed("node", "id"), "id", "left")
+                           .select("id", F.coalesce("component", "id").alias("comp")))
+    links = links.union(_tile_links(docs, reps, members.join(comp, "id"), 2 if ROUNDS else 1))
+    component = groups.join(components(links).withColumnRenamed("node", "id"), "id", "left").select(
+        "digest", F.coalesce("component", "id").alias("component_id"))
     return (profile.select("doc_id", F.col("n").alias("n_shingles"),
                            F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
             .join(component, "digest", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, shingles) of the given documents, computed from their texts again."""
-    return docs.withColumnRenamed("doc_id", "id").join(small_or_shuffled(ids), "id", "left_semi").select(
-        "id", "text").mapInArrow(_sets, "id long, digest binary, shingles binary")
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, digest, shingles) of the given documents, computed from their texts again."""
+    ids = cut_lineage(ids.distinct())
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return cut_lineage(docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").select("id", "text")
+                       .mapInArrow(_sets, "id long, digest binary, shingles binary"))
 
 
-def _leader_links(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Links of documents with the smallest document that shares a leading shingle."""
-    lead = reps.select("id", F.explode(F.slice("part", 1, LEADING)).alias("shingle"))
-    first = lead.groupBy("shingle").agg(F.min("id").alias("to"), F.count("*").alias("k")).where("k > 1").drop("k")
-    pairs = lead.join(first, "shingle").where("id > to").select("id", "to").distinct()
+def _leader_links(docs: DataFrame, reps: DataFrame, members: DataFrame, lowest: bool) -> DataFrame | None:
+    """Links of documents with the lowest or highest document of a tile, over components; None if no pair is left."""
+    pick = F.min if lowest else F.max
+    leader = (members.groupBy("tile").agg(pick(F.struct("id", "comp")).alias("to"), F.min("comp").alias("low"),
+                                          F.max("comp").alias("high"))
+              .where("low < high").select("tile", "to.*").withColumnsRenamed({"id": "a", "comp": "to_comp"}))
+    pairs = (members.join(leader, "tile").where("comp != to_comp").select("a", F.col("id").alias("b")).distinct())
+    marks = reps.select("id", "n", "bits")
     pairs = cut_lineage(
-        pairs.join(reps.select("id", "n"), "id").join(reps.select(F.col("id").alias("to"), F.col("n").alias("m")), "to")
-        .where(F.least("n", "m") * 100 >= F.greatest("n", "m") * SHARE)
-        .select(F.col("to").alias("a"), F.col("id").alias("b")))
-    sets = cut_lineage(_texts_of(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()))
+        pairs.join(marks.withColumnsRenamed({"id": "a"}), "a")
+        .join(marks.withColumnsRenamed({"id": "b", "n": "m", "bits": "bits_to"}), "b")
+        .select("a", "b", "n", "m", "bits", "bits_to").mapInArrow(_promising, "a long, b long"))
+    if pairs.isEmpty():
+        return None
+    sets = _sets_of(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b"))
     return both.mapInArrow(_linked, "a long, b long")
 
 
-def _tile_links(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Links between unlike components, from the tiles of shared shingles."""
-    part = reps.select("id", "comp", "n", F.explode("part").alias("tile"))
-    mixed = cut_lineage(part.groupBy("tile").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                                 F.count("*").alias("k")).where("low < high").select("tile", "k"))
-    members = cut_lineage(part.join(small_or_shuffled(mixed), "tile"))
-    spark = docs.sparkSession
-    if members.isEmpty():
-        return spark.createDataFrame([], "a long, b long")
-    # blocks of like sizes: a tile's documents by size, in bands of a factor of the threshold and parts of a band
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / SHARE)))).cast("long")
-    banded = members.withColumn("band", band)
-    sizes = banded.groupBy("tile", "band").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    around = sizes.select("tile", F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"),
-                          F.col("band").alias("of"), "parts")
-    # a block meets the blocks of its own band and of the next one: linked sizes differ by a factor of 1.25 at most
-    shape = around.groupBy("tile", "band").agg(
-        F.max(F.when(F.col("of") == F.col("band"), F.col("parts"))).alias("own"),
-        F.max(F.when(F.col("of") > F.col("band"), F.col("parts"))).alias("next"))
-    below = shape.select("tile", (F.col("band") + 1).alias("band"), F.col("own").alias("previous"))
-    shape = shape.join(below, ["tile", "band"], "left")
-    dealt = banded.join(shape, ["tile", "band"]).withColumn("at", F.pmod(F.xxhash64("id"), F.col("own")))
-    name = F.concat_ws("/", "band", "at")
-    upto = lambda n: F.sequence(F.lit(0), n - 1)
-    own = F.transform(upto(F.col("own")), lambda o: F.struct(
-        F.concat_ws("/", "band", F.least(o, F.col("at"))).alias("i"),
-        F.concat_ws("/", "band", F.greatest(o, F.col("at"))).alias("j")))
-    up = F.when(F.col("next").isNotNull(), F.transform(upto(F.col("next")), lambda o: F.struct(
-        name.alias("i"), F.concat_ws("/", (F.col("band") + 1).cast("string"), o).alias("j"))))
-    down = F.when(F.col("previous").isNotNull(), F.transform(upto(F.col("previous")), lambda o: F.struct(
-        F.concat_ws("/", (F.col("band") - 1).cast("string"), o).alias("i"), name.alias("j"))))
-    none = F.array().cast("array<struct<i:string,j:string>>")
-    placed = dealt.withColumn("to", F.explode(F.concat(own, F.coalesce(up, none), F.coalesce(down, none)))).select(
-        "tile", "to.i", "to.j", name.alias("block"), "id", "comp", "n")
-    # pairs of blocks that hold one component only have nothing to decide
-    open_ = placed.groupBy("tile", "i", "j").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-    placed = placed.join(open_.select("tile", "i", "j"), ["tile", "i", "j"], "left_semi")
-    placed = placed.join(reps.select("id", "n", "digest", "bits"), ["id", "n"])
-    schema = "tile long, i string, j string, block string, id long, digest binary, comp long, n long, bits binary"
-    left = cut_lineage(placed.groupBy("tile", "i", "j").applyInPandas(_candidates, schema))
-    if left.isEmpty():
-        return spark.createDataFrame([], "a long, b long")
-    # tiles with the same documents left decide the same pairs: one of them is enough
-    key = F.xxhash64(F.sort_array(F.collect_list("id")))
-    once = left.groupBy("tile", "i", "j").agg(key.alias("key")).groupBy("key").agg(
-        F.min(F.struct("tile", "i", "j")).alias("t")).select("t.*")
-    left = cut_lineage(left.join(once, ["tile", "i", "j"], "left_semi"))
-    sets = _texts_of(docs, left.select("id").distinct())
-    return cut_lineage(left.join(sets, ["id", "digest"]).groupBy("tile", "i", "j").applyInPandas(_decide, "a long, b long"))
+def _tile_links(docs: DataFrame, reps: DataFrame, members: DataFrame, decided: int) -> DataFrame:
+    """Links between the components that a tile still holds; tiles of ``decided`` documents or fewer are done."""
+    per_comp = members.groupBy("tile", "comp").agg(F.count("*").alias("k"))
+    mixed = per_comp.groupBy("tile").agg(F.max_by("comp", F.struct("k", "comp")).alias("major"),
+                                         F.count("*").alias("comps"), F.sum("k").alias("k")).where(
+        (F.col("comps") > 1) & (F.col("k") > decided))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / SHARE))))
+    rows = cut_lineage(members.join(mixed.select("tile", "major"), "tile").select(
+        "tile", "id", "comp", "n", band.alias("band"), (F.col("comp") != F.col("major")).alias("minor")))
+    if rows.isEmpty():
+        return docs.sparkSession.createDataFrame([], "a long, b long")
+    # sizes that link differ by a factor of 1.25 at most: a band meets itself and its neighbours
+    sizes = rows.groupBy("tile", "band").agg(F.ceil(F.count("*") / BLOCK).alias("all"),
+                                             F.ceil(F.sum(F.col("minor").cast("int")) / BLOCK).alias("minor"))
+    near = sizes.select("tile", "all", "minor", F.col("band").alias("of"),
+                        F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])).alias("band"))
+    shape = near.groupBy("tile", "band").agg(*[
+        F.coalesce(F.max(F.when(F.col("of") == F.col("band") + d, F.col(c))), F.lit(0)).alias(f"{c}_{d + 1}")
+        for c in ("all", "minor") for d in (-1, 0, 1)])
+    dealt = rows.join(shape, ["tile", "band"])
+
+    def at(parts: str):
+        return F.pmod(F.xxhash64("id"), F.greatest(F.col(parts), F.lit(1)))
+
+    def upto(parts: str):
+        return F.slice(F.sequence(F.lit(0), F.col(parts)), F.lit(1), F.col(parts).cast("int"))
+
+    def block(l_band, l_at, r_band, r_at, left: bool):
+        return F.struct(l_band.cast("long").alias("l_band"), l_at.cast("long").alias("l_at"),
+                        r_band.cast("long").alias("r_band"), r_at.cast("long").alias("r_at"), F.lit(left).alias("left"))
+
+    def to_rights(d: int):
+        return F.when(F.col("minor"), F.transform(upto(f"all_{d + 1}"), lambda x: block(
+            F.col("band"), at("minor_1"), F.col("band") + d, x, True)))
+
+    def to_lefts(d: int):
+        return F.transform(upto(f"minor_{d + 1}"), lambda x: block(F.col("band") + d, x, F.col("band"), at("all_1"), False))
+
+    to = [f(d) for d in (-1, 0, 1) for f in (to_rights, to_lefts)]
+    none = F.array().cast("array<struct<l_band:bigint,l_at:bigint,r_band:bigint,r_at:bigint,left:boolean>>")
+    placed = dealt.withColumn("to", F.explode(F.concat(*[F.coalesce(x, none) for x in to]))).select(
+        "tile", "to.*", "id", "comp", "n")
+    placed = placed.join(reps.select("id", "bits"), "id").select(*_KEY, *_ROW)
+    schema = ", ".join([*(f"{k} long" for k in _KEY), "left boolean, id long, comp long, n long, bits binary"])
+    found = cut_lineage(placed.repartition(*_KEY).sortWithinPartitions(*_KEY).mapInArrow(_open, schema))
+    # block pairs with the same documents left decide the same pairs: one of them is enough
+    key = F.xxhash64(F.sort_array(F.collect_list(F.struct("left", "id"))))
+    once = found.groupBy(*_KEY).agg(key.alias("key")).groupBy("key").agg(F.min(F.struct(*_KEY)).alias("t")).select("t.*")
+    found = cut_lineage(found.join(once, _KEY, "left_semi"))
+    sets = _sets_of(docs, found.select("id"))
+    known = reps.select("id", "digest").join(sets, ["id", "digest"]).drop("digest")
+    return cut_lineage(found.join(known, "id").select(*_KEY, *_ROW, "shingles").repartition(*_KEY)
+                       .sortWithinPartitions(*_KEY).mapInArrow(_decide, "a long, b long"))
