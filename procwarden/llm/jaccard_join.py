@@ -13,10 +13,11 @@ Links are found without comparing all pairs:
   compared with it; that finds the groups of copies at a cost linear in the tiles;
 * tiles that still hold several components are decided in full: documents outside
   the largest component against all others, in blocks of bounded size and of size
-  bands that can link.  Pairs whose components have met by then are skipped.
+  bands that can link.
 
-In either step the bit counts of hashed bitmaps bound the overlap from above;
-pairs that pass are decided by the exact intersection of sorted arrays.
+In either step the bit counts of hashed bitmaps bound the overlap from above, short
+ones first, then longer ones; pairs that pass are decided by the exact intersection
+of sorted arrays.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ from procwarden.session import cut_lineage
 
 WORDS = 5
 SHARE = 80  # per cent
-BITMAP_BITS = (6, 14)  # a signature has a bit or more per shingle, from 2**6 to 2**14 bits
+BITMAP_BITS = (6, 17)  # a signature has a bit or more per shingle, from 2**6 to 2**17 bits
+FINE = 8  # times as many bits has the second signature
 ROUNDS = 2  # rounds with leaders
 #: Documents whose shingles are counted to put frequent ones last, about so many.
 SAMPLE = 4_000
@@ -84,9 +86,9 @@ def _digest(shingles: bytes) -> bytes | None:
     return hashlib.blake2b(shingles, digest_size=16).digest() if shingles else None
 
 
-def bitmap(shingles: np.ndarray) -> bytes:
+def bitmap(shingles: np.ndarray, times: int = 1) -> bytes:
     """A bit set for every shingle; sizes are powers of two, so that longer ones fold to shorter ones."""
-    size = 1 << min(max(BITMAP_BITS[0], (len(shingles) - 1).bit_length()), BITMAP_BITS[1])
+    size = times << min(max(BITMAP_BITS[0], (len(shingles) - 1).bit_length()), BITMAP_BITS[1])
     bits = np.zeros(size, bool)
     bits[shingles.view(np.uint64) & np.uint64(size - 1)] = True
     return np.packbits(bits).tobytes()
@@ -148,10 +150,10 @@ def _profile(late: np.ndarray):
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in byte_slices(batches, "text"):
         found, at = shingle_sets(batch.column("text"))
-        sets = [found[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+        sets = [found[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array([_digest(x) for x in sets], pa.binary()), pa.array(sets, pa.binary())],
-            ["id", "digest", "shingles"])
+            [batch.column("id"), pa.array(np.diff(at)), pa.array([bitmap(x, FINE) for x in sets], pa.binary()),
+             pa.array([x.tobytes() for x in sets], pa.binary())], ["id", "n", "bits", "shingles"])
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -233,37 +235,11 @@ _ROW = ["left", "id", "comp", "n", "bits"]
 
 
 def _open(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the block pairs that have a promising partner."""
-    for key, (left, ids, comp, n, bits) in _runs(batches, _ROW):
-        some = sorted({k for pair in _pairs(left, comp, n, bits) for k in pair})
-        if some:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k] * len(some), pa.int64()) for k in key]
-                + [pa.array([left[k] for k in some]), pa.array([ids[k] for k in some], pa.int64()),
-                   pa.array([comp[k] for k in some], pa.int64()), pa.array([n[k] for k in some], pa.int64()),
-                   pa.array([bits[k] for k in some], pa.binary())], _KEY + _ROW)
-
-
-def _decide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A spanning set of the links of each block pair."""
-    for _, (left, ids, comp, n, bits, raw) in _runs(batches, [*_ROW, "shingles"]):
-        sets = [np.frombuffer(x, np.int64) for x in raw]
-        root = {c: c for c in comp}
-
-        def find(c: int) -> int:
-            while root[c] != c:
-                root[c] = root[root[c]]
-                c = root[c]
-            return c
-
-        links = []
-        for i, j in _pairs(left, comp, n, bits):
-            p, q = find(comp[i]), find(comp[j])
-            if p != q and overlap(sets[i], sets[j]) >= needed(len(sets[i]), len(sets[j])):
-                root[max(p, q)] = min(p, q)
-                links.append((ids[i], ids[j]))
-        if links:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], ["a", "b"])
+    """Promising pairs of every block pair."""
+    for _, (left, ids, comp, n, bits) in _runs(batches, _ROW):
+        pairs = sorted({(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in _pairs(left, comp, n, bits)})
+        if pairs:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs, strict=True)], ["a", "b"])
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
@@ -279,23 +255,21 @@ def join_documents(docs: DataFrame) -> DataFrame:
     profile = cut_lineage(docs.mapInArrow(
         _profile(late), "doc_id long, n long, digest binary, part array<long>, bits binary"))
     there = profile.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    # one document for every set, the one of the smallest id
     groups = cut_lineage(there.groupBy("digest").agg(F.min("doc_id").alias("id")))
-    reps = there.join(groups, (there["digest"] == groups["digest"]) & (there["doc_id"] == groups["id"]), "left_semi")
-    reps = cut_lineage(reps.withColumnRenamed("doc_id", "id").dropDuplicates(["digest"]))
+    reps = _representatives(there, groups)
     shared = cut_lineage(reps.select(F.explode("part").alias("tile")).groupBy("tile").count()
                          .where("count > 1").select("tile"))
     first = reps.select("id", "n", F.explode("part").alias("tile"))
-    members = cut_lineage(first.hint("merge").join(shared, "tile"))
-    comp = reps.select("id", F.col("id").alias("comp"))
+    members = cut_lineage(first.hint("merge").join(shared, "tile").withColumn("comp", F.col("id")))
     links = docs.sparkSession.createDataFrame([], "a long, b long")
     for lowest in ([True, False] * ROUNDS)[:ROUNDS]:
-        if (found := _leader_links(docs, reps, members.join(comp, "id"), lowest)) is None:
+        pairs = _leader_pairs(reps, members, lowest)
+        if pairs.isEmpty():
             break
-        links = cut_lineage(links.union(found))
-        comp = cut_lineage(reps.select("id").join(components(links).withColumnRenamed("node", "id"), "id", "left")
-                           .select("id", F.coalesce("component", "id").alias("comp")))
-    links = links.union(_tile_links(docs, reps, members.join(comp, "id"), 2 if ROUNDS else 1))
+        links = cut_lineage(links.union(_linked_pairs(docs, pairs)))
+        members = _renamed(members, links)
+    pairs = _tile_pairs(reps, members, 2 if ROUNDS else 1)
+    links = links.union(_linked_pairs(docs, pairs))
     component = groups.join(components(links).withColumnRenamed("node", "id"), "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component_id"))
     return (profile.select("doc_id", F.col("n").alias("n_shingles"),
@@ -304,36 +278,60 @@ def join_documents(docs: DataFrame) -> DataFrame:
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, digest, shingles) of the given documents, computed from their texts again."""
+def _small(ids: DataFrame) -> DataFrame:
+    """Ids for a join with wide rows: broadcast if they are counted few enough."""
     ids = cut_lineage(ids.distinct())
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return cut_lineage(docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").select("id", "text")
-                       .mapInArrow(_sets, "id long, digest binary, shingles binary"))
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _representatives(there: DataFrame, groups: DataFrame) -> DataFrame:
+    """(id, n, part, bits) of one document for every set, the one of the smallest id; only ids move."""
+    copies = there.select("digest", "doc_id").join(groups, "digest").where("doc_id != id").select("doc_id")
+    reps = there.join(_small(copies), "doc_id", "left_anti").withColumnRenamed("doc_id", "id")
+    repeated = _small(reps.groupBy("id").count().where("count > 1").select("id"))
+    if not repeated.isEmpty():
+        reps = reps.join(repeated, "id", "left_anti").unionByName(
+            reps.join(repeated, "id", "left_semi").dropDuplicates(["id"]).select(*reps.columns))
+    return reps
+
 
+def _renamed(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members with the components that the links make."""
+    named = components(links).withColumnsRenamed({"node": "id", "component": "_comp"})
+    return cut_lineage(members.join(named, "id", "left").withColumn("comp", F.coalesce("_comp", "id")).drop("_comp"))
 
-def _leader_links(docs: DataFrame, reps: DataFrame, members: DataFrame, lowest: bool) -> DataFrame | None:
-    """Links of documents with the lowest or highest document of a tile, over components; None if no pair is left."""
+
+def _linked_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose documents link; their sets are computed from the texts again."""
+    ids = _small(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
+    sets = cut_lineage(docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").select("id", "text")
+                       .mapInArrow(_sets, "id long, n long, bits binary, shingles binary").dropDuplicates(["id"]))
+    pairs = cut_lineage(_promising_pairs(pairs, sets))
+    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
+            .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b"))
+    return both.mapInArrow(_linked, "a long, b long")
+
+
+def _promising_pairs(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """The pairs that may link by their sizes and signatures."""
+    marks = signed.select("id", "n", "bits")
+    return (pairs.join(marks.withColumnsRenamed({"id": "a"}), "a")
+            .join(marks.withColumnsRenamed({"id": "b", "n": "m", "bits": "bits_to"}), "b")
+            .select("a", "b", "n", "m", "bits", "bits_to").mapInArrow(_promising, "a long, b long"))
+
+
+def _leader_pairs(reps: DataFrame, members: DataFrame, lowest: bool) -> DataFrame:
+    """Promising pairs of a document and the lowest or highest one of a tile, over components."""
     pick = F.min if lowest else F.max
     leader = (members.groupBy("tile").agg(pick(F.struct("id", "comp")).alias("to"), F.min("comp").alias("low"),
                                           F.max("comp").alias("high"))
               .where("low < high").select("tile", "to.*").withColumnsRenamed({"id": "a", "comp": "to_comp"}))
-    pairs = (members.join(leader, "tile").where("comp != to_comp").select("a", F.col("id").alias("b")).distinct())
-    marks = reps.select("id", "n", "bits")
-    pairs = cut_lineage(
-        pairs.join(marks.withColumnsRenamed({"id": "a"}), "a")
-        .join(marks.withColumnsRenamed({"id": "b", "n": "m", "bits": "bits_to"}), "b")
-        .select("a", "b", "n", "m", "bits", "bits_to").mapInArrow(_promising, "a long, b long"))
-    if pairs.isEmpty():
-        return None
-    sets = _sets_of(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
-    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b"))
-    return both.mapInArrow(_linked, "a long, b long")
+    pairs = members.join(leader, "tile").where("comp != to_comp").select("a", F.col("id").alias("b")).distinct()
+    return cut_lineage(_promising_pairs(pairs, reps))
 
 
-def _tile_links(docs: DataFrame, reps: DataFrame, members: DataFrame, decided: int) -> DataFrame:
-    """Links between the components that a tile still holds; tiles of ``decided`` documents or fewer are done."""
+def _tile_pairs(reps: DataFrame, members: DataFrame, decided: int) -> DataFrame:
+    """Promising pairs over the components of a tile; tiles of ``decided`` documents or fewer are done."""
     per_comp = members.groupBy("tile", "comp").agg(F.count("*").alias("k"))
     mixed = per_comp.groupBy("tile").agg(F.max_by("comp", F.struct("k", "comp")).alias("major"),
                                          F.count("*").alias("comps"), F.sum("k").alias("k")).where(
@@ -341,8 +339,6 @@ def _tile_links(docs: DataFrame, reps: DataFrame, members: DataFrame, decided: i
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / SHARE))))
     rows = cut_lineage(members.join(mixed.select("tile", "major"), "tile").select(
         "tile", "id", "comp", "n", band.alias("band"), (F.col("comp") != F.col("major")).alias("minor")))
-    if rows.isEmpty():
-        return docs.sparkSession.createDataFrame([], "a long, b long")
     # sizes that link differ by a factor of 1.25 at most: a band meets itself and its neighbours
     sizes = rows.groupBy("tile", "band").agg(F.ceil(F.count("*") / BLOCK).alias("all"),
                                              F.ceil(F.sum(F.col("minor").cast("int")) / BLOCK).alias("minor"))
@@ -375,13 +371,5 @@ def _tile_links(docs: DataFrame, reps: DataFrame, members: DataFrame, decided: i
     placed = dealt.withColumn("to", F.explode(F.concat(*[F.coalesce(x, none) for x in to]))).select(
         "tile", "to.*", "id", "comp", "n")
     placed = placed.join(reps.select("id", "bits"), "id").select(*_KEY, *_ROW)
-    schema = ", ".join([*(f"{k} long" for k in _KEY), "left boolean, id long, comp long, n long, bits binary"])
-    found = cut_lineage(placed.repartition(*_KEY).sortWithinPartitions(*_KEY).mapInArrow(_open, schema))
-    # block pairs with the same documents left decide the same pairs: one of them is enough
-    key = F.xxhash64(F.sort_array(F.collect_list(F.struct("left", "id"))))
-    once = found.groupBy(*_KEY).agg(key.alias("key")).groupBy("key").agg(F.min(F.struct(*_KEY)).alias("t")).select("t.*")
-    found = cut_lineage(found.join(once, _KEY, "left_semi"))
-    sets = _sets_of(docs, found.select("id"))
-    known = reps.select("id", "digest").join(sets, ["id", "digest"]).drop("digest")
-    return cut_lineage(found.join(known, "id").select(*_KEY, *_ROW, "shingles").repartition(*_KEY)
-                       .sortWithinPartitions(*_KEY).mapInArrow(_decide, "a long, b long"))
+    return cut_lineage(placed.repartition(*_KEY).sortWithinPartitions(*_KEY)
+                       .mapInArrow(_open, "a long, b long").distinct())
