@@ -222,22 +222,24 @@ def _runs(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[tup
         yield key, held
 
 
-def _pairs(left: list[bool], comp: list[int], n: list[int], bits: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Left against right rows of unlike components that may link."""
+def _pairs(left: list[bool], comp: list[int], n: list[int], bits: list[bytes],
+           lower: list[list[int]]) -> Iterator[tuple[int, int]]:
+    """Left against right rows of unlike components that may link and share no lower tile."""
     rights = [j for j, x in enumerate(left) if not x]
+    sets = [frozenset(x) for x in lower]
     for i in (i for i, x in enumerate(left) if x):
         for j in rights:
-            if comp[i] != comp[j] and may_link(n[i], n[j], bits[i], bits[j]):
+            if comp[i] != comp[j] and sets[i].isdisjoint(sets[j]) and may_link(n[i], n[j], bits[i], bits[j]):
                 yield i, j
 
 
-_ROW = ["left", "id", "comp", "n", "bits"]
+_ROW = ["left", "id", "comp", "n", "bits", "lower"]
 
 
 def _open(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Promising pairs of every block pair."""
-    for _, (left, ids, comp, n, bits) in _runs(batches, _ROW):
-        pairs = sorted({(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in _pairs(left, comp, n, bits)})
+    for _, (left, ids, comp, n, bits, lower) in _runs(batches, _ROW):
+        pairs = sorted({(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in _pairs(left, comp, n, bits, lower)})
         if pairs:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs, strict=True)], ["a", "b"])
 
@@ -370,6 +372,9 @@ def _tile_pairs(reps: DataFrame, members: DataFrame, decided: int) -> DataFrame:
     none = F.array().cast("array<struct<l_band:bigint,l_at:bigint,r_band:bigint,r_at:bigint,left:boolean>>")
     placed = dealt.withColumn("to", F.explode(F.concat(*[F.coalesce(x, none) for x in to]))).select(
         "tile", "to.*", "id", "comp", "n")
-    placed = placed.join(reps.select("id", "bits"), "id").select(*_KEY, *_ROW)
+    # a pair is looked at in the lowest tile that both documents are in
+    own = rows.groupBy("id").agg(F.collect_list("tile").alias("tiles"))
+    placed = placed.join(reps.select("id", "bits").join(own, "id"), "id").withColumn(
+        "lower", F.filter("tiles", lambda t: t < F.col("tile"))).select(*_KEY, *_ROW)
     return cut_lineage(placed.repartition(*_KEY).sortWithinPartitions(*_KEY)
                        .mapInArrow(_open, "a long, b long").distinct())
