@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from procwarden.llm import fixity, jaccard_join, language, metric_join, mixing, personal_data, toxicity
+from procwarden.llm import fixity, jaccard_join, language, metric_join, mixing, personal_data, sentencepiece_scan, toxicity
 from procwarden.llm.common import table
 from procwarden.llm.fingerprint import fingerprint_documents
 from procwarden.session import cut_lineage
@@ -36,6 +36,10 @@ def op2_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixity.audit(first, second)
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_scan.tokenize(table(spark, sf_dir, "documents"), sentencepiece_scan.load())
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_jaccard_join": op4_jaccard_join,
     "op6_language_id": op6_language_id,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_personal_data": op8_personal_data,
     "op9_metric_range_join": op9_metric_range_join,
     "op10_toxicity": op10_toxicity,
