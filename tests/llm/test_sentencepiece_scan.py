@@ -60,13 +60,13 @@ def test_against_the_library(vocabulary):
     library = sentencepiece.SentencePieceProcessor(model_proto=model.replace(mark, b"\x18\x01 \x80\xfa\x01"))
     import duckdb
     texts = [r[0] for r in duckdb.sql(f"SELECT text FROM read_parquet('{SMALL}/documents.parquet') LIMIT 60").fetchall()]
-    same = 0
     for text in texts:
         ours, theirs = vocabulary.encode(sp.SPACE + sp.shown(text)), library.encode(text)
         assert score(vocabulary, ours) >= score(vocabulary, theirs) - 1e-3 * len(text)
         assert library.decode(ours) == text
-        same += ours == theirs
-    assert same >= 0.9 * len(texts)
+    for word in sorted({w for t in texts for w in t.split()})[:2_000]:  # ties may differ, scores not
+        ours, theirs = vocabulary.encode(sp.SPACE + sp.shown(word)), library.encode(word)
+        assert score(vocabulary, ours) == pytest.approx(score(vocabulary, theirs))
 
 
 def test_transfer_matrices(vocabulary):
