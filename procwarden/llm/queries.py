@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from procwarden.llm import fixity, jaccard_join, language, metric_join, mixing, personal_data, sentencepiece_scan, toxicity
+from procwarden.llm import (
+    fixity,
+    jaccard_join,
+    language,
+    line_templates,
+    metric_join,
+    mixing,
+    personal_data,
+    sentencepiece_scan,
+    toxicity,
+)
 from procwarden.llm.common import table
 from procwarden.llm.fingerprint import fingerprint_documents
 from procwarden.session import cut_lineage
@@ -24,6 +34,11 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.fit(docs))
@@ -58,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fixity_audit": op2_fixity_audit,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_line_templates": op5_line_templates,
     "op6_language_id": op6_language_id,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_personal_data": op8_personal_data,
@@ -67,5 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 CHECKS: dict[str, str] = {
     "op2_fixity_audit": fixity.ORACLE,
     "op3_curriculum_mix": mixing.oracle_sql(),
+    "op5_line_templates": line_templates.ORACLE,
     "op9_metric_range_join": metric_join.ORACLE,
 }

@@ -24,13 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from procwarden.llm.common import span_hashes
 from procwarden.session import cut_lineage
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 8_192  # characters of a chunk
 FANIN = 32  # chunks, or groups of them, whose matrices one task multiplies
-CACHED_WORDS = 500_000  # segmented words that a task remembers
-CACHED_CHARS = 40  # longer words are not remembered
+SLICE_CHARS = 1_000_000  # characters segmented at once
+LONG_WORD = 48  # words of more characters are segmented one by one
 SPACE = "▁"
 _ESCAPE = "\udfff"  # stands for a U+2581 of the text itself; no text holds a lone surrogate
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")  # space marks and what follows up to the next one
@@ -55,8 +56,17 @@ class Vocabulary:
         for p in self.id_of:
             self.reach[p[:2]] = max(self.reach.get(p[:2], 0), len(p))
         self.bytes_of = {i: p.replace(SPACE, " ").encode() for i, p in self.text_of.items()} | self.byte_of
-        self._words: dict[str, list[int]] = {}
-        self.scores_of_words: dict[str, float] = {}
+        # all beginnings of pieces by the hash of their characters, for many places at once
+        heads = sorted({p[:k] for p in self.id_of for k in range(1, len(p) + 1)})
+        ends = np.cumsum([len(p) for p in heads])
+        hashes = span_hashes(_codes("".join(heads)), ends - [len(p) for p in heads], ends)
+        order = np.argsort(hashes)
+        self.head_hash = hashes[order]
+        self.head_id = np.array([self.id_of.get(p, -1) for p in heads], np.int32)[order]
+        self.head_score = np.array([self.score_of.get(p, _NEVER) for p in heads])[order]
+        # where a search among the sorted hashes begins and ends, by their first bits
+        self.head_at = np.searchsorted(self.head_hash, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48)).astype(np.int64)
+        self.head_steps = int(np.diff(np.r_[self.head_at, len(heads)]).max())
 
     def forward(self, text: str) -> tuple[list[float], list[int]]:
         """For every length of a beginning its best score and where its last piece begins."""
@@ -85,36 +95,119 @@ class Vocabulary:
         return [x for part in reversed(parts) for x in part]
 
     def encode(self, text: str) -> list[int]:
-        """Ids of the best segmentation, word by word if pieces cannot join words."""
-        if not self.words_apart:
-            return self.segment(text)
-        known, out = self._words, []
-        for word in _WORD.findall(text):
-            ids = known.get(word)
-            if ids is None:
-                ids = self.segment(word)
-                if len(word) <= CACHED_CHARS:
-                    if len(known) >= CACHED_WORDS:
-                        known.clear()
-                    known[word] = ids
-            out += ids
+        """Ids of the best segmentation of one text."""
+        return self.encode_all([text])[0].tolist()
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, where each text's begin, and the texts' scores."""
+        sizes = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(sizes)
+        codes = _codes("".join(texts))
+        mark = codes == ord(SPACE)
+        begins = np.zeros(len(codes) + 1, bool)
+        begins[(ends - sizes)[sizes > 0]] = True
+        if self.words_apart:
+            begins[1:-1] |= mark[1:] & ~mark[:-1]
+        starts = np.flatnonzero(begins[:-1])
+        stops = np.r_[starts[1:], len(codes)][:len(starts)]
+        _, first, kind = np.unique(span_hashes(codes, starts, stops), return_index=True, return_inverse=True)
+        ids, at, score = self._segment_words(codes, starts[first], stops[first])
+        # the words' ids, word by word
+        n = np.diff(at)[kind]
+        upto = np.cumsum(n)
+        flat = ids[np.arange(upto[-1] if len(n) else 0) - np.repeat(upto - n - at[kind], n)]
+        word_at = np.searchsorted(starts, np.r_[ends - sizes, len(codes)])
+        ids_at = np.r_[0, upto][word_at]
+        total = np.r_[0.0, np.cumsum(score[kind])][word_at]
+        return flat, ids_at, np.diff(total)
+
+    def _segment_words(self, codes: np.ndarray, starts: np.ndarray, stops: np.ndarray,
+                       ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words in a row, where each word's begin, and the words' scores; all words step by step together."""
+        sizes = stops - starts
+        base = np.cumsum(sizes) - sizes
+        own = codes[np.arange(sizes.sum()) - np.repeat(base - starts, sizes)] if len(sizes) else codes[:0]
+        place = np.arange(len(own)) - np.repeat(base, sizes)  # in the word
+        left = np.repeat(sizes, sizes) - place  # characters from here to the word's end
+        edges = self._edges(own, left)
+        slow = sizes > LONG_WORD
+        odd = edges[1][0] & (own >= 128)  # characters without a piece that are several bytes
+        slow[np.repeat(np.arange(len(sizes)), sizes)[odd]] = True
+        # one more slot per word, for its end
+        slot = np.arange(len(own)) + np.repeat(np.arange(len(sizes)), sizes)
+        head, end = base + np.arange(len(sizes)), base + np.arange(len(sizes)) + sizes
+        best = np.full(len(own) + len(sizes), _NEVER)
+        back, via = np.zeros(len(best), np.int64), np.zeros(len(best), np.int32)
+        best[head] = 0.0
+        fast = ~np.repeat(slow, sizes)
+        by_place: dict[int, list] = {}
+        for length, (at, piece, score) in edges[0].items():
+            keep = fast[at]
+            at, piece, score = at[keep], piece[keep], score[keep]
+            order = np.argsort(place[at], kind="stable")
+            at, piece, score = at[order], piece[order], score[order]
+            cut = np.searchsorted(place[at], np.arange(LONG_WORD + 2))
+            for k in np.flatnonzero(np.diff(cut)):
+                part = slice(cut[k], cut[k + 1])
+                by_place.setdefault(int(k), []).append((length, slot[at[part]], piece[part], score[part]))
+        for k in sorted(by_place):
+            for length, at, piece, score in by_place[k]:
+                total, to = best[at] + score, at + length
+                better = total > best[to]
+                to = to[better]
+                best[to], back[to], via[to] = total[better], at[better], piece[better]
+        words, steps, found = [], [], []
+        todo, now, step = np.flatnonzero(~slow), end[~slow], 0
+        while len(todo):
+            words.append(todo)
+            steps.append(np.full(len(todo), -step))
+            found.append(via[now])
+            now, step = back[now], step + 1
+            more = now != head[todo]
+            todo, now = todo[more], now[more]
+        totals = best[end]
+        for w in np.flatnonzero(slow):
+            text = own[base[w]:base[w] + sizes[w]].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+            ids = self.segment(text)
+            totals[w] = self.forward(text)[0][-1]
+            words.append(np.full(len(ids), w))
+            steps.append(np.arange(len(ids)))
+            found.append(np.array(ids, np.int32))
+        if not words:
+            return np.zeros(0, np.int32), np.zeros(1, np.int64), totals
+        words, steps, found = (np.concatenate(x) for x in (words, steps, found))
+        order = np.lexsort((steps, words))
+        return found[order].astype(np.int32), np.searchsorted(words[order], np.arange(len(sizes) + 1)), totals
+
+    def _edges(self, own: np.ndarray, left: np.ndarray) -> tuple[dict, tuple[np.ndarray]]:
+        """By length, the places where a piece begins with its id and score; and where no single character is one."""
+        at, out, unknown = np.arange(len(own)), {}, np.zeros(len(own), bool)
+        for length in range(1, self.longest + 1):
+            at = at[left[at] >= length]
+            if not len(at):
+                break
+            known = self._heads(span_hashes(own, at, at + length))
+            piece = np.where(known >= 0, self.head_id[np.maximum(known, 0)], -1)
+            if length == 1:
+                unknown = piece < 0
+                ids = np.where(unknown, np.array(self.byte_ids, np.int32)[own & 255], piece)
+                scores = np.where(unknown, self.unknown, self.head_score[np.maximum(known, 0)])
+                out[1] = (at, ids.astype(np.int32), scores)
+            elif (piece >= 0).any():
+                some = piece >= 0
+                out[length] = (at[some], piece[some], self.head_score[known[some]])
+            at = at[known >= 0]
+        return out, (unknown,)
+
+    def _heads(self, hashes: np.ndarray) -> np.ndarray:
+        """Index of every hash among the beginnings of pieces, -1 if it is none."""
+        bucket = (hashes >> np.uint64(48)).astype(np.int64)
+        at, out = self.head_at[bucket], np.full(len(hashes), -1, np.int64)
+        for step in range(self.head_steps):
+            here = np.minimum(at + step, len(self.head_hash) - 1)
+            out = np.where(self.head_hash[here] == hashes, here, out)
         return out
 
-    def score(self, text: str) -> float:
-        """Score of the best segmentation."""
-        known = self.scores_of_words
-        total = 0.0
-        for word in _WORD.findall(text) if self.words_apart else [text]:
-            s = known.get(word)
-            if s is None:
-                s = self.forward(word)[0][-1]
-                if len(word) <= CACHED_CHARS:
-                    if len(known) >= CACHED_WORDS:
-                        known.clear()
-                    known[word] = s
-            total += s
-        return total
-
     def ids(self, piece: str) -> list[int]:
         known = self.id_of.get(piece)
         return [known] if known is not None else [self.byte_ids[b] for b in raw(piece).encode("utf-8", "surrogatepass")]
@@ -124,6 +217,10 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 def shown(text: str) -> str:
     """The text as the vocabulary sees it, one character for one."""
     return text.replace(SPACE, _ESCAPE).replace(" ", SPACE)
@@ -167,7 +264,7 @@ def transfer(vocabulary: Vocabulary, text: str, size: int) -> np.ndarray:
                 if i <= size + j <= len(text):
                     out[i, j] = scores[size + j - i]
         return out
-    ahead = np.array([v.forward(text[i:first])[0][-1] for i in range(states)]) + v.score(text[first:last])
+    ahead = np.array([v.forward(text[i:first])[0][-1] for i in range(states)]) + v.encode_all([text[first:last]])[2][0]
     behind = v.forward(text[last:])[0]
     for j in range(states):
         if size + j <= len(text):
@@ -188,24 +285,40 @@ def _matrix(b: bytes, states: int) -> np.ndarray:
     return np.frombuffer(b, np.float64).reshape(states, states)
 
 
+def _encoded(v: Vocabulary, texts: list[str]) -> tuple[pa.Array, list[bool]]:
+    """Lists of ids, and whether they stand for the texts again byte by byte."""
+    flat, at, _ = v.encode_all(texts)
+    same = [v.decode(flat[a:b].tolist()) == raw(t).encode("utf-8", "surrogatepass")
+            for t, a, b in zip(texts, at[:-1], at[1:], strict=True)]
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32())), same
+
+
+def _parts(batch: pa.RecordBatch, texts: list[str]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Rows of a batch in groups of about SLICE_CHARS characters."""
+    group = np.cumsum([len(t) for t in texts]) // SLICE_CHARS
+    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else []
+    for a, b in zip(starts, np.r_[starts[1:], len(texts)], strict=True):
+        yield batch.slice(int(a), int(b - a)), texts[a:b]
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, chunk, chunks, start, ids, text): the pieces of every chunk of every text.
+    """(doc_id, row, chunk, chunks, ids, same): the pieces of every chunk of every text.
 
-    The chunks of a text in order are its encoding; ``text`` is what a chunk's ids stand for.
-    Texts of one chunk are encoded where they lie, others move chunk by chunk.  Null and
-    empty texts have one chunk without ids.  Repeated rows and ids are texts of their own:
-    chunks of a text share ``row``.
+    The chunks of a text in order are its encoding; ``same`` says whether a chunk's ids
+    decode to its text.  Texts of one chunk are encoded where they lie, others move chunk
+    by chunk.  Null and empty texts have one chunk without ids.  Repeated rows and ids are
+    texts of their own: chunks of a long text share ``row``.
     """
     v, states = vocabulary, vocabulary.longest
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                texts = part.column("text").to_pylist()
-                ids = [v.encode(SPACE + shown(t)) if t else [] for t in texts]
-                yield _out(part.column("doc_id"), [0] * len(ids), [0] * len(ids), [1] * len(ids), ids, texts)
+            texts = [SPACE + shown(t) if t else "" for t in batch.column("text").to_pylist()]
+            for part, some in _parts(batch, texts):
+                ids, same = _encoded(v, some)
+                n = part.num_rows
+                yield _out(part.column("doc_id"), [0] * n, [0] * n, [1] * n, ids, same)
 
     short = rows.where(F.length("text") <= CHUNK).mapInArrow(whole, SCHEMA)
     long = rows.where(F.length("text") > CHUNK)
@@ -242,27 +355,27 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def traced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = [], []
+            texts = []
             columns = (batch.column(c).to_pylist() for c in ("text", "chunk", "enters", "leaves"))
             for t, c, i, j in zip(*columns, strict=True):
                 t, size = _chunk_text(t, c, states)
-                own = t[i:size + j]
-                ids.append(v.encode(own))
-                texts.append(raw(own[1:] if c == 0 and i == 0 else own))
-            yield _out(batch.column("doc_id"), batch.column("row").to_pylist(), batch.column("chunk").to_pylist(),
-                       [x + 1 for x in batch.column("last").to_pylist()], ids, texts)
+                texts.append(t[i:size + j])
+            for part, some in _parts(batch, texts):
+                ids, same = _encoded(v, some)
+                yield _out(part.column("doc_id"), part.column("row"), part.column("chunk"),
+                           [x + 1 for x in part.column("last").to_pylist()], ids, same)
 
     return short.unionByName(ended.mapInArrow(traced, SCHEMA))
 
 
-SCHEMA = "doc_id long, row long, chunk long, chunks long, ids array<int>, text string"
+SCHEMA = "doc_id long, row long, chunk long, chunks long, ids array<int>, same boolean"
 
 
-def _out(doc_id: pa.Array, row: list, chunk: list, chunks: list, ids: list, texts: list) -> pa.RecordBatch:
+def _out(doc_id: pa.Array, *columns) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.bool_())
     return pa.RecordBatch.from_arrays(
-        [doc_id, pa.array(row, pa.int64()), pa.array(chunk, pa.int64()), pa.array(chunks, pa.int64()),
-         pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())],
-        ["doc_id", "row", "chunk", "chunks", "ids", "text"])
+        [doc_id, *(c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+        ["doc_id", "row", "chunk", "chunks", "ids", "same"])
 
 
 def _chunk_text(text: str, chunk: int, states: int) -> tuple[str, int]:
@@ -315,27 +428,21 @@ def _border_states(level: DataFrame, states: int) -> DataFrame:
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``encoded`` with ``same``: whether the ids of a chunk give back its text, byte by byte."""
+    """(doc_id, text) of (doc_id, ids) rows that hold whole encodings; null ids give null."""
     v = vocabulary
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("chunk", "ids", "text"))
-            same = []
-            for chunk, ids, text in zip(*columns, strict=True):
-                back = v.decode(ids)
-                want = text.encode("utf-8", "surrogatepass")
-                same.append(back == (b" " + want if chunk == 0 and ids else want))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "row", "chunk", "chunks", "ids")),
-                                              pa.array(same, pa.bool_())],
-                                             ["doc_id", "row", "chunk", "chunks", "ids", "same"])
+            texts = [None if ids is None else v.decode(ids)[1:].decode("utf-8", "replace")
+                     for ids in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encoded.mapInArrow(run, "doc_id long, row long, chunk long, chunks long, ids array<int>, same boolean")
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
 def tokenize(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip), one row per row: whole encodings, checked by decoding."""
-    done = decode(encode(docs, vocabulary), vocabulary)
+    done = encode(docs, vocabulary)
     single = done.where("chunks = 1").select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                                              F.col("same").alias("round_trip"))
     many = done.where("chunks > 1").groupBy("row").agg(

@@ -86,4 +86,6 @@ def test_whole_table(spark, vocabulary):
     docs = table(spark, SMALL, "documents")
     got = sp.tokenize(docs, vocabulary)
     assert got.count() == docs.count() and got.where("NOT round_trip").count() == 0
+    back = sp.decode(got, vocabulary)
+    assert back.exceptAll(docs.select("doc_id", "text")).count() == 0
     assert sp.tokenize(docs.where("false"), vocabulary).collect() == []
