@@ -111,12 +111,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class SpanHasher:
+    """64-bit hashes of stretches of an array: polynomials, taken from running sums."""
+
+    def __init__(self, data: np.ndarray) -> None:
+        up, self.down = _powers(len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=self.sums[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of each span: a polynomial, taken from running sums."""
-    up, down = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hash of the values of each span."""
+    return SpanHasher(data).of(starts, ends)
 
 
 def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SPACE,

@@ -24,13 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from procwarden.llm.common import span_hashes
+from procwarden.llm.common import SpanHasher, span_hashes
 from procwarden.session import cut_lineage
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 8_192  # characters of a chunk
 FANIN = 32  # chunks, or groups of them, whose matrices one task multiplies
 SLICE_CHARS = 1_000_000  # characters segmented at once
+TABLE_BITS = 20
 LONG_WORD = 48  # words of more characters are segmented one by one
 SPACE = "▁"
 _ESCAPE = "\udfff"  # stands for a U+2581 of the text itself; no text holds a lone surrogate
@@ -64,9 +65,12 @@ class Vocabulary:
         self.head_hash = hashes[order]
         self.head_id = np.array([self.id_of.get(p, -1) for p in heads], np.int32)[order]
         self.head_score = np.array([self.score_of.get(p, _NEVER) for p in heads])[order]
-        # where a search among the sorted hashes begins and ends, by their first bits
-        self.head_at = np.searchsorted(self.head_hash, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48)).astype(np.int64)
-        self.head_steps = int(np.diff(np.r_[self.head_at, len(heads)]).max())
+        # the hash at a slot of a table by first bits; of heads that share a slot the others are searched for
+        slot = (self.head_hash >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        self.table = np.full(1 << TABLE_BITS, -1, np.int32)
+        self.table[slot] = np.arange(len(slot))
+        self.crowded = np.zeros(1 << TABLE_BITS, bool)
+        self.crowded[slot[1:][slot[1:] == slot[:-1]]] = True
 
     def forward(self, text: str) -> tuple[list[float], list[int]]:
         """For every length of a beginning its best score and where its last piece begins."""
@@ -129,9 +133,10 @@ class Vocabulary:
         own = codes[np.arange(sizes.sum()) - np.repeat(base - starts, sizes)] if len(sizes) else codes[:0]
         place = np.arange(len(own)) - np.repeat(base, sizes)  # in the word
         left = np.repeat(sizes, sizes) - place  # characters from here to the word's end
+        step_of = np.minimum(place, 255).astype(np.uint8)  # small numbers sort fast
         edges = self._edges(own, left)
         slow = sizes > LONG_WORD
-        odd = edges[1][0] & (own >= 128)  # characters without a piece that are several bytes
+        odd = edges[1] & (own >= 128)  # characters without a piece that are several bytes
         slow[np.repeat(np.arange(len(sizes)), sizes)[odd]] = True
         # one more slot per word, for its end
         slot = np.arange(len(own)) + np.repeat(np.arange(len(sizes)), sizes)
@@ -144,9 +149,9 @@ class Vocabulary:
         for length, (at, piece, score) in edges[0].items():
             keep = fast[at]
             at, piece, score = at[keep], piece[keep], score[keep]
-            order = np.argsort(place[at], kind="stable")
+            order = np.argsort(step_of[at], kind="stable")
             at, piece, score = at[order], piece[order], score[order]
-            cut = np.searchsorted(place[at], np.arange(LONG_WORD + 2))
+            cut = np.searchsorted(step_of[at], np.arange(LONG_WORD + 2))
             for k in np.flatnonzero(np.diff(cut)):
                 part = slice(cut[k], cut[k + 1])
                 by_place.setdefault(int(k), []).append((length, slot[at[part]], piece[part], score[part]))
@@ -179,33 +184,36 @@ class Vocabulary:
         order = np.lexsort((steps, words))
         return found[order].astype(np.int32), np.searchsorted(words[order], np.arange(len(sizes) + 1)), totals
 
-    def _edges(self, own: np.ndarray, left: np.ndarray) -> tuple[dict, tuple[np.ndarray]]:
+    def _edges(self, own: np.ndarray, left: np.ndarray) -> tuple[dict, np.ndarray]:
         """By length, the places where a piece begins with its id and score; and where no single character is one."""
-        at, out, unknown = np.arange(len(own)), {}, np.zeros(len(own), bool)
+        at, out, unknown, hasher = np.arange(len(own)), {}, np.zeros(len(own), bool), SpanHasher(own)
         for length in range(1, self.longest + 1):
             at = at[left[at] >= length]
             if not len(at):
                 break
-            known = self._heads(span_hashes(own, at, at + length))
+            known = self._heads(hasher.of(at, at + length))
             piece = np.where(known >= 0, self.head_id[np.maximum(known, 0)], -1)
             if length == 1:
-                unknown = piece < 0
-                ids = np.where(unknown, np.array(self.byte_ids, np.int32)[own & 255], piece)
-                scores = np.where(unknown, self.unknown, self.head_score[np.maximum(known, 0)])
+                none = piece < 0
+                unknown[at[none]] = True
+                ids = np.where(none, np.array(self.byte_ids, np.int32)[own[at] & 255], piece)
+                scores = np.where(none, self.unknown, self.head_score[np.maximum(known, 0)])
                 out[1] = (at, ids.astype(np.int32), scores)
             elif (piece >= 0).any():
                 some = piece >= 0
                 out[length] = (at[some], piece[some], self.head_score[known[some]])
             at = at[known >= 0]
-        return out, (unknown,)
+        return out, unknown
 
     def _heads(self, hashes: np.ndarray) -> np.ndarray:
         """Index of every hash among the beginnings of pieces, -1 if it is none."""
-        bucket = (hashes >> np.uint64(48)).astype(np.int64)
-        at, out = self.head_at[bucket], np.full(len(hashes), -1, np.int64)
-        for step in range(self.head_steps):
-            here = np.minimum(at + step, len(self.head_hash) - 1)
-            out = np.where(self.head_hash[here] == hashes, here, out)
+        slot = (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        out = self.table[slot]
+        out[self.head_hash[out] != hashes] = -1
+        more = np.flatnonzero((out < 0) & self.crowded[slot])
+        if len(more):
+            at = np.minimum(np.searchsorted(self.head_hash, hashes[more]), len(self.head_hash) - 1)
+            out[more] = np.where(self.head_hash[at] == hashes[more], at, -1)
         return out
 
     def ids(self, piece: str) -> list[int]:
