@@ -280,7 +280,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
-def _small(ids: DataFrame) -> DataFrame:
+def few_ids(ids: DataFrame) -> DataFrame:
     """Ids for a join with wide rows: broadcast if they are counted few enough."""
     ids = cut_lineage(ids.distinct())
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
@@ -289,8 +289,8 @@ def _small(ids: DataFrame) -> DataFrame:
 def _representatives(there: DataFrame, groups: DataFrame) -> DataFrame:
     """(id, n, part, bits) of one document for every set, the one of the smallest id; only ids move."""
     copies = there.select("digest", "doc_id").join(groups, "digest").where("doc_id != id").select("doc_id")
-    reps = there.join(_small(copies), "doc_id", "left_anti").withColumnRenamed("doc_id", "id")
-    repeated = _small(reps.groupBy("id").count().where("count > 1").select("id"))
+    reps = there.join(few_ids(copies), "doc_id", "left_anti").withColumnRenamed("doc_id", "id")
+    repeated = few_ids(reps.groupBy("id").count().where("count > 1").select("id"))
     if not repeated.isEmpty():
         reps = reps.join(repeated, "id", "left_anti").unionByName(
             reps.join(repeated, "id", "left_semi").dropDuplicates(["id"]).select(*reps.columns))
@@ -305,7 +305,7 @@ def _renamed(members: DataFrame, links: DataFrame) -> DataFrame:
 
 def _linked_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose documents link; their sets are computed from the texts again."""
-    ids = _small(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
+    ids = few_ids(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
     sets = cut_lineage(docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").select("id", "text")
                        .mapInArrow(_sets, "id long, n long, bits binary, shingles binary").dropDuplicates(["id"]))
     pairs = cut_lineage(_promising_pairs(pairs, sets))

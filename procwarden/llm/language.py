@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from procwarden.llm.common import byte_slices
 from procwarden.session import cut_lineage
@@ -195,7 +196,7 @@ class Model:
             elif feature >= 0:
                 self.weights[feature, at[label]] = weight
 
-    def predict(self, texts: list[str], grams: Grams) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: list[str], grams: Grams) -> tuple[list[str], np.ndarray, np.ndarray]:
         n = len(texts)
         total, letters, sums = np.zeros(n), np.zeros(n), np.zeros((n, len(self.labels)))
         for owner, letter, found in grams.blocks(texts):
@@ -208,30 +209,40 @@ class Model:
             for g in found:
                 sums[who] += np.add.reduceat(self.weights[g], starts, axis=0)
         if not self.labels:
-            return [UNKNOWN] * n, np.zeros(n)
+            return [UNKNOWN] * n, np.zeros(n), letters > 0
         p = _softmax((sums * (SCALE / np.maximum(total, 1))[:, None] + self.bias) / self.temperature)
         best = p.argmax(axis=1)
         known = letters > 0
         return ([self.labels[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)],
-                np.where(known, p[np.arange(n), best], 0.0))
+                np.where(known, p[np.arange(n), best], 0.0), known)
 
 
-def identify(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score), one row per row of ``docs``.
-
-    Only the text is looked at.  Null texts, and texts without a letter, are
-    ``und`` with score 0, as is every text if nothing could be learned; equal
-    texts get equal answers; other columns are ignored.
-    """
+def _predictions(model: DataFrame):
     learned = Model([tuple(r) for r in model.select("label", "feature", "weight").collect()])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
         for batch in byte_slices(batches, "text"):
-            labels, score = learned.predict([t or "" for t in batch.column("text").to_pylist()], grams)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(labels, pa.string()),
-                 pa.array(np.clip(score, 0, 1), pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+            labels, score, letters = learned.predict([t or "" for t in batch.column("text").to_pylist()], grams)
+            out = pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(labels, pa.string()), pa.array(np.clip(score, 0, 1), pa.float64()),
+                 pa.array(letters, pa.bool_())], [*batch.schema.names, "lang_pred", "score", "has_letters"])
+            yield out
+    return run
+
+
+def add_language(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """``docs`` with lang_pred, score and has_letters, which look at the text only.
 
-    rows = docs.select("doc_id", (part_of(F.col("doc_id")) == 2).alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    Null texts, and texts without a letter, are ``und`` with score 0, as is every text if
+    nothing could be learned; equal texts get equal answers.  The three names must be free.
+    """
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType()), T.StructField("has_letters", T.BooleanType())])
+    return docs.mapInArrow(_predictions(model), schema)
+
+
+def identify(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score), one row per row of ``docs``; other columns are ignored."""
+    slim = docs.select("doc_id", (part_of(F.col("doc_id")) == 2).alias("held_out"), "text")
+    return add_language(slim, model).select("doc_id", "held_out", "lang_pred", "score")

@@ -72,8 +72,8 @@ def placed(share: Column, knots: tuple[tuple[float, float], ...]) -> Column:
     return out
 
 
-def mix_sources(sized: DataFrame) -> DataFrame:
-    """Add source_size, target, taken and training positions to (doc_id, source, size).
+def mix_sources(sized: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Add source_size, target, taken and training positions to (doc_id, source, size) and ``keep``.
 
     Sources by code point, null last, have the repeating ``WEIGHTS``.  Documents of
     a source come in hash order and are taken whole until the target, rounded to a
@@ -84,7 +84,8 @@ def mix_sources(sized: DataFrame) -> DataFrame:
     Repeated rows are documents of their own; those without words are never taken
     (taken 0).  An empty table gives no rows, and so do no words at all targets of 0.
     """
-    sized = cut_lineage(sized.select("doc_id", "source", "size", hash_order(F.col("doc_id")).alias("_h")))
+    sized = cut_lineage(sized.select(
+        "doc_id", "source", "size", *(keep or []), hash_order(F.col("doc_id")).alias("_h")))
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs"))
     ranked = with_rank(sums, [F.col("source").asc_nulls_last()], "_rank")
     sources = cut_lineage(ranked.withColumns({
@@ -117,7 +118,7 @@ def mix_sources(sized: DataFrame) -> DataFrame:
     return run.withColumns(columns).select(
         "doc_id", "source", "size", "source_size", "target",
         (F.col("first_taken") + F.col("second_taken")).alias("taken"),
-        "first_taken", "second_taken", "first_position", "second_position")
+        "first_taken", "second_taken", "first_position", "second_position", *(keep or []))
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
