@@ -91,17 +91,26 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS["up"]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            factors = np.full(size, base, np.uint64)
-            factors[0] = 1
-            _POWERS[name] = np.cumprod(factors)
-    return _POWERS["up"], _POWERS["down"]
+class _Powers:
+    """Powers of the base and of its inverse, kept in a process; they are never sent along."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.zeros(0, np.uint64)
+
+    def __reduce__(self):
+        return _Powers, ()
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, SLICE_BYTES + 1)
+            self.up, self.down = (np.cumprod(np.r_[np.ones(1, np.uint64), np.full(size - 1, base, np.uint64)])
+                                  for base in (_BASE, pow(_BASE, -1, 1 << 64)))
+        return self.up, self.down
+
+
+_POWERS = _Powers()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -115,7 +124,7 @@ class SpanHasher:
     """64-bit hashes of stretches of an array: polynomials, taken from running sums."""
 
     def __init__(self, data: np.ndarray) -> None:
-        up, self.down = _powers(len(data) + 1)
+        up, self.down = _POWERS.of(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=self.sums[1:])
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from procwarden.llm.common import small_or_shuffled
 from procwarden.session import cut_lineage
 
-TOKEN = r"[^\x20\x09-\x0D]+"
+NUMBERED = "[^ ]*[0-9][^ ]*"  # a token with a digit
 VARIABLE = "<*>"
 DEPTH = 3  # leading tokens that lead to a leaf
 MIN_TOKENS = 3  # shorter lines are never dropped
@@ -25,12 +25,17 @@ CONSTANT = 0.7  # share of a template's tokens that must be constant
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, pos, tokens, leaf) of the lines that are long enough."""
-    numbered = F.regexp_replace("line", r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", VARIABLE)
-    return (docs.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-            .select("row", "doc_id", "pos", F.regexp_extract_all(numbered, F.lit(TOKEN), F.lit(0)).alias("tokens"))
-            .where(F.size("tokens") >= MIN_TOKENS)
-            .withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH))))
+    """(row, doc_id, pos, line, leaf) of the lines that are long enough, one space between tokens.
+
+    The way down the tree needs the number of spaces and the leading tokens only.
+    """
+    spaced = F.translate("line", "\t\x0b\x0c\r", "    ")
+    spaced = F.trim(F.when(spaced.contains("  "), F.regexp_replace(spaced, " +", " ")).otherwise(spaced))
+    lines = (docs.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+             .select("row", "doc_id", "pos", spaced.alias("line")))
+    n_tokens = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    lead = F.regexp_replace(F.substring_index("line", " ", DEPTH), NUMBERED, VARIABLE)
+    return lines.where(n_tokens >= MIN_TOKENS).withColumn("leaf", F.xxhash64(n_tokens, lead))
 
 
 def _recurring(named: DataFrame, name: str) -> DataFrame:
@@ -45,7 +50,9 @@ def recurring_lines(docs: DataFrame) -> DataFrame:
     """(row, dropped): places (from 0) of the lines to drop, of (row, doc_id, text) rows."""
     lines = _lines(docs)
     leaves = cut_lineage(_recurring(lines, "leaf").select("leaf"))
-    lines = cut_lineage(lines.join(small_or_shuffled(leaves), "leaf").withColumn("line", F.xxhash64("leaf", "tokens")))
+    tokens = F.split(F.regexp_replace("line", NUMBERED, VARIABLE), " ")
+    lines = lines.join(small_or_shuffled(leaves), "leaf").select("row", "doc_id", "pos", "leaf", tokens.alias("tokens"))
+    lines = cut_lineage(lines.withColumn("line", F.xxhash64("leaf", "tokens")))
     # equal lines are generalised once
     kinds = cut_lineage(lines.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"), F.count("*").alias("n")))
     placed = kinds.select("leaf", "line", "n", F.posexplode("tokens").alias("at", "token"))

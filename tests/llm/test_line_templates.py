@@ -1,5 +1,3 @@
-import re
-
 from check import compare, connect
 from conftest import SMALL
 from procwarden.llm import line_templates as lt
@@ -29,6 +27,12 @@ def test_rare_and_short_lines_stay(spark):
     assert all(r.n_dropped == 0 for r in run(spark, rows).collect())
 
 
+def test_any_white_space_parts_tokens(spark):
+    rows = [(i, f"one\ttwo  three\x0bfour 12{i}\r\nown{i} a{i * 'x'} b{i * 'y'}") for i in range(1, 4)]
+    rows.append((9, " one two three four 7 "))
+    assert [r.n_dropped for r in run(spark, rows).orderBy("doc_id").collect()] == [0, 1, 1, 1]
+
+
 def test_odd_rows(spark):
     same = "a line that many have\nanother"
     rows = [(None, same), (9, same), (3, same), (3, same), (4, None), (5, ""), (6, "\n\n"), (7, same + "\n" + "w " * 50_000),
@@ -45,4 +49,3 @@ def test_odd_rows(spark):
 def test_against_sql(spark):
     folder = SMALL.replace("0.001", "0.01")
     assert compare(spark, connect(folder), "op5_line_templates", folder) == "ok"
-    assert re.compile(lt.TOKEN).findall("a\x0bb c") == ["a", "b", "c"]
