@@ -29,8 +29,8 @@ def _lines(docs: DataFrame) -> DataFrame:
 
     The way down the tree needs the number of spaces and the leading tokens only.
     """
-    spaced = F.translate("line", "\t\x0b\x0c\r", "    ")
-    spaced = F.trim(F.when(spaced.contains("  "), F.regexp_replace(spaced, " +", " ")).otherwise(spaced))
+    line = F.col("line")
+    spaced = F.when(line.rlike(r"[\x09-\x0D]|  |^ | $"), F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
     lines = (docs.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
              .select("row", "doc_id", "pos", spaced.alias("line")))
     n_tokens = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1

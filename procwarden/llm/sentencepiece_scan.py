@@ -31,6 +31,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 8_192  # characters of a chunk
 FANIN = 32  # chunks, or groups of them, whose matrices one task multiplies
 SLICE_CHARS = 1_000_000  # characters segmented at once
+KNOWN_WORDS = 300_000  # segmented words that a task remembers, at most about so many
 TABLE_BITS = 18  # slots of the table of piece beginnings: 2**TABLE_BITS
 LONG_WORD = 48  # words of more characters are segmented one by one
 SPACE = "▁"
@@ -72,6 +73,14 @@ class Vocabulary:
         self.crowded = np.zeros(1 << TABLE_BITS, bool)
         self.crowded[slot[1:][slot[1:] == slot[:-1]]] = True
 
+        self._forget()
+
+    def _forget(self) -> None:
+        """Words by hash, with the places of their ids in a row, their scores, and whether they decode to themselves."""
+        self.known: dict[int, int] = {}
+        self.flat, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.scores, self.fine = np.zeros(0), np.zeros(0, bool)
+
     def forward(self, text: str) -> tuple[list[float], list[int]]:
         """For every length of a beginning its best score and where its last piece begins."""
         n, scores, reach = len(text), self.score_of, self.reach
@@ -102,8 +111,8 @@ class Vocabulary:
         """Ids of the best segmentation of one text."""
         return self.encode_all([text])[0].tolist()
 
-    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, where each text's begin, and the texts' scores."""
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, where each text's begin, the texts' scores, and whether they decode to the texts."""
         sizes = np.array([len(t) for t in texts], np.int64)
         ends = np.cumsum(sizes)
         codes = _codes("".join(texts))
@@ -114,16 +123,37 @@ class Vocabulary:
             begins[1:-1] |= mark[1:] & ~mark[:-1]
         starts = np.flatnonzero(begins[:-1])
         stops = np.r_[starts[1:], len(codes)][:len(starts)]
-        _, first, kind = np.unique(span_hashes(codes, starts, stops), return_index=True, return_inverse=True)
-        ids, at, score = self._segment_words(codes, starts[first], stops[first])
+        hashes, first, kind = np.unique(span_hashes(codes, starts, stops), return_index=True, return_inverse=True)
+        place = self._places(hashes, codes, starts[first], stops[first])
         # the words' ids, word by word
-        n = np.diff(at)[kind]
+        word = place[kind]
+        n = self.at[word + 1] - self.at[word]
         upto = np.cumsum(n)
-        flat = ids[np.arange(upto[-1] if len(n) else 0) - np.repeat(upto - n - at[kind], n)]
+        flat = self.flat[np.arange(upto[-1] if len(n) else 0) - np.repeat(upto - n - self.at[word], n)]
         word_at = np.searchsorted(starts, np.r_[ends - sizes, len(codes)])
         ids_at = np.r_[0, upto][word_at]
-        total = np.r_[0.0, np.cumsum(score[kind])][word_at]
-        return flat, ids_at, np.diff(total)
+        total = np.r_[0.0, np.cumsum(self.scores[word])][word_at]
+        wrong = np.r_[0, np.cumsum(~self.fine[word])][word_at]
+        return flat, ids_at, np.diff(total), np.diff(wrong) == 0
+
+    def _places(self, hashes: np.ndarray, codes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Places of words among the known ones; new words are segmented, and decoded to see if they come back."""
+        if len(self.known) > KNOWN_WORDS:
+            self._forget()
+        keys = hashes.tolist()
+        new = np.array([i for i, h in enumerate(keys) if h not in self.known], np.int64)
+        if len(new):
+            ids, at, score = self._segment_words(codes, starts[new], stops[new])
+            whole = codes.astype("<u4").tobytes()
+            bounds, listed = at.tolist(), ids.tolist()
+            fine = [self.decode(listed[a:b]) == raw(whole[4 * i:4 * j].decode("utf-32-le", "surrogatepass")).encode(
+                "utf-8", "surrogatepass") for a, b, i, j in zip(bounds[:-1], bounds[1:], starts[new].tolist(),
+                                                                stops[new].tolist(), strict=True)]
+            self.known.update(zip((keys[i] for i in new.tolist()), range(len(self.fine), len(self.fine) + len(new))))
+            self.at = np.r_[self.at, at[1:] + len(self.flat)]
+            self.flat = np.concatenate([self.flat, ids])
+            self.scores, self.fine = np.r_[self.scores, score], np.r_[self.fine, np.array(fine, bool)]
+        return np.array([self.known[h] for h in keys], np.int64)
 
     def _segment_words(self, codes: np.ndarray, starts: np.ndarray, stops: np.ndarray,
                        ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -250,33 +280,44 @@ def load(path: str = MODEL) -> Vocabulary:
     return Vocabulary([p for p in pieces if _ESCAPE not in p[0]], byte_ids)
 
 
-def transfer(vocabulary: Vocabulary, text: str, size: int) -> np.ndarray:
-    """Best scores from every state at a chunk's start to every state at its end.
+def word_borders(v: Vocabulary, text: str, size: int) -> tuple[int, int] | None:
+    """First and last place in a chunk that no piece crosses, beyond the reach of the chunk before."""
+    found = re.search(f"[^{SPACE}]{SPACE}", text[v.longest - 1:size + 1]) if v.words_apart else None
+    if not found:
+        return None
+    first = last = v.longest + found.start()
+    for i in range(size, first, -1):
+        if text[i:i + 1] == SPACE and text[i - 1] != SPACE:
+            last = i
+            break
+    return first, last
+
+
+def transfers(v: Vocabulary, chunks: list[tuple[str, int]]) -> list[np.ndarray]:
+    """Best scores from every state at a chunk's start to every state at its end, chunk by chunk.
 
-    ``text`` is the chunk of ``size`` characters and what follows of the next one, up to a
-    piece's length less one.  Between the first and the last word the score is one number.
+    A chunk comes as its text, with what follows up to a piece's length less one, and its
+    size.  Between the first and the last border of words the score is one number.
     """
-    v, states = vocabulary, vocabulary.longest
-    out = np.full((states, states), _NEVER)
-    first = last = None
-    if v.words_apart and (found := re.search(f"[^{SPACE}]{SPACE}", text[states - 1:size + 1])):
-        first = last = states + found.start()
-        for i in range(size, first, -1):
-            if text[i:i + 1] == SPACE and text[i - 1] != SPACE:
-                last = i
-                break
-    if first is None:
-        for i in range(min(states, len(text) + 1)):
-            scores = v.forward(text[i:])[0]
+    borders = [word_borders(v, text, size) for text, size in chunks]
+    middle = v.encode_all([text[b[0]:b[1]] if b else "" for (text, _), b in zip(chunks, borders, strict=True)])[2]
+    states, out = v.longest, []
+    for (text, size), border, score in zip(chunks, borders, middle, strict=True):
+        m = np.full((states, states), _NEVER)
+        if border is None:
+            for i in range(min(states, len(text) + 1)):
+                scores = v.forward(text[i:])[0]
+                for j in range(states):
+                    if i <= size + j <= len(text):
+                        m[i, j] = scores[size + j - i]
+        else:
+            first, last = border
+            ahead = np.array([v.forward(text[i:first])[0][-1] for i in range(states)]) + score
+            behind = v.forward(text[last:])[0]
             for j in range(states):
-                if i <= size + j <= len(text):
-                    out[i, j] = scores[size + j - i]
-        return out
-    ahead = np.array([v.forward(text[i:first])[0][-1] for i in range(states)]) + v.encode_all([text[first:last]])[2][0]
-    behind = v.forward(text[last:])[0]
-    for j in range(states):
-        if size + j <= len(text):
-            out[:, j] = ahead + behind[size + j - last]
+                if size + j <= len(text):
+                    m[:, j] = ahead + behind[size + j - last]
+        out.append(m)
     return out
 
 
@@ -295,10 +336,8 @@ def _matrix(b: bytes, states: int) -> np.ndarray:
 
 def _encoded(v: Vocabulary, texts: list[str]) -> tuple[pa.Array, list[bool]]:
     """Lists of ids, and whether they stand for the texts again byte by byte."""
-    flat, at, _ = v.encode_all(texts)
-    same = [v.decode(flat[a:b].tolist()) == raw(t).encode("utf-8", "surrogatepass")
-            for t, a, b in zip(texts, at[:-1], at[1:], strict=True)]
-    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32())), same
+    flat, at, _, same = v.encode_all(texts)
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32())), same.tolist()
 
 
 def _parts(batch: pa.RecordBatch, texts: list[str]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -348,13 +387,14 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def matrices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            out = []
-            for t, c in zip(texts, batch.column("chunk").to_pylist(), strict=True):
-                t, size = _chunk_text(t, c, states)
-                out.append(_packed(transfer(v, t, size)))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("chunk"), batch.column("last"),
-                                              pa.array(out, pa.binary())], ["row", "chunk", "last", "m"])
+            seen = [_chunk_text(t, c, states) for t, c in zip(
+                batch.column("text").to_pylist(), batch.column("chunk").to_pylist(), strict=True)]
+            at = 0
+            for part, texts in _parts(batch, [t for t, _ in seen]):
+                out = [_packed(m) for m in transfers(v, seen[at:at + len(texts)])]
+                at += len(texts)
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("chunk"), part.column("last"),
+                                                  pa.array(out, pa.binary())], ["row", "chunk", "last", "m"])
 
     level = cut_lineage(chunks.select("row", "chunk", "last", "text").mapInArrow(
         matrices, "row long, chunk long, last long, m binary"))

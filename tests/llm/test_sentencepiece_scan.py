@@ -74,14 +74,21 @@ def test_transfer_matrices(vocabulary):
     text = sp.SPACE + sp.shown("internationalisation of the 日本 words, and more of them again; representatives")
     states = v.longest
     for a in (20, 33, 50):
-        left = sp.transfer(v, text[:a + states - 1], a)
-        right = sp.transfer(v, text[a:], len(text) - a)
+        left, right = sp.transfers(v, [(text[:a + states - 1], a), (text[a:], len(text) - a)])
         assert sp.product(left, right)[0, 0] == pytest.approx(v.forward(text)[0][-1])
-    slow, v.words_apart = sp.transfer(v, text, len(text)), False
-    assert np.allclose(slow, sp.transfer(v, text, len(text)))
+    slow, v.words_apart = sp.transfers(v, [(text, len(text))])[0], False
+    assert np.allclose(slow, sp.transfers(v, [(text, len(text))])[0])
     v.words_apart = True
 
 
+def test_known_words_change_nothing(monkeypatch, vocabulary):
+    texts = [sp.SPACE + sp.shown(t) for t in TEXTS if t]
+    want = [vocabulary.encode(t) for t in texts]
+    monkeypatch.setattr(sp, "KNOWN_WORDS", 3)
+    flat, at, _, same = vocabulary.encode_all(texts)
+    assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want and same.all()
+
+
 def test_whole_table(spark, vocabulary):
     docs = table(spark, SMALL, "documents")
     got = sp.tokenize(docs, vocabulary)
