@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from procwarden.session import cut_lineage
 
 #: Texts are worked on in groups of about so many bytes inside a task.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 #: A table of at most so many rows (narrow ones, counted first) is broadcast.
 BROADCAST_ROWS = 50_000
 

@@ -36,8 +36,8 @@ from procwarden.session import cut_lineage
 
 WORDS = 5
 SHARE = 80  # per cent
-BITMAP_BITS = (9, 18)  # a signature has two bits or more per shingle, from 2**9 to 2**18 bits
-FINE = 4  # times as many bits has the second signature
+BITMAP_BITS = (9, 18)  # a signature has a bit or more per shingle, from 2**9 to 2**18 bits
+FINE = 8  # times as many bits has the second signature
 ROUNDS = 2  # rounds with leaders
 #: Documents whose shingles are counted to put frequent ones last, about so many.
 SAMPLE = 4_000
@@ -88,7 +88,7 @@ def _digest(shingles: bytes) -> bytes | None:
 
 def bitmap(shingles: np.ndarray, times: int = 1) -> bytes:
     """A bit set for every shingle; sizes are powers of two, so that longer ones fold to shorter ones."""
-    size = times << min(max(BITMAP_BITS[0], (2 * len(shingles) - 1).bit_length()), BITMAP_BITS[1])
+    size = times << min(max(BITMAP_BITS[0], (len(shingles) - 1).bit_length()), BITMAP_BITS[1])
     bits = np.zeros(size, bool)
     bits[shingles.view(np.uint64) & np.uint64(size - 1)] = True
     return np.packbits(bits).tobytes()
@@ -166,8 +166,10 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that link, of rows with both sets."""
     for batch in batches:
-        sets = [[np.frombuffer(x, np.int64) for x in batch.column(c).to_pylist()] for c in ("set_a", "set_b")]
-        keep = [overlap(a, b) >= needed(len(a), len(b)) for a, b in zip(*sets, strict=True)]
+        keep = []
+        for a, b in zip(batch.column("set_a"), batch.column("set_b"), strict=True):  # one pair in memory at a time
+            a, b = (np.frombuffer(x.as_buffer(), np.int64) for x in (a, b))
+            keep.append(overlap(a, b) >= needed(len(a), len(b)))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 

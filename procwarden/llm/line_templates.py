@@ -48,7 +48,7 @@ def _recurring(named: DataFrame, name: str) -> DataFrame:
 
 def recurring_lines(docs: DataFrame) -> DataFrame:
     """(row, dropped): places (from 0) of the lines to drop, of (row, doc_id, text) rows."""
-    lines = _lines(docs)
+    lines = cut_lineage(_lines(docs))  # written once, read by column
     leaves = cut_lineage(_recurring(lines, "leaf").select("leaf"))
     tokens = F.split(F.regexp_replace("line", NUMBERED, VARIABLE), " ")
     lines = lines.join(small_or_shuffled(leaves), "leaf").select("row", "doc_id", "pos", "leaf", tokens.alias("tokens"))

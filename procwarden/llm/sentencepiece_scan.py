@@ -31,7 +31,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 8_192  # characters of a chunk
 FANIN = 32  # chunks, or groups of them, whose matrices one task multiplies
 SLICE_CHARS = 1_000_000  # characters segmented at once
-KNOWN_WORDS = 300_000  # segmented words that a task remembers, at most about so many
+KNOWN_WORDS = 200_000  # segmented words that a task remembers, at most about so many
 TABLE_BITS = 18  # slots of the table of piece beginnings: 2**TABLE_BITS
 LONG_WORD = 48  # words of more characters are segmented one by one
 SPACE = "▁"
@@ -76,10 +76,10 @@ class Vocabulary:
         self._forget()
 
     def _forget(self) -> None:
-        """Words by hash, with the places of their ids in a row, their scores, and whether they decode to themselves."""
+        """Words by hash, with the places of their ids in a row and their scores."""
         self.known: dict[int, int] = {}
         self.flat, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
-        self.scores, self.fine = np.zeros(0), np.zeros(0, bool)
+        self.scores = np.zeros(0)
 
     def forward(self, text: str) -> tuple[list[float], list[int]]:
         """For every length of a beginning its best score and where its last piece begins."""
@@ -111,8 +111,8 @@ class Vocabulary:
         """Ids of the best segmentation of one text."""
         return self.encode_all([text])[0].tolist()
 
-    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, where each text's begin, the texts' scores, and whether they decode to the texts."""
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, where each text's begin, and the texts' scores."""
         sizes = np.array([len(t) for t in texts], np.int64)
         ends = np.cumsum(sizes)
         codes = _codes("".join(texts))
@@ -133,26 +133,20 @@ class Vocabulary:
         word_at = np.searchsorted(starts, np.r_[ends - sizes, len(codes)])
         ids_at = np.r_[0, upto][word_at]
         total = np.r_[0.0, np.cumsum(self.scores[word])][word_at]
-        wrong = np.r_[0, np.cumsum(~self.fine[word])][word_at]
-        return flat, ids_at, np.diff(total), np.diff(wrong) == 0
+        return flat, ids_at, np.diff(total)
 
     def _places(self, hashes: np.ndarray, codes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-        """Places of words among the known ones; new words are segmented, and decoded to see if they come back."""
+        """Places of words among the known ones; new words are segmented."""
         if len(self.known) > KNOWN_WORDS:
             self._forget()
         keys = hashes.tolist()
         new = np.array([i for i, h in enumerate(keys) if h not in self.known], np.int64)
         if len(new):
             ids, at, score = self._segment_words(codes, starts[new], stops[new])
-            whole = codes.astype("<u4").tobytes()
-            bounds, listed = at.tolist(), ids.tolist()
-            fine = [self.decode(listed[a:b]) == raw(whole[4 * i:4 * j].decode("utf-32-le", "surrogatepass")).encode(
-                "utf-8", "surrogatepass") for a, b, i, j in zip(bounds[:-1], bounds[1:], starts[new].tolist(),
-                                                                stops[new].tolist(), strict=True)]
-            self.known.update(zip((keys[i] for i in new.tolist()), range(len(self.fine), len(self.fine) + len(new))))
+            self.known.update(zip((keys[i] for i in new.tolist()), range(len(self.scores), len(self.scores) + len(new))))
             self.at = np.r_[self.at, at[1:] + len(self.flat)]
             self.flat = np.concatenate([self.flat, ids])
-            self.scores, self.fine = np.r_[self.scores, score], np.r_[self.fine, np.array(fine, bool)]
+            self.scores = np.r_[self.scores, score]
         return np.array([self.known[h] for h in keys], np.int64)
 
     def _segment_words(self, codes: np.ndarray, starts: np.ndarray, stops: np.ndarray,
@@ -336,8 +330,13 @@ def _matrix(b: bytes, states: int) -> np.ndarray:
 
 def _encoded(v: Vocabulary, texts: list[str]) -> tuple[pa.Array, list[bool]]:
     """Lists of ids, and whether they stand for the texts again byte by byte."""
-    flat, at, _, same = v.encode_all(texts)
-    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32())), same.tolist()
+    flat, at, _ = v.encode_all(texts)
+    back = v.decode(flat.tolist())
+    same = [True] * len(texts)
+    if back != raw("".join(texts)).encode("utf-8", "surrogatepass"):  # then one by one
+        same = [v.decode(flat[a:b].tolist()) == raw(t).encode("utf-8", "surrogatepass")
+                for t, a, b in zip(texts, at[:-1], at[1:], strict=True)]
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32())), same
 
 
 def _parts(batch: pa.RecordBatch, texts: list[str]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
