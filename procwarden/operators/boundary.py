@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from procwarden.fixed_values import BOUNDARY_NU, SEED
 
 FEATURES = 128
-BINS = 512
-SPAN = 2.0  # |w . z| <= 2, since |z| <= sqrt(2) and |w| <= sqrt(2)
+BINS = 256
+SPAN = 2.0  # |w . z| <= 2: the weights are always a mean of lifted rows, and |z| <= sqrt(2)
 
 
 @dataclass
@@ -62,46 +62,55 @@ def _sum_parts(vectors: DataFrame, part, width: int) -> np.ndarray:
 
 def kernel_mean(vectors: DataFrame, b: Boundary) -> Boundary:
     """Mean feature vector: w . z(x) is the mean kernel value of x to the baseline."""
+    return _mean(vectors, b)[0]
+
+
+def _mean(vectors: DataFrame, b: Boundary) -> tuple[Boundary, float]:
     width = len(b.phases)
     sums = _sum_parts(vectors, lambda x, n: np.append(n @ lift(x, b), n.sum()), width + 1)
-    return Boundary(b.directions, b.phases, sums[:-1] / max(sums[-1], 1.0))
+    return Boundary(b.directions, b.phases, sums[:-1] / max(sums[-1], 1.0)), float(sums[-1])
+
+
+def _by_value(vectors: DataFrame, b: Boundary, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One pass: rows, and summed features, by bins of the decision value under ``w``."""
+    width = len(b.phases)
+
+    def part(x, n):
+        z = lift(x, b)
+        place = np.floor((np.clip(z @ w, -SPAN, SPAN) + SPAN) / (2 * SPAN) * BINS).astype(int)
+        place = np.minimum(place, BINS - 1)
+        sums = np.zeros((BINS, width))
+        np.add.at(sums, place, n[:, None] * z)
+        return np.concatenate([np.bincount(place, n, BINS), sums.ravel()])
+
+    found = _sum_parts(vectors, part, BINS * (width + 1))
+    return found[:BINS], found[BINS:].reshape(BINS, width)
+
+
+def lowest_mean(counts: np.ndarray, sums: np.ndarray, share: float) -> np.ndarray:
+    """Mean features of the ``share`` of rows with the lowest values; the last bin counts in part."""
+    wanted = share * counts.sum()
+    before = np.cumsum(counts) - counts
+    part = np.clip((wanted - before) / np.maximum(counts, 1e-12), 0.0, 1.0) * (counts > 0)
+    return part @ sums / max(part @ counts, 1e-12)
 
 
 def fit_boundary(vectors: DataFrame, inputs: int, features: int = FEATURES,
                  steps: int = 12, nu: float = BOUNDARY_NU, seed: int = SEED) -> Boundary:
     """Subgradient steps on the one-class objective, from the kernel mean.
 
-    Every step is one pass over the distinct vectors.  It sums the features of
-    the rows outside the current boundary and a histogram of the decision
-    values, whose nu-quantile is the offset of the next step.
+    Every step is one pass over the distinct vectors, which gives the rows and
+    their summed features by bins of the decision value under the weights of
+    that step.  The weights move towards the mean of the ``nu`` lowest rows, so
+    they stay a mean of lifted rows and every value lies in the bins' range.
     """
-    b = kernel_mean(vectors, make_directions(inputs, features, seed))
-    if not steps:
-        return b
-    width = len(b.phases)
-    edges = np.linspace(-SPAN, SPAN, BINS + 1)
-
-    def offset_of(hist: np.ndarray) -> float:
-        at = int(np.searchsorted(np.cumsum(hist), nu * hist.sum()))
-        return float(edges[min(at + 1, BINS)])
-
-    def one_pass(w: np.ndarray, rho: float):
-        def part(x, n):
-            z = lift(x, b)
-            f = z @ w
-            out = f < rho
-            hist = np.histogram(f, bins=edges, weights=n)[0]
-            return np.concatenate([(n * out) @ z, hist])
-        sums = _sum_parts(vectors, part, width + BINS)
-        return sums[:width], sums[width:]
-
+    b, rows = _mean(vectors, make_directions(inputs, features, seed))
     w = b.weights
-    _, hist = one_pass(w, -SPAN)
-    rho = offset_of(hist)
-    for step in range(steps):
-        outside, hist = one_pass(w, rho)
-        w = w - (w - outside / (nu * max(hist.sum(), 1.0))) / (step + 2.0)
-        rho = offset_of(hist)
+    for step in range(steps if rows else 0):
+        counts, sums = _by_value(vectors, b, w)
+        if abs(counts.sum() - rows) > 1e-6 * rows:
+            raise RuntimeError(f"a training step saw {counts.sum():.0f} of {rows:.0f} rows")
+        w = w + (lowest_mean(counts, sums, nu) - w) / (step + 2.0)
     return Boundary(b.directions, b.phases, w)
 
 

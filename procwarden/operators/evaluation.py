@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from procwarden.fixed_values import CHAIN_THRESHOLD, ML_THRESHOLD
@@ -140,8 +141,9 @@ def false_positives(df: DataFrame) -> DataFrame:
 
 
 def false_positives_by_label(df: DataFrame) -> DataFrame:
-    """Count per label, and the total."""
-    return (false_positives(df).groupBy("label").agg(F.count("*").alias("fps")))
+    """Count per label, and the total of all labels beside each."""
+    counts = false_positives(df).groupBy("label").agg(F.count("*").alias("fps"))
+    return counts.withColumn("total_fps", F.sum("fps").over(W.partitionBy(F.lit(0))))  # a row per label
 
 
 def false_positives_by_process(df: DataFrame, n: int = 5) -> DataFrame:

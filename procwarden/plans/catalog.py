@@ -800,7 +800,8 @@ def e09(spark, sf):
 FP = f"FROM detected WHERE is_malicious = 0 AND {O.FLAGGED}"
 
 
-@query("e10_false_positives_by_label", f"SELECT label, count(*) AS fps {FP} GROUP BY label")
+@query("e10_false_positives_by_label", f"""
+SELECT label, count(*) AS fps, (sum(count(*)) OVER ())::BIGINT AS total_fps {FP} GROUP BY label""")
 def e10(spark, sf):
     return E.false_positives_by_label(detected(spark, sf))
 

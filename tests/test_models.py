@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from procwarden.operators import ensemble as M
 from procwarden.operators import neighbours as N
 from procwarden.operators import ordered
-from procwarden.operators.boundary import fit_boundary, kernel_mean, lift, make_directions
+from procwarden.operators.boundary import _by_value, fit_boundary, kernel_mean, lift, lowest_mean, make_directions
 from procwarden.operators.forest import fit_forest, forest_score
 from procwarden.operators.lookup import lookup_join
 from procwarden.operators.scaling import fit_stats
@@ -155,3 +155,26 @@ def test_lookup_ways_agree(spark):
     large = sorted(map(tuple, lookup_join(events, table, ["k"], 40, broadcast_rows=1).collect()),)
     assert len(small) == 500 and [r[:2] for r in small] == [r[:2] for r in large]
     assert sorted((r[0], r[2] or -1) for r in small) == sorted((r[0], r[2] or -1) for r in large)
+
+
+def test_boundary_keeps_every_row(spark):
+    """Few varying columns: the weights stay bounded and every step sees all rows."""
+    rng = np.random.default_rng(8)
+    x = np.zeros((400, 24))
+    x[:, 0], x[:, 1] = rng.normal(size=400), rng.integers(0, 2, 400) * 3.0
+    copies = rng.integers(1, 4, 400)
+    df = spark.createDataFrame([(i, int(c), [float(v) for v in row]) for i, (row, c) in enumerate(zip(x, copies))],
+                               "vid long, copies long, x array<double>")
+    first = make_directions(24, 64)
+    for steps in (1, 6):
+        fitted = fit_boundary(df, 24, 64, steps=steps)
+        assert np.linalg.norm(fitted.weights) <= np.sqrt(2) + 1e-9
+        counts, _ = _by_value(df, first, fitted.weights)
+        assert counts.sum() == copies.sum()
+    odd = lift(np.full((1, 24), 9.0), fitted) @ fitted.weights
+    assert odd[0] < np.quantile(lift(x, fitted) @ fitted.weights, 0.2)
+
+
+def test_lowest_mean():
+    counts, sums = np.array([0.0, 2.0, 4.0]), np.array([[0.0], [2.0], [40.0]])
+    np.testing.assert_allclose(lowest_mean(counts, sums, 0.5), [(2.0 + 10.0) / 3.0])  # three of six rows
