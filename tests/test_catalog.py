@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from check import compare, connect
 from conftest import SMALL
+from procwarden.plans import catalog
 
 QUICK = [
     "io2_read_json", "io6_load_rules", "p01_fill_text", "p02_basename", "r04_regex", "r12_all_matches",
@@ -16,7 +17,7 @@ QUICK = [
 
 def test_keys():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    without = set(entry.queries()) - set(entry.oracle_sql())
+    without = set(catalog.QUERIES) - set(catalog.CHECKS)
     assert without == {"m04_forest_fit", "m05_forest_score", "m06_outlier_factor", "m07_boundary_score",
                        "m11_ensemble", "u4_detect_full_ensemble"}
 
