@@ -57,7 +57,11 @@ class Vocabulary:
         self.reach: dict[str, int] = {}  # longest piece that begins with two given characters
         for p in self.id_of:
             self.reach[p[:2]] = max(self.reach.get(p[:2], 0), len(p))
-        self.bytes_of = {i: p.replace(SPACE, " ").encode() for i, p in self.text_of.items()} | self.byte_of
+        # the bytes of all ids in a row, where each id's begin and how many they are
+        bytes_of = {i: p.replace(SPACE, " ").encode() for i, p in self.text_of.items()} | self.byte_of
+        self.byte_len = np.array([len(bytes_of.get(i, b"")) for i in range(max(bytes_of) + 1)], np.int64)
+        self.byte_at = np.cumsum(self.byte_len) - self.byte_len
+        self.byte_row = np.frombuffer(b"".join(bytes_of[i] for i in sorted(bytes_of)), np.uint8)
         # all beginnings of pieces by the hash of their characters, for many places at once
         heads = sorted({p[:k] for p in self.id_of for k in range(1, len(p) + 1)})
         ends = np.cumsum([len(p) for p in heads])
@@ -244,9 +248,16 @@ class Vocabulary:
         known = self.id_of.get(piece)
         return [known] if known is not None else [self.byte_ids[b] for b in raw(piece).encode("utf-8", "surrogatepass")]
 
-    def decode(self, ids: list[int]) -> bytes:
-        """The bytes that ids stand for; the space in front is still there."""
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: list[int] | np.ndarray) -> bytes:
+        """The bytes that ids stand for; the space in front is still there.  Other ids raise."""
+        ids = np.asarray(ids, np.int64)
+        if not len(ids):
+            return b""
+        n = self.byte_len[ids]
+        if ids.min() < 0 or not n.all():
+            raise ValueError("ids that stand for no text")
+        ends = np.cumsum(n)
+        return self.byte_row[np.arange(ends[-1]) + np.repeat(self.byte_at[ids] - ends + n, n)].tobytes()
 
 
 def _codes(text: str) -> np.ndarray:
@@ -331,10 +342,10 @@ def _matrix(b: bytes, states: int) -> np.ndarray:
 def _encoded(v: Vocabulary, texts: list[str]) -> tuple[pa.Array, list[bool]]:
     """Lists of ids, and whether they stand for the texts again byte by byte."""
     flat, at, _ = v.encode_all(texts)
-    back = v.decode(flat.tolist())
+    back = v.decode(flat)
     same = [True] * len(texts)
     if back != raw("".join(texts)).encode("utf-8", "surrogatepass"):  # then one by one
-        same = [v.decode(flat[a:b].tolist()) == raw(t).encode("utf-8", "surrogatepass")
+        same = [v.decode(flat[a:b]) == raw(t).encode("utf-8", "surrogatepass")
                 for t, a, b in zip(texts, at[:-1], at[1:], strict=True)]
     return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32())), same
 
