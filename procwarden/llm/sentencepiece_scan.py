@@ -80,8 +80,8 @@ class Vocabulary:
         self._forget()
 
     def _forget(self) -> None:
-        """Words by hash, with the places of their ids in a row and their scores."""
-        self.known: dict[int, int] = {}
+        """Words by hash (sorted), with the places of their ids in a row and their scores."""
+        self.known, self.known_at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
         self.scores = np.zeros(0)
 
@@ -140,18 +140,25 @@ class Vocabulary:
         return flat, ids_at, np.diff(total)
 
     def _places(self, hashes: np.ndarray, codes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-        """Places of words among the known ones; new words are segmented."""
+        """Places of words (hashes sorted, without repeats) among the known ones; new words are segmented."""
         if len(self.known) > KNOWN_WORDS:
             self._forget()
-        keys = hashes.tolist()
-        new = np.array([i for i, h in enumerate(keys) if h not in self.known], np.int64)
+        at = np.searchsorted(self.known, hashes)
+        place = np.full(len(hashes), -1, np.int64)
+        if len(self.known):
+            near = np.minimum(at, len(self.known) - 1)
+            hit = self.known[near] == hashes
+            place[hit] = self.known_at[near[hit]]
+        new = np.flatnonzero(place < 0)
         if len(new):
-            ids, at, score = self._segment_words(codes, starts[new], stops[new])
-            self.known.update(zip((keys[i] for i in new.tolist()), range(len(self.scores), len(self.scores) + len(new))))
-            self.at = np.r_[self.at, at[1:] + len(self.flat)]
+            ids, begins, score = self._segment_words(codes, starts[new], stops[new])
+            place[new] = np.arange(len(self.scores), len(self.scores) + len(new))
+            self.known = np.insert(self.known, at[new], hashes[new])
+            self.known_at = np.insert(self.known_at, at[new], place[new])
+            self.at = np.r_[self.at, begins[1:] + len(self.flat)]
             self.flat = np.concatenate([self.flat, ids])
             self.scores = np.r_[self.scores, score]
-        return np.array([self.known[h] for h in keys], np.int64)
+        return place
 
     def _segment_words(self, codes: np.ndarray, starts: np.ndarray, stops: np.ndarray,
                        ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
