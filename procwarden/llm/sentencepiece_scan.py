@@ -31,7 +31,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 8_192  # characters of a chunk
 FANIN = 32  # chunks, or groups of them, whose matrices one task multiplies
 SLICE_CHARS = 1_000_000  # characters segmented at once
-KNOWN_WORDS = 300_000  # segmented words that a task remembers, at most about so many
+KNOWN_WORDS = 1_000_000  # segmented words that a task remembers, at most about so many
 TABLE_BITS = 18  # slots of the table of piece beginnings: 2**TABLE_BITS
 LONG_WORD = 48  # words of more characters are segmented one by one
 SPACE = "▁"
