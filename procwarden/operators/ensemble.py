@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import inspect
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -35,6 +37,7 @@ class Model:
     boundary: Boundary | None = None
     fingerprint: str = ""
     digits: int | None = None  # optional rounding of the final score
+    options: str = ""  # what ``fit_model`` was asked for
 
     @property
     def parts(self) -> list[str]:
@@ -63,6 +66,14 @@ def raw_columns(model: Model, x: Column) -> dict[str, Column]:
     return out
 
 
+def options_text(**options) -> str:
+    """The options of ``fit_model``, with its defaults, as one text."""
+    bound = inspect.signature(fit_model).bind(None, **options)
+    bound.apply_defaults()
+    named = {k: v for k, v in bound.arguments.items() if k != "benign"}
+    return json.dumps(named | {"parts": sorted(named["parts"])}, sort_keys=True)
+
+
 def fit_model(benign: DataFrame, parts: tuple[str, ...] = PARTS, trees: int = V.FOREST_TREES,
               steps: int = 12, rff: int = FEATURES, neighbours: int = V.LOF_NEIGHBOURS,
               digits: int | None = None, order: str = EVENT_KEY) -> Model:
@@ -72,7 +83,8 @@ def fit_model(benign: DataFrame, parts: tuple[str, ...] = PARTS, trees: int = V.
     with their counts.  ``steps=0`` keeps the boundary at the kernel mean.
     """
     stats = fit_stats(benign)
-    model = Model(stats, fingerprint=fingerprint(stats), digits=digits)
+    asked = options_text(parts=parts, trees=trees, steps=steps, rff=rff, neighbours=neighbours, digits=digits, order=order)
+    model = Model(stats, fingerprint=fingerprint(stats), digits=digits, options=asked)
     vectors = distinct_vectors(benign, stats, order)
     if "forest" in parts:
         rows = benign.select(order, scaled_vector(stats).alias("x"))
@@ -133,7 +145,7 @@ def score(features: DataFrame, model: Model, order: str = EVENT_KEY) -> DataFram
     table = cut_lineage(score_vectors(vectors, model).select(
         F.col("vkey").alias("_vkey"), "ml_anomaly_score"))
     keyed = features.withColumn("_vkey", vector_key(model.stats.columns))
-    return lookup_join(keyed, table, ["_vkey"], table.count(), salt_by=order).drop("_vkey")
+    return lookup_join(keyed, table, ["_vkey"], table.count()).drop("_vkey")
 
 
 def explanation(stats: FeatureStats, columns: list[str], score_column: str | None = None) -> str:

@@ -5,29 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from procwarden.schema import EVENT_KEY
-
 # A lookup table of at most this many rows is broadcast (some ten MB).
 BROADCAST_ROWS = 200_000
-# Above it, every key of the event side is spread over this many buckets.
-SALTS = 16
 
 
 def lookup_join(events: DataFrame, table: DataFrame, keys: list[str], table_rows: int,
-                broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS,
-                salt_by: str = EVENT_KEY) -> DataFrame:
+                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left join to a table that is unique on ``keys`` and has ``table_rows`` rows.
 
     A counted, small table is broadcast: the events do not move.  A larger one
-    is joined by shuffle; the event rows of one key are spread over ``salts``
-    buckets and the table rows repeated once per bucket, so that a key holding
-    a third of all events does not land in one task.
+    is joined by sort and merge, every row moving once; Spark splits the events
+    of a partition that a hot key makes large and reads the few table rows again
+    for each part (``forceOptimizeSkewedJoin`` in ``session.SETTINGS``).
     """
     if table_rows <= broadcast_rows:
         return events.join(F.broadcast(table), keys, "left")
-    # Salted by a hash of the event, so a task run again gives the same rows.
-    salted = events.withColumn(
-        "_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
-    repeated = table.withColumn(
-        "_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return salted.join(repeated, keys + ["_salt"], "left").drop("_salt")
+    return events.join(table.hint("merge"), keys, "left")

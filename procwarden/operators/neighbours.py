@@ -98,9 +98,9 @@ def _search(candidates: DataFrame, index: Index, k: int) -> DataFrame:
     hits = cut_lineage(candidates.groupBy(*keys).agg(F.count("*").alias("hits")).withColumn(
         "tasks", F.ceil(F.col("hits") / QUERY_ROWS).cast("int")).drop("hits"))
     n_blocks = hits.count()
-    queries = lookup_join(candidates, hits, keys, n_blocks, salt_by="qid").withColumn(
+    queries = lookup_join(candidates, hits, keys, n_blocks).withColumn(
         "task", F.pmod(F.xxhash64("qid", F.lit(11)), F.col("tasks")).cast("int"))
-    wanted = lookup_join(index.blocks, hits, keys, n_blocks, salt_by="vid").where(
+    wanted = lookup_join(index.blocks, hits, keys, n_blocks).where(
         F.col("tasks").isNotNull()).withColumn(
         "task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
     out_columns = [c.split()[0] for c in PAIR_SCHEMA.split(", ")]
@@ -251,7 +251,7 @@ def fit_outliers(vectors: DataFrame, total_rows: int,
     pairs = nearest_vectors(vectors, index, min(k + 1, n))
     others = cut_lineage(_take(pairs, k, without_self=True))
     kdist = cut_lineage(others.groupBy(F.col("qid").alias("vid")).agg(F.max("dist").alias("kdist")))
-    near = lookup_join(others, kdist, ["vid"], n, salt_by="qid")
+    near = lookup_join(others, kdist, ["vid"], n)
     density = near.groupBy("qid").agg(_density(near, k).alias("density"))
     refs = cut_lineage(vectors.select("vid", "copies", "x").join(kdist, "vid", "left").join(
         density.withColumnRenamed("qid", "vid"), "vid", "left"))
@@ -261,7 +261,7 @@ def fit_outliers(vectors: DataFrame, total_rows: int,
 
 def _factors(near: DataFrame, model: OutlierModel) -> DataFrame:
     facts = model.refs.select("vid", "kdist", "density")
-    known = lookup_join(near, facts, ["vid"], model.rows, salt_by="qid")
+    known = lookup_join(near, facts, ["vid"], model.rows)
     around = F.sum(F.col("take") * F.col("density")) / F.lit(float(model.k))
     return known.groupBy(F.col("qid").alias("vid")).agg(
         (around / _density(known, model.k)).alias("lof"))

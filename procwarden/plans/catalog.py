@@ -618,8 +618,9 @@ def m14(spark, sf):
     path = scratch_path(spark, "model")
     df = features(spark, sf)
     benign = P.benign_only(df)
-    MS.load_or_fit(benign, path, parts=("boundary",), steps=0, digits=6)
-    return M.score(df, MS.load_or_fit(benign, path)).select("event_id", "ml_anomaly_score")
+    options = {"parts": ("boundary",), "steps": 0, "digits": 6}
+    MS.load_or_fit(benign, path, **options)
+    return M.score(df, MS.load_or_fit(benign, path, **options)).select("event_id", "ml_anomaly_score")
 
 
 @query("m15_top_anomalies", f"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from procwarden.operators.baseline import Baseline, baseline_stats
 from procwarden.operators.boundary import Boundary
 from procwarden.operators.encoders import Encoder
-from procwarden.operators.ensemble import Model, fingerprint, fit_model
+from procwarden.operators.ensemble import Model, fingerprint, fit_model, options_text
 from procwarden.operators.forest import Forest
 from procwarden.operators.neighbours import OutlierModel
 from procwarden.operators.scaling import FeatureStats, fit_stats, stats_table
@@ -67,7 +67,7 @@ def save_model(spark: SparkSession, m: Model, path: str) -> None:
         F.lit(m.forest.trees if m.forest else 0).alias("trees"),
         F.lit(m.forest.sample if m.forest else 0).cast("long").alias("sample"),
         F.lit(m.lof.k if m.lof else 0).alias("k"),
-        F.lit(m.digits).cast("int").alias("digits")), f"{path}/meta")
+        F.lit(m.digits).cast("int").alias("digits"), F.lit(m.options).alias("options")), f"{path}/meta")
 
 
 def load_model(spark: SparkSession, path: str) -> Model:
@@ -78,7 +78,7 @@ def load_model(spark: SparkSession, path: str) -> Model:
                          [r["max"] for r in rows], meta["rows"])
     model = Model(stats, {r["part"]: (r["low"], r["high"])
                           for r in spark.read.parquet(f"{path}/ranges").collect()},
-                  fingerprint=meta["fingerprint"], digits=meta["digits"])
+                  fingerprint=meta["fingerprint"], digits=meta["digits"], options=meta["options"])
     parts = meta["parts"].split(",")
     if "forest" in parts:
         model.forest = Forest(spark.read.parquet(f"{path}/forest"), meta["trees"], meta["sample"])
@@ -96,7 +96,8 @@ def load_model(spark: SparkSession, path: str) -> Model:
 def load_or_fit(benign: DataFrame, path: str, **options) -> Model:
     """The stored model when there is one, else a new one, which is stored.
 
-    A model that was fitted on another baseline is refused.
+    A model that was fitted on another baseline or with other options is refused;
+    options that are not given have the defaults of ``fit_model``.
     """
     spark = benign.sparkSession
     if not _exists(spark, f"{path}/meta"):
@@ -106,4 +107,6 @@ def load_or_fit(benign: DataFrame, path: str, **options) -> Model:
     model = load_model(spark, path)
     if model.fingerprint != fingerprint(fit_stats(benign)):
         raise ValueError(f"the model in {path} was fitted on another baseline")
+    if model.options != (asked := options_text(**options)):
+        raise ValueError(f"the model in {path} was fitted with {model.options}, not {asked}")
     return model

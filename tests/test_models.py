@@ -112,12 +112,15 @@ def test_ensemble(spark, labelled, tmp_path):
     assert got.count() == 260
     path = str(tmp_path / "model")
     MS.save_model(spark, model, path)
-    again = M.score(labelled, MS.load_or_fit(benign, path))
+    again = M.score(labelled, MS.load_or_fit(benign, path, trees=40, steps=4, rff=64))
     diff = got.alias("a").join(again.alias("b"), "event_id").agg(
         F.max(F.abs(F.col("a.ml_anomaly_score") - F.col("b.ml_anomaly_score")))).first()[0]
     assert diff < 1e-6
     with pytest.raises(ValueError):
-        MS.load_or_fit(benign.filter("event_id < 100"), path)
+        MS.load_or_fit(benign.filter("event_id < 100"), path, trees=40, steps=4, rff=64)
+    for other in ({}, {"trees": 40, "steps": 4, "rff": 64, "parts": ("boundary",)}):
+        with pytest.raises(ValueError, match="was fitted with"):
+            MS.load_or_fit(benign, path, **other)
 
 
 def test_explanation(labelled):
@@ -178,3 +181,26 @@ def test_boundary_keeps_every_row(spark):
 def test_lowest_mean():
     counts, sums = np.array([0.0, 2.0, 4.0]), np.array([[0.0], [2.0], [40.0]])
     np.testing.assert_allclose(lowest_mean(counts, sums, 0.5), [(2.0 + 10.0) / 3.0])  # three of six rows
+
+
+def test_large_lookup_moves_rows_once(spark):
+    """No copies of the table; a key with a third of all events is split."""
+    rows = 30_000
+    text = F.sha2(F.col("id").cast("string"), 512)
+    events = spark.range(rows).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), text.alias("t"))
+    table = spark.range(rows).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = lookup_join(events.repartition(8), table, ["k"], rows, broadcast_rows=1)
+        got = joined.agg(F.count("*").alias("n"), F.sum((F.col("v") == F.col("k") * 2).cast("int")).alias("right"),
+                         F.countDistinct("t").alias("texts"))
+        assert got.collect()[0].asDict() == {"n": rows, "right": rows, "texts": rows}
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan and "Generate" not in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
