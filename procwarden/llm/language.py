@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from procwarden.llm.common import byte_slices
+from procwarden.llm.common import byte_slices, small_or_shuffled
 from procwarden.session import cut_lineage
 
 ORDERS = (1, 2, 3)
@@ -26,8 +26,10 @@ BITS = 18  # hashed features: 2**BITS
 SCALE = 40.0  # shares of a text are small numbers
 #: Documents per language that the model is fitted on, at most about so many (hash sample).
 SAMPLE_PER_LABEL = 700
-#: Most frequent languages that are learned.
-MAX_LABELS = 60
+#: Documents of all languages together, at most about so many: with more than 60 languages each has fewer.
+SAMPLE = 42_000
+DRAWS = 1_000_000  # steps of the draw by hash
+ROWS_AT_ONCE = 1 << 14  # features whose weights are worked out at once
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.5
 BLOCK = 1 << 20  # code points worked on at once
@@ -110,7 +112,8 @@ def train(rows: pd.DataFrame) -> pd.DataFrame:
     """Weights (label, feature, weight) fitted on the bounded sample; feature -1 is the bias, -2 the temperature."""
     rows = rows.sort_values(["_order", "label"]).reset_index(drop=True)
     labels = sorted(rows["label"].unique())
-    held = (rows["part"] == 3).to_numpy() if (rows["part"] != 3).any() else np.zeros(len(rows), bool)
+    # a label that has held out rows only is fitted on these
+    held = ((rows["part"] == 3) & rows["label"].isin(rows["label"][rows["part"] != 3])).to_numpy()
     fitted = np.flatnonzero(~held)
     df = np.zeros(1 << BITS)
     for i in fitted:
@@ -141,16 +144,19 @@ def train(rows: pd.DataFrame) -> pd.DataFrame:
             sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
             z[at] += g - sigma * w
             n[at] += g * g
-    w = weights(np.arange((1 << BITS) + 1))
     tune = np.flatnonzero(held) if held.any() else fitted
-    logits = np.stack([example(i)[1] @ w[example(i)[0]] for i in tune])
+    logits = np.stack([x @ weights(at) for at, x in map(example, tune)])
     grid = np.exp(np.linspace(np.log(0.05), np.log(10), 80))
     loss = [-np.log(_softmax(logits / t)[np.arange(len(tune)), target[tune]] + 1e-12).mean() for t in grid]
-    out = [("", -2, float(grid[int(np.argmin(loss))]))]
-    for k, label in enumerate(labels):
-        out.append((label, -1, float(w[-1, k])))
-        out += [(label, int(j), float(w[j, k] * idf[j])) for j in np.flatnonzero(w[:-1, k])]
-    return pd.DataFrame(out, columns=["label", "feature", "weight"])
+    names = np.array(labels, object)
+    out = [(np.array([""], object), np.array([-2]), grid[[int(np.argmin(loss))]]),
+           (names, np.full(len(labels), -1), weights(np.array([1 << BITS]))[0])]
+    for a in range(0, 1 << BITS, ROWS_AT_ONCE):
+        at = np.arange(a, min(a + ROWS_AT_ONCE, 1 << BITS))
+        w = weights(at)
+        j, k = np.nonzero(w)
+        out.append((names[k], at[j], w[j, k] * idf[at[j]]))
+    return pd.DataFrame(dict(zip(("label", "feature", "weight"), map(np.concatenate, zip(*out)))))
 
 
 def part_of(doc_id: Column) -> Column:
@@ -161,20 +167,28 @@ def part_of(doc_id: Column) -> Column:
 def fit(docs: DataFrame) -> DataFrame:
     """The model, as a table, from (doc_id, text, lang) rows whose ``part_of`` is not 2.
 
-    At most about ``SAMPLE_PER_LABEL`` documents of each of the ``MAX_LABELS`` most
-    frequent languages are drawn by hash; the draw reads whole texts of these only.
+    Every language is learned.  Of each at most about ``SAMPLE_PER_LABEL`` documents are drawn
+    by hash, fewer if all languages together would have more than ``SAMPLE``, but one at least.
     """
+    key = F.xxhash64("doc_id", "text")
     rows = docs.select("doc_id", "text", "lang", part_of(F.col("doc_id")).alias("part")).where(
         (F.col("part") != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LABELS).collect()
-    rates = [(r["lang"], min(1.0, SAMPLE_PER_LABEL / r["count"])) for r in counts]
-    empty = docs.sparkSession.createDataFrame([("", -2, 1.0)], "label string, feature int, weight double")
-    if not rates:
-        return empty
-    by_label = F.map_from_arrays(F.array(*[F.lit(k) for k, _ in rates]), F.array(*[F.lit(v) for _, v in rates]))
-    rate = F.try_element_at(by_label, F.col("lang"))
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
-    sample = rows.where(draw < F.coalesce(rate, F.lit(0.0)) * 1_000_000).select("text", "lang", "part")
+    draw = F.pmod(key, F.lit(DRAWS))
+    counts = cut_lineage(rows.groupBy("lang").agg(
+        F.count("*").alias("n"), F.min(F.struct(draw.alias("draw"), key.alias("key"))).alias("least")))
+    n_labels = counts.count()
+    if not n_labels:
+        return docs.sparkSession.createDataFrame([("", -2, 1.0)], "label string, feature int, weight double")
+    each = min(SAMPLE_PER_LABEL, SAMPLE / n_labels)
+    below = F.least(F.lit(1.0), F.lit(each) / F.col("n")) * DRAWS
+    limits = counts.select("lang", below.alias("_below"), "least")
+    drawn = rows.join(small_or_shuffled(limits.select("lang", "_below"), n_labels), "lang").where(draw < F.col("_below"))
+    sample = drawn.select("text", "lang", "part")
+    missed = limits.where(F.col("least.draw") >= F.col("_below")).select("lang", F.col("least.key").alias("_key"))
+    n_missed = missed.count()
+    if n_missed:  # the draw left a language out
+        first = rows.join(small_or_shuffled(missed, n_missed), "lang").where(key == F.col("_key"))
+        sample = sample.unionByName(first.dropDuplicates(["lang"]).select("text", "lang", "part"))
     features = sample.mapInArrow(_counts, "label string, part int, features array<int>, tf array<float>")
     order = F.xxhash64(F.to_json(F.struct("features", "tf")))
     return cut_lineage(features.withColumns({"_order": order, "_all": F.lit(0)}).groupBy("_all").applyInPandas(

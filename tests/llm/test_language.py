@@ -52,3 +52,22 @@ def test_blocks_change_nothing(monkeypatch):
     whole = sums()
     monkeypatch.setattr(language, "BLOCK", 7)
     assert sums() == whole
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 200)
+    names = [chr(0x4E00 + 7 * k) * 2 for k in range(70)]  # a language is a word of its own
+    rows = [(100 * k + i, f"{w} {w}", f"l{k}", "x") for k, w in enumerate(names) for i in range(30 if k else 900)]
+    rows += [(i, "zq zq", "rare", "x") for i in range(10_000, 10_100) if zlib.crc32(str(i).encode()) % 4 == 3][:1]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    model = language.fit(df)
+    assert {r.label for r in model.where("feature = -1").collect()} == {f"l{k}" for k in range(70)} | {"rare"}
+    got = language.identify(spark.createDataFrame([(k, f"{w} {w}", None, None) for k, w in enumerate([*names, "zq"])], SCHEMA), model)
+    assert {r.doc_id: r.lang_pred for r in got.collect()} == {k: f"l{k}" if k < 70 else "rare" for k in range(71)}
+
+
+def test_a_language_that_the_draw_leaves_out_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 0)  # nothing is drawn
+    df = spark.createDataFrame([(i, w * 3, k, "x") for i in range(40) for k, w in (("a", "foo "), ("b", "bar "))], SCHEMA)
+    model = language.fit(df)
+    assert {r.label for r in model.where("feature = -1").collect()} == {"a", "b"}
