@@ -4,8 +4,8 @@ Lines go down a tree of fixed depth: number of tokens, then the leading tokens,
 tokens with digits counting as a variable.  In a leaf that several documents
 reach, a token is constant if it recurs at its place and a variable if not; a line
 with enough constants has the template of its constants.  Lines whose template
-recurs across documents are dropped, but for the first document that holds it, so
-that no content is lost altogether.
+recurs across documents are dropped, but for the first document that holds it;
+the words of a variable place in the others are lost.
 """
 
 from __future__ import annotations
