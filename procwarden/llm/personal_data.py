@@ -31,7 +31,7 @@ PATTERNS = {
     "card": ("[0-9]", r"[0-9](?:[\x20-]?[0-9])++"),
     "phone": (r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
-CANDIDATE = ("[0-9]", r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]{0,64}[0-9])[A-Za-z0-9_+/-]++")
+CANDIDATE = ("[0-9]", r"(?<![A-Za-z0-9_+/-])[A-Za-z_+/-]*+[0-9][A-Za-z0-9_+/-]*+")
 CANDIDATE_CHARS = 8  # shorter runs are no candidates
 CONTEXT = 32  # characters in front of a candidate that labelers see
 NAMES = ("password", "passwd", "pwd", "passphrase", "secret", "token", "api key", "api_key", "apikey", "access key",

@@ -90,3 +90,10 @@ def test_reliable_labelers_win():
 
 def test_empty(spark):
     assert pd_.find_personal_data(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_candidates_with_a_late_first_digit(spark):
+    texts = ["-" * 100 + "token9z", "/" + "path/" * 40 + "a1", "x" * 70 + " short1", "y" * 64 + "1", "_" * 150_000 + "k2"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(c.start, c.end) for c in r.candidates] for r in pd_.locate(df).collect()}
+    assert got == {0: [(0, 107)], 1: [(0, 203)], 2: [], 3: [(0, 65)], 4: [(0, 150_002)]}
