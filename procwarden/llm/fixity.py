@@ -127,8 +127,8 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     """(file, offset, status, first_length, second_length, first_digest, second_digest) of unlike records.
 
     ``status`` is ``changed`` (same offset, other bytes), ``missing`` (not in the second
-    replica) or ``extra`` (not in the first).  Of repeated rows at one offset the
-    smallest digest stands for all.  Like replicas, empty ones too, give no rows.
+    replica) or ``extra`` (not in the first).  Of several rows at one offset all
+    are compared; the smallest unlike digest stands for a side, else its smallest.  Like replicas, empty ones too, give no rows.
     """
     trees = [tree(r) for r in (first, second)]
     high = max(map(len, trees))
@@ -144,21 +144,21 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
                 below.withColumnsRenamed({"node": "_up"}), ["file", "_up"], "left_semi").drop("_up") for x in (one, two))
         below = cut_lineage(_differ(one, two))
     sides = []
-    for name, records in (("first", first), ("second", second)):
+    for records, counts in ((first, (1, 0)), (second, (0, 1))):
         found = records.select(F.coalesce("file", F.lit("none")).alias("file"),
                                F.coalesce("offset", F.lit(0)).alias("offset"), F.coalesce("length", F.lit(0)).alias("length"),
-                               F.coalesce("digest", F.lit("")).alias("digest"))
-        found = found.withColumn("node", F.floor(F.col("offset") / RANGE)).join(below, ["file", "node"], "left_semi")
-        sides.append(found.groupBy("file", "offset").agg(
-            F.min_by("length", F.struct("digest", "length")).alias(f"{name}_length"),
-            F.min("digest").alias(f"{name}_digest"), F.count("*").alias(f"_{name}_n")))
-    both = sides[0].join(sides[1], ["file", "offset"], "full_outer")
-    same = (F.col("first_digest").eqNullSafe(F.col("second_digest"))
-            & F.col("first_length").eqNullSafe(F.col("second_length")) & F.col("_first_n").eqNullSafe(F.col("_second_n")))
-    status = (F.when(F.col("second_digest").isNull(), "missing").when(F.col("first_digest").isNull(), "extra")
-              .otherwise("changed"))
-    return both.where(~same).select("file", "offset", status.alias("status"), "first_length", "second_length",
-                                    "first_digest", "second_digest")
+                               F.coalesce("digest", F.lit("")).alias("digest"), *[F.lit(n).alias(c) for c, n in zip(("_a", "_b"), counts)])
+        sides.append(found.withColumn("node", F.floor(F.col("offset") / RANGE)).join(below, ["file", "node"], "left_semi"))
+    kinds = sides[0].unionByName(sides[1]).groupBy("file", "offset", "digest", "length").agg(
+        F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    record, unlike = F.struct("digest", "length"), F.col("_a") != F.col("_b")
+    shown = [F.coalesce(F.min(F.when(unlike & (F.col(c) > 0), record)), F.min(F.when(F.col(c) > 0, record))).alias(name)
+             for name, c in (("first", "_a"), ("second", "_b"))]
+    both = kinds.groupBy("file", "offset").agg(F.max(unlike).alias("_unlike"), *shown).where("_unlike")
+    status = F.when(F.col("second").isNull(), "missing").when(F.col("first").isNull(), "extra").otherwise("changed")
+    return both.select("file", "offset", status.alias("status"), F.col("first.length").alias("first_length"),
+                       F.col("second.length").alias("second_length"), F.col("first.digest").alias("first_digest"),
+                       F.col("second.digest").alias("second_digest"))
 
 
 def damaged(pages: DataFrame) -> DataFrame:

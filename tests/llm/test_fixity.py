@@ -76,3 +76,11 @@ def test_pages_with_odd_rows(spark):
 
 def test_against_sql(spark):
     assert compare(spark, connect(SMALL.replace("0.001", "0.01")), "op2_fixity_audit", SMALL.replace("0.001", "0.01")) == "ok"
+
+
+def test_every_record_of_an_offset_is_compared(spark):
+    one = [("a", 0, 4, "b"), ("a", 0, 4, "d"), (None, None, 4, "k"), (None, None, 4, "m")]
+    two = [("a", 0, 4, "b"), ("a", 0, 4, "e"), (None, None, 4, "k"), (None, None, 4, "n")]
+    got = fixity.audit(replica(spark, one), replica(spark, two)).collect()
+    assert {(r.file, r.offset, r.status, r.first_digest, r.second_digest) for r in got} == {
+        ("a", 0, "changed", "d", "e"), ("none", 0, "changed", "m", "n")}
