@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from procwarden.llm import (
+    filter_audit,
     fixity,
     jaccard_join,
     language,
@@ -15,7 +17,9 @@ from procwarden.llm import (
     mixing,
     personal_data,
     sentencepiece_scan,
+    token_counts,
     toxicity,
+    turn_repair,
 )
 from procwarden.llm.common import table
 from procwarden.llm.fingerprint import fingerprint_documents
@@ -68,6 +72,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.grade_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.load())
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damaged(table(spark, sf_dir, "conversations")), F.col("present"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_fixity_audit": op2_fixity_audit,
@@ -79,10 +95,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_metric_range_join": op9_metric_range_join,
     "op10_toxicity": op10_toxicity,
+    "op11_token_counts": op11_token_counts,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_filter_audit": op13_filter_audit,
 }
 CHECKS: dict[str, str] = {
     "op2_fixity_audit": fixity.ORACLE,
     "op3_curriculum_mix": mixing.oracle_sql(),
     "op5_line_templates": line_templates.ORACLE,
     "op9_metric_range_join": metric_join.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
