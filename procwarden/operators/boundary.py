@@ -18,6 +18,9 @@ from procwarden.fixed_values import BOUNDARY_NU, SEED
 
 FEATURES = 128
 BINS = 256
+STEPS = 16  # at most
+TOLERANCE = 0.01  # training stops after a step that moves the weights by no more than this share of them
+DIGITS = 9  # decimals of the decision values that rows are binned by
 SPAN = 2.0  # |w . z| <= 2: the weights are always a mean of lifted rows, and |z| <= sqrt(2)
 
 
@@ -77,7 +80,8 @@ def _by_value(vectors: DataFrame, b: Boundary, w: np.ndarray) -> tuple[np.ndarra
 
     def part(x, n):
         z = lift(x, b)
-        place = np.floor((np.clip(z @ w, -SPAN, SPAN) + SPAN) / (2 * SPAN) * BINS).astype(int)
+        value = np.clip(np.round(z @ w, DIGITS), -SPAN, SPAN)
+        place = np.floor((value + SPAN) / (2 * SPAN) * BINS).astype(int)
         place = np.minimum(place, BINS - 1)
         sums = np.zeros((BINS, width))
         np.add.at(sums, place, n[:, None] * z)
@@ -96,13 +100,15 @@ def lowest_mean(counts: np.ndarray, sums: np.ndarray, share: float) -> np.ndarra
 
 
 def fit_boundary(vectors: DataFrame, inputs: int, features: int = FEATURES,
-                 steps: int = 12, nu: float = BOUNDARY_NU, seed: int = SEED) -> Boundary:
+                 steps: int = STEPS, nu: float = BOUNDARY_NU, seed: int = SEED,
+                 tolerance: float = TOLERANCE) -> Boundary:
     """Subgradient steps on the one-class objective, from the kernel mean.
 
     Every step is one pass over the distinct vectors, which gives the rows and
     their summed features by bins of the decision value under the weights of
     that step.  The weights move towards the mean of the ``nu`` lowest rows, so
-    they stay a mean of lifted rows and every value lies in the bins' range.
+    they stay a mean of lifted rows and every value lies in the bins' range.  Training
+    ends after ``steps`` steps, or after one that hardly moved the weights.
     """
     b, rows = _mean(vectors, make_directions(inputs, features, seed))
     w = b.weights
@@ -110,7 +116,10 @@ def fit_boundary(vectors: DataFrame, inputs: int, features: int = FEATURES,
         counts, sums = _by_value(vectors, b, w)
         if abs(counts.sum() - rows) > 1e-6 * rows:
             raise RuntimeError(f"a training step saw {counts.sum():.0f} of {rows:.0f} rows")
-        w = w + (lowest_mean(counts, sums, nu) - w) / (step + 2.0)
+        move = (lowest_mean(counts, sums, nu) - w) / (step + 2.0)
+        w = w + move
+        if np.linalg.norm(move) <= tolerance * np.linalg.norm(w):
+            break
     return Boundary(b.directions, b.phases, w)
 
 

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from procwarden import fixed_values as V
 from procwarden.functions.text import half_even, let, number, quoted
-from procwarden.operators.boundary import FEATURES, Boundary, boundary_score, fit_boundary
+from procwarden.operators.boundary import FEATURES, STEPS, Boundary, boundary_score, fit_boundary
 from procwarden.operators.forest import Forest, fit_forest, forest_score
 from procwarden.operators.lookup import lookup_join
-from procwarden.operators.neighbours import OutlierModel, fit_outliers, outlier_factors
+from procwarden.operators.neighbours import (
+    REFERENCE_ROWS, OutlierModel, draw_reference, fit_outliers, outlier_factor, outlier_factors,
+)
 from procwarden.operators.ordered import exact_quantiles
 from procwarden.operators.scaling import (
     FeatureStats, distinct_vectors, fit_stats, scaled_vector, vector_key,
@@ -61,6 +63,8 @@ def raw_columns(model: Model, x: Column) -> dict[str, Column]:
     out = {}
     if model.forest is not None:
         out["forest"] = forest_score(model.forest, x)
+    if model.lof is not None and model.lof.blocks == 1:
+        out["lof"] = outlier_factor(model.lof, x)
     if model.boundary is not None:
         out["boundary"] = boundary_score(model.boundary, x)
     return out
@@ -75,30 +79,33 @@ def options_text(**options) -> str:
 
 
 def fit_model(benign: DataFrame, parts: tuple[str, ...] = PARTS, trees: int = V.FOREST_TREES,
-              steps: int = 12, rff: int = FEATURES, neighbours: int = V.LOF_NEIGHBOURS,
-              digits: int | None = None, order: str = EVENT_KEY) -> Model:
+              steps: int = STEPS, rff: int = FEATURES, neighbours: int = V.LOF_NEIGHBOURS,
+              digits: int | None = None, order: str = EVENT_KEY, reference: int | None = REFERENCE_ROWS) -> Model:
     """Fit on features of benign rows.
 
     The forest samples rows; density and boundary work on distinct vectors
     with their counts.  ``steps=0`` keeps the boundary at the kernel mean.
+    ``reference`` bounds the rows that the density is fitted on, None takes all.
     """
     stats = fit_stats(benign)
-    asked = options_text(parts=parts, trees=trees, steps=steps, rff=rff, neighbours=neighbours, digits=digits, order=order)
+    asked = options_text(parts=parts, trees=trees, steps=steps, rff=rff, neighbours=neighbours, digits=digits, order=order,
+                         reference=reference)
     model = Model(stats, fingerprint=fingerprint(stats), digits=digits, options=asked)
-    vectors = distinct_vectors(benign, stats, order)
+    vectors = distinct_vectors(benign, stats, order) if {"forest", "boundary"} & {*parts} else None
     if "forest" in parts:
         rows = benign.select(order, scaled_vector(stats).alias("x"))
         model.forest = fit_forest(rows, stats.rows, trees=trees, order=order)
     if "boundary" in parts:
         model.boundary = fit_boundary(vectors, len(stats.columns), features=rff, steps=steps)
-    own = vectors.select("vid", *[c.alias(n) for n, c in raw_columns(model, F.col("x")).items()])
-    ends = own.agg(*[f(n).alias(f"{t}_{n}") for n in own.columns if n != "vid"
-                     for t, f in (("lo", F.min), ("hi", F.max))], F.count("*").alias("n")).first()
-    for n in own.columns:
-        if n != "vid":
-            model.ranges[n] = (ends[f"lo_{n}"], ends[f"hi_{n}"])
+    if vectors is not None:
+        own = vectors.select(*[c.alias(n) for n, c in raw_columns(model, F.col("x")).items()])
+        ends = own.agg(*[f(n).alias(f"{t}_{n}") for n in own.columns for t, f in (("lo", F.min), ("hi", F.max))]).first()
+        model.ranges = {n: (ends[f"lo_{n}"], ends[f"hi_{n}"]) for n in own.columns}
     if "lof" in parts:
-        model.lof, factors = fit_outliers(vectors, stats.rows, neighbours)
+        drawn = draw_reference(benign, stats.rows, reference, order)
+        known = distinct_vectors(drawn, stats, order) if vectors is None or drawn is not benign else vectors
+        rows = known.agg(F.sum("copies")).first()[0]
+        model.lof, factors = fit_outliers(known, rows, len(stats.columns), neighbours)
         ends = factors.agg(F.min("lof").alias("lo"), F.max("lof").alias("hi")).first()
         model.ranges["lof"] = (ends["lo"], ends["hi"])
     return model
@@ -122,7 +129,7 @@ def combined(model: Model) -> Column:
 def score_vectors(vectors: DataFrame, model: Model) -> DataFrame:
     """Raw scores and ml_anomaly_score of distinct vectors (vid, vkey, x)."""
     scored = vectors.withColumns(raw_columns(model, F.col("x")))
-    if model.lof is not None:
+    if "lof" in model.parts and "lof" not in scored.columns:
         scored = scored.join(outlier_factors(vectors.select("vid", "x"), model.lof), "vid", "left")
     return scored.withColumn("ml_anomaly_score", combined(model))
 
@@ -130,11 +137,11 @@ def score_vectors(vectors: DataFrame, model: Model) -> DataFrame:
 def score(features: DataFrame, model: Model, order: str = EVENT_KEY) -> DataFrame:
     """Add ml_anomaly_score.
 
-    Without the density part every row is scored where it lies, no shuffle.
-    With it, distinct vectors are scored once and the events look their score
-    up, so the work follows the number of different inputs.
+    Every row is scored where it lies, no shuffle.  Only with a density reference of
+    several blocks distinct vectors are scored, pass by pass, and the events look
+    their score up.
     """
-    if model.lof is None:
+    if model.lof is None or model.lof.blocks == 1:
         x = scaled_vector(model.stats)
         names = features.columns
         raw = features.withColumn("_x", x).withColumns(

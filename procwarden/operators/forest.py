@@ -1,7 +1,12 @@
-"""Isolation forest: samples drawn by Spark, one tree per group, batch scoring."""
+"""Isolation forest: samples drawn by Spark, one tree per group, batch scoring.
+
+Draws and splits come from MD5 of names, which every engine has, so that the trees are
+the same wherever they are grown.
+"""
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 
@@ -16,7 +21,8 @@ from procwarden.session import cut_lineage
 
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, "
                "left int, right int, path double")
-HASH_SPACE = 1 << 40  # fine enough to draw 256 of 10**12 rows
+HASH_SPACE = 1 << 40  # fine enough to draw a pool of 10**12 rows
+POOL_SAMPLES = 64  # the pool that all trees draw from holds so many samples
 EULER = 0.5772156649015329
 
 
@@ -38,31 +44,50 @@ def expected_path(n: int) -> float:
     return 2.0 * (math.log(n - 1.0) + EULER) - 2.0 * (n - 1.0) / n
 
 
+def below(share: float) -> str:
+    """The first ten digits that the MD5 of a drawn name lies below, for a share under 1."""
+    return f"{math.ceil(HASH_SPACE * share):010x}"
+
+
+def _digits(*name: Column | str | int) -> Column:
+    """The first ten digits of the MD5 of a name whose parts are joined by colons."""
+    parts = [p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in name]
+    return F.substring(F.md5(F.concat_ws(":", *parts)), 1, 10)
+
+
 def draw_samples(rows: DataFrame, n_rows: int, trees: int, sample: int, seed: int,
                  order: str = EVENT_KEY) -> DataFrame:
-    """(tree, order, rank, x): for every tree about 1.5 times the sample.
+    """(tree, order, rank, x): for every tree about twice the sample.
 
-    Which trees a row joins depends only on hashes of the row and the tree, so
-    the draw does not depend on partitioning, and only the drawn rows move.
-    The tree keeps the ``sample`` rows of lowest rank.
+    One hash per row draws the pool; only rows of the pool are hashed for every tree.  Both
+    hashes are of names, so the draw does not depend on partitioning, and only the
+    drawn rows move.  The tree keeps the ``sample`` rows of lowest rank.
     """
-    limit = HASH_SPACE if n_rows <= sample else math.ceil(HASH_SPACE * min(1.0, 1.5 * sample / n_rows))
-    joins = F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.pmod(F.xxhash64(F.col(order), t, F.lit(seed)), F.lit(HASH_SPACE)) < limit)
-    drawn = rows.select(order, "x", F.explode(joins).alias("tree"))
-    return drawn.withColumn("rank", F.xxhash64("tree", order, F.lit(seed + 1)))
+    pool = sample * POOL_SAMPLES
+    key = F.col(order)
+    if n_rows > pool:
+        rows = rows.where(_digits("pool", seed, key) < below(pool / n_rows))
+    offered = rows.select(order, "x", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    ranked = offered.withColumn("rank", _digits(seed, F.col("tree"), key))
+    share = 2.0 * sample / min(n_rows, pool)
+    return ranked if share >= 1 else ranked.where(F.col("rank") < below(share))
+
+
+def chance(*name) -> float:
+    """A number from 0 to below 1, from the MD5 of a name."""
+    return int(hashlib.md5(":".join(map(str, name)).encode()).hexdigest()[:13], 16) / (1 << 52)
 
 
 def grow_tree(pdf: pd.DataFrame, sample: int, seed: int, order: str) -> pd.DataFrame:
-    """Random splits down to single points, equal points or the depth limit."""
+    """Random splits down to single points, equal points or the depth limit.
+
+    Nodes are numbered as in a heap: the root is 1, below node n lie 2 n and 2 n + 1.
+    """
     tree = int(pdf["tree"].iloc[0])
     pdf = pdf.sort_values(["rank", order]).head(sample)
     points = np.stack(pdf["x"].to_numpy())
-    rng = np.random.default_rng([seed, tree])
     limit = math.ceil(math.log2(max(len(points), 2)))
-    nodes, todo = [], [(0, points, 0)]
-    next_id = 1
+    nodes, todo = [], [(1, points, 0)]
     while todo:
         node, part, depth = todo.pop()
         low, high = part.min(axis=0), part.max(axis=0)
@@ -70,18 +95,17 @@ def grow_tree(pdf: pd.DataFrame, sample: int, seed: int, order: str) -> pd.DataF
         if depth >= limit or len(part) <= 1 or not len(open_features):
             nodes.append((tree, node, -1, 0.0, -1, -1, depth + expected_path(len(part))))
             continue
-        f = int(rng.choice(open_features))
-        cut = float(rng.uniform(low[f], high[f]))
+        f = int(open_features[int(chance(seed, tree, node, "feature") * len(open_features))])
+        cut = float(low[f] + chance(seed, tree, node, "cut") * (high[f] - low[f]))
         goes_left = part[:, f] <= cut
-        nodes.append((tree, node, f, cut, next_id, next_id + 1, 0.0))
-        todo += [(next_id, part[goes_left], depth + 1), (next_id + 1, part[~goes_left], depth + 1)]
-        next_id += 2
+        nodes.append((tree, node, f, cut, 2 * node, 2 * node + 1, 0.0))
+        todo += [(2 * node, part[goes_left], depth + 1), (2 * node + 1, part[~goes_left], depth + 1)]
     return pd.DataFrame(nodes, columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")])
 
 
 def fit_forest(rows: DataFrame, n_rows: int, trees: int = FOREST_TREES,
                sample: int = FOREST_SAMPLE, seed: int = SEED, order: str = EVENT_KEY) -> Forest:
-    """Grow one tree per group; a group holds about 1.5 samples, whatever the data."""
+    """Grow one tree per group; a group holds about two samples, whatever the data."""
     drawn = draw_samples(rows, n_rows, trees, sample, seed, order)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -109,7 +133,7 @@ def mean_path(x: np.ndarray, a: dict[str, np.ndarray]) -> np.ndarray:
     rows = np.arange(len(x))
     for t in a["used"]:
         feature, threshold = a["feature"][t], a["threshold"][t]
-        at = np.zeros(len(x), dtype=np.int64)
+        at = np.ones(len(x), dtype=np.int64)  # the root
         while True:
             f = feature[at]
             inner = f >= 0

@@ -1,224 +1,136 @@
-"""Exact nearest neighbours and the local outlier factor.
-
-The search follows the pivot scheme for distributed neighbour joins (Lu et
-al., 2012).  Reference vectors belong to the cell of their nearest pivot and,
-inside it, to a ring of distances to that pivot; rings are split into blocks
-of bounded size.  A first search near the query gives an upper bound for its
-k-th distance, and the triangle inequality then tells which blocks can hold a
-nearer vector.  No candidate is capped or dropped: a block is left out only
-when it provably holds no neighbour.
+"""Local outlier factor against a reference set, found where the events lie.
+
+The density is fitted on a reference set: the benign rows, or a documented number of
+them drawn by hash.  The reference goes to the tasks in blocks of checked size.
+A reference of one block, which the default bound ensures, is searched by one Arrow
+function over Spark's own partitions: no event moves, and the work is linear
+in the events.  A larger one is searched in one pass per block, in which every vector
+carries its nearest so far.  Both ways are exact for the reference they are given.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from procwarden.fixed_values import LOF_NEIGHBOURS
 from procwarden.operators.lookup import lookup_join
+from procwarden.schema import EVENT_KEY
 from procwarden.session import cut_lineage
 
-MAX_PIVOTS = 512
-MAX_RINGS = 32
-CELL_ROWS = 256
-BLOCK_ROWS = 1_024
-QUERY_ROWS = 20_000
-DIGITS = 9
-SLACK = 1e-6
+#: Benign rows that the density is fitted on; None: all of them.
+REFERENCE_ROWS = 10_000
+BLOCK_BYTES = 64_000_000
+CHUNK_CELLS = 2_000_000  # distances that a task holds at once
+DIGITS = 6  # distances equal to so many decimals are ties, which the smaller vid wins
 DENSITY_FLOOR = 1e-10
-PAIR_SCHEMA = "qid long, vid long, copies long, dist double"
+NEAR = "vid array<long>, copies array<long>, dist array<double>"
 
 
 @dataclass
-class Index:
-    """Blocked reference vectors and the small summary of their rings."""
+class OutlierModel:
+    """Reference vectors with k-distance and density."""
+
+    refs: DataFrame            # vid, copies, x, kdist, density
+    rows: int                  # distinct vectors
+    k: int
+    inputs: int                # numbers in a vector
 
-    blocks: DataFrame          # cell, ring, sub, vid, copies, x
-    pivots: np.ndarray         # at most MAX_PIVOTS rows
-    rings: pd.DataFrame        # cell, ring, rows, copies, low, high, subs (bounded)
+    @property
+    def blocks(self) -> int:
+        """Blocks of at most about ``BLOCK_BYTES``."""
+        return max(1, math.ceil(self.rows * 8 * (self.inputs + 4) / BLOCK_BYTES))
+
+
+def draw_reference(rows: DataFrame, n_rows: int, wanted: int | None, order: str = EVENT_KEY) -> DataFrame:
+    """About ``wanted`` of ``n_rows`` rows, chosen by a hash of the key that every engine has."""
+    if wanted is None or n_rows <= wanted:
+        return rows
+    limit = math.ceil((1 << 40) * (wanted / n_rows))
+    return rows.where(F.substring(F.md5(F.concat(F.lit("density:"), F.col(order).cast("string"))), 1, 10)
+                      < f"{limit:010x}")
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row-by-row distances from differences, rounded, so that ties are ties."""
-    out = np.empty((len(a), len(b)))
-    step = max(1, 2_000_000 // max(1, b.size))
-    for i in range(0, len(a), step):
-        gap = a[i:i + step, None, :] - b[None, :, :]
-        out[i:i + step] = np.sqrt((gap * gap).sum(axis=2))
-    return np.round(out, DIGITS)
-
-
-def build_index(refs: DataFrame, n_refs: int) -> Index:
-    """Index of distinct reference vectors (vid, copies, x)."""
-    n_pivots = int(min(MAX_PIVOTS, max(1, n_refs // CELL_ROWS)))
-    n_rings = int(min(MAX_RINGS, max(1, -(-n_refs // (n_pivots * 2 * CELL_ROWS)))))
-    chosen = refs.orderBy(F.xxhash64("vid"), "vid").limit(n_pivots).select("x").collect()
-    pivots = np.array([r["x"] for r in chosen])
-    spark = refs.sparkSession
-    shared = spark.sparkContext.broadcast(pivots)
-
-    def place(batches):
-        for pdf in batches:
-            if len(pdf):
-                d = _distances(np.stack(pdf["x"].to_numpy()), shared.value)
-                yield pdf.assign(cell=d.argmin(axis=1), dp=d.min(axis=1))
-
-    placed = cut_lineage(refs.select("vid", "copies", "x").mapInPandas(
-        place, "vid long, copies long, x array<double>, cell int, dp double"))
-    radius = {r["cell"]: r["r"] for r in  # one row per pivot
-              placed.groupBy("cell").agg(F.max("dp").alias("r")).collect()}
-    widths = F.array(*[F.lit(max(float(radius.get(c, 0.0)), 1e-9)) for c in range(n_pivots)])
-    ring = F.least(F.floor(F.col("dp") / F.element_at(widths, F.col("cell") + 1) * n_rings),
-                   F.lit(n_rings - 1)).cast("int")
-    ringed = placed.withColumn("ring", ring)
-    rings = ringed.groupBy("cell", "ring").agg(  # at most MAX_PIVOTS * MAX_RINGS rows
-        F.count("*").alias("rows"), F.sum("copies").alias("copies"),
-        F.min("dp").alias("low"), F.max("dp").alias("high")).toPandas()
-    rings["subs"] = -(-rings["rows"] // BLOCK_ROWS)
-    subs = spark.createDataFrame(rings[["cell", "ring", "subs"]])
-    blocks = ringed.join(F.broadcast(subs), ["cell", "ring"]).withColumn(
-        "sub", F.pmod(F.xxhash64("vid", F.lit(7)), F.col("subs")).cast("int"))
-    return Index(blocks.select("cell", "ring", "sub", "vid", "copies", "x"), pivots,
-                 rings.sort_values(["cell", "ring"]).reset_index(drop=True))
-
-
-def _search(candidates: DataFrame, index: Index, k: int) -> DataFrame:
-    """The k nearest vectors of every query among its candidate blocks.
-
-    A block holds about BLOCK_ROWS vectors.  The queries of a popular block are
-    spread over several tasks, each with a copy of the block.
-    """
-    keys = ["cell", "ring", "sub"]
-    candidates = cut_lineage(candidates)
-    hits = cut_lineage(candidates.groupBy(*keys).agg(F.count("*").alias("hits")).withColumn(
-        "tasks", F.ceil(F.col("hits") / QUERY_ROWS).cast("int")).drop("hits"))
-    n_blocks = hits.count()
-    queries = lookup_join(candidates, hits, keys, n_blocks).withColumn(
-        "task", F.pmod(F.xxhash64("qid", F.lit(11)), F.col("tasks")).cast("int"))
-    wanted = lookup_join(index.blocks, hits, keys, n_blocks).where(
-        F.col("tasks").isNotNull()).withColumn(
-        "task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
-    out_columns = [c.split()[0] for c in PAIR_SCHEMA.split(", ")]
-
-    def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({c: [] for c in out_columns})
-        right = right.sort_values("vid")
-        d = _distances(np.stack(left["qx"].to_numpy()), np.stack(right["x"].to_numpy()))
-        keep = min(k, d.shape[1])
-        order = np.argsort(d, axis=1, kind="stable")[:, :keep]
-        return pd.DataFrame({
-            "qid": np.repeat(left["qid"].to_numpy(), keep),
-            "vid": right["vid"].to_numpy()[order].ravel(),
-            "copies": right["copies"].to_numpy()[order].ravel(),
-            "dist": np.take_along_axis(d, order, axis=1).ravel()})
-
-    grouping = keys + ["task"]
-    pairs = queries.select("qid", "qx", *grouping).groupBy(*grouping).cogroup(
-        wanted.select("vid", "copies", "x", *grouping).groupBy(*grouping)
-    ).applyInPandas(nearest, PAIR_SCHEMA)
-    best = W.partitionBy("qid").orderBy("dist", "vid")
-    # The rank limit is applied before the shuffle as well.
-    return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-
-
-CANDIDATE_SCHEMA = "qid long, qx array<double>, cell int, ring int, sub int"
-
-
-def nearest_vectors(queries: DataFrame, index: Index, k: int) -> DataFrame:
-    """(qid, vid, copies, dist, rank) of the k nearest distinct vectors, exact.
-
-    ``queries``: vid, x.  Ties are ordered by vid.
-    """
-    spark = queries.sparkSession
-    asked = queries.select(F.col("vid").alias("qid"), F.col("x").alias("qx"))
-    rings = index.rings
-    table = spark.sparkContext.broadcast({
-        "pivots": index.pivots,
-        "gaps": _distances(index.pivots, index.pivots),
-        **{c: rings[c].to_numpy() for c in ("cell", "ring", "rows", "copies", "low", "high", "subs")},
-        "radius": rings.groupby("cell")["high"].max().reindex(
-            range(len(index.pivots)), fill_value=0.0).to_numpy(),
-        "members": rings.groupby("cell")["rows"].sum().reindex(
-            range(len(index.pivots)), fill_value=0).to_numpy(),
-    })
-    if len(rings) == 1 and rings["subs"].iloc[0] == 1:
-        only = asked.withColumns({c: F.lit(int(rings[c].iloc[0])).cast("int") for c in ("cell", "ring")})
-        return cut_lineage(_search(only.withColumn("sub", F.lit(0)), index, k))
-
-    def emit(pdf, picks):
-        """One row per (query, block); ``picks`` is a queries x rings mask."""
-        t = table.value
-        q, r = np.nonzero(picks)
-        times = t["subs"][r].astype(int)
-        q, r = np.repeat(q, times), np.repeat(r, times)
-        sub = np.arange(len(q)) - np.repeat(np.cumsum(times) - times, times)
-        return pd.DataFrame({
-            "qid": pdf["qid"].to_numpy()[q], "qx": pdf["qx"].to_numpy()[q],
-            "cell": t["cell"][r], "ring": t["ring"][r], "sub": sub})
-
-    def near(batches):
-        """The ring around the query in its own cell."""
-        t = table.value
-        for batch in batches:
-            for i in range(0, len(batch), 256):
-                pdf = batch.iloc[i:i + 256]
-                d = _distances(np.stack(pdf["qx"].to_numpy()), t["pivots"])
-                d[:, t["members"] == 0] = np.inf
-                own, dp = d.argmin(axis=1), d.min(axis=1)
-                off = np.maximum(t["low"] - dp[:, None], dp[:, None] - t["high"])
-                off = np.where(t["cell"] == own[:, None], off, np.inf)
-                picks = np.zeros_like(off, dtype=bool)
-                picks[np.arange(len(pdf)), off.argmin(axis=1)] = True
-                yield emit(pdf, picks)
-
-    first = _search(asked.mapInPandas(near, CANDIDATE_SCHEMA), index, k)
-    bound = first.groupBy("qid").agg(
-        F.max(F.when(F.col("rank") == k, F.col("dist"))).alias("bound"))
-    bounded = cut_lineage(asked.join(bound, "qid", "left"))
-
-    def within(batches):
-        """Every block that can hold a vector within the query's bound."""
-        t = table.value
-        for batch in batches:
-            for i in range(0, len(batch), 256):
-                pdf = batch.iloc[i:i + 256]
-                d = _distances(np.stack(pdf["qx"].to_numpy()), t["pivots"])
-                live = t["members"] > 0
-                reach = np.where(live, d + t["radius"], np.inf)
-                order = np.argsort(reach, axis=1)
-                enough = np.cumsum(t["members"][order], axis=1) >= k
-                at = np.where(enough.any(axis=1), enough.argmax(axis=1), reach.shape[1] - 1)
-                rough = np.take_along_axis(reach, order, axis=1)[np.arange(len(pdf)), at]
-                rough = np.where(enough.any(axis=1), rough, np.inf)
-                given = pdf["bound"].to_numpy(dtype=float)
-                limit = np.where(np.isnan(given), rough, np.minimum(given, rough)) + SLACK
-                # Distance to a ring, and to the half-space of its cell.
-                dc = d[:, t["cell"]]
-                ring_gap = np.maximum(t["low"] - dc, dc - t["high"])
-                masked = np.where(live, d, np.inf)
-                own, dp = masked.argmin(axis=1), masked.min(axis=1)
-                span = t["gaps"][own][:, t["cell"]]
-                plane = np.where(span > 0, (dc ** 2 - dp[:, None] ** 2)
-                                 / np.maximum(2 * span, 1e-12), 0.0)
-                yield emit(pdf, np.maximum(ring_gap, plane) <= limit[:, None])
-
-    return cut_lineage(_search(bounded.mapInPandas(within, CANDIDATE_SCHEMA), index, k))
+    """Distances of paired rows from their differences, rounded, so that ties are ties."""
+    gap = a - b
+    return np.round(np.sqrt((gap * gap).sum(axis=1)), DIGITS)
 
 
-@dataclass
-class OutlierModel:
-    """Reference vectors with k-distance and density."""
+def nearest(x: np.ndarray, refs: np.ndarray, vids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and distances of the k nearest rows of ``refs`` (or all), by (distance, vid).
 
-    refs: DataFrame            # vid, copies, x, kdist, density
-    rows: int                  # distinct vectors
-    k: int
-    index: Index | None = None
+    Products of matrices tell which rows can be among them; their distances are then
+    taken exactly.  The slack covers rounding on either side.
+    """
+    k = min(k, len(refs))
+    places, dist = np.empty((len(x), k), np.int64), np.empty((len(x), k))
+    own = (refs * refs).sum(axis=1)
+    step = max(1, CHUNK_CELLS // max(1, len(refs)))
+    for i in range(0, len(x), step):
+        part = x[i:i + step]
+        norm = (part * part).sum(axis=1)
+        square = norm[:, None] + own[None, :] - 2.0 * (part @ refs.T)
+        kth = np.sqrt(np.maximum(np.partition(square, k - 1, axis=1)[:, k - 1], 0.0))
+        limit = (kth + 10.0 ** (1 - DIGITS)) ** 2 + 1e-11 * (norm + own.max())
+        row, ref = np.nonzero(square <= limit[:, None])
+        d = _distances(part[row], refs[ref])
+        sort = np.lexsort((vids[ref], d, row))
+        row, ref, d = row[sort], ref[sort], d[sort]
+        first = np.searchsorted(row, np.arange(len(part)))
+        take = first[:, None] + np.arange(k)[None, :]
+        places[i:i + step], dist[i:i + step] = ref[take], d[take]
+    return places, dist
+
+
+def _block(model: OutlierModel, number: int) -> dict[str, np.ndarray]:
+    """One block of the reference, collected and checked: at most about ``BLOCK_BYTES``."""
+    part = model.refs if model.blocks == 1 else model.refs.where(
+        F.pmod(F.xxhash64("vid"), F.lit(model.blocks)) == number)
+    pdf = part.orderBy("vid").toPandas()
+    if len(pdf) * 8 * (model.inputs + 4) > 2 * BLOCK_BYTES:
+        raise RuntimeError(f"block {number} of the reference has {len(pdf)} rows")
+    out = {c: pdf[c].to_numpy() for c in pdf.columns if c != "x"}
+    out["x"] = np.stack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, model.inputs))
+    return out
+
+
+def _near_pairs(queries: DataFrame, model: OutlierModel, k: int) -> DataFrame:
+    """(qid, vid, copies, dist) of the k nearest reference vectors of ``queries`` (vid, x).
+
+    One pass per block; the nearest so far travel with their vector.
+    """
+    spark = queries.sparkSession
+    running = queries.select(F.col("vid").alias("qid"), "x", *[
+        F.array().cast(t).alias(c) for c, t in (p.split() for p in NEAR.split(", "))])
+    for number in range(model.blocks):
+        shared = spark.sparkContext.broadcast(_block(model, number))
+
+        def merge(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            block = shared.value
+            for pdf in batches:
+                if not len(pdf) or not len(block["vid"]):
+                    yield pdf
+                    continue
+                found, dist = nearest(np.stack(pdf["x"].to_numpy()), block["x"], block["vid"], k)
+                rows = []
+                for i in range(len(pdf)):
+                    v = np.r_[np.asarray(pdf["vid"].iloc[i], np.int64), block["vid"][found[i]]]
+                    c = np.r_[np.asarray(pdf["copies"].iloc[i], np.int64), block["copies"][found[i]]]
+                    d = np.r_[np.asarray(pdf["dist"].iloc[i], float), dist[i]]
+                    best = np.lexsort((v, d))[:k]
+                    rows.append((v[best], c[best], d[best]))
+                yield pdf.assign(vid=[r[0] for r in rows], copies=[r[1] for r in rows], dist=[r[2] for r in rows])
+
+        running = cut_lineage(running.mapInPandas(merge, f"qid long, x array<double>, {NEAR}"))
+    return running.select("qid", F.inline(F.arrays_zip("vid", "copies", "dist")))
 
 
 def _take(pairs: DataFrame, k: int, without_self: bool = False) -> DataFrame:
@@ -233,43 +145,61 @@ def _take(pairs: DataFrame, k: int, without_self: bool = False) -> DataFrame:
         "take", F.least("copies", F.lit(k) - F.col("_before"))).drop("_before")
 
 
-def _density(near: DataFrame, k: int):
+def _density(near: DataFrame, k: int) -> Column:
     reach = F.greatest("dist", "kdist")
     return F.lit(1.0) / (F.sum(F.col("take") * reach) / F.lit(float(k)) + F.lit(DENSITY_FLOOR))
 
 
-def fit_outliers(vectors: DataFrame, total_rows: int,
+def fit_outliers(vectors: DataFrame, total_rows: int, inputs: int,
                  neighbours: int = LOF_NEIGHBOURS) -> tuple[OutlierModel, DataFrame]:
     """The model, and the raw scores (vid, lof) of its own vectors.
 
-    ``vectors``: vid, copies, x, distinct.  Densities leave a point out of its
-    own neighbourhood; the scores of training rows include it.
+    ``vectors``: vid, copies, x, distinct, ``total_rows`` with their copies.  Densities
+    leave a point out of its own neighbourhood; the scores of training rows include it.
     """
     k = max(1, min(neighbours, total_rows - 1))
     n = vectors.count()
-    index = build_index(vectors, n)
-    pairs = nearest_vectors(vectors, index, min(k + 1, n))
-    others = cut_lineage(_take(pairs, k, without_self=True))
+    bare = OutlierModel(vectors.select("vid", "copies", "x"), n, k, inputs)
+    others = cut_lineage(_take(_near_pairs(vectors, bare, min(k + 1, n)), k, without_self=True))
     kdist = cut_lineage(others.groupBy(F.col("qid").alias("vid")).agg(F.max("dist").alias("kdist")))
     near = lookup_join(others, kdist, ["vid"], n)
     density = near.groupBy("qid").agg(_density(near, k).alias("density"))
-    refs = cut_lineage(vectors.select("vid", "copies", "x").join(kdist, "vid", "left").join(
+    refs = cut_lineage(bare.refs.join(kdist, "vid", "left").join(
         density.withColumnRenamed("qid", "vid"), "vid", "left"))
-    model = OutlierModel(refs, n, k, index)
-    return model, _factors(_take(pairs, k), model)
-
-
-def _factors(near: DataFrame, model: OutlierModel) -> DataFrame:
-    facts = model.refs.select("vid", "kdist", "density")
-    known = lookup_join(near, facts, ["vid"], model.rows)
-    around = F.sum(F.col("take") * F.col("density")) / F.lit(float(model.k))
-    return known.groupBy(F.col("qid").alias("vid")).agg(
-        (around / _density(known, model.k)).alias("lof"))
+    model = OutlierModel(refs, n, k, inputs)
+    return model, outlier_factors(vectors, model)
 
 
 def outlier_factors(queries: DataFrame, model: OutlierModel) -> DataFrame:
-    """(vid, lof) of new vectors (vid, x); higher is odder."""
-    if model.index is None:
-        model.index = build_index(model.refs, model.rows)
-    pairs = nearest_vectors(queries, model.index, min(model.k, model.rows))
-    return _factors(_take(pairs, model.k), model)
+    """(vid, lof) of vectors (vid, x), for a reference of any number of blocks; higher is odder."""
+    if model.blocks == 1:
+        return queries.select("vid", outlier_factor(model, F.col("x")).alias("lof"))
+    near = _take(_near_pairs(queries, model, min(model.k, model.rows)), model.k)
+    known = lookup_join(near, model.refs.select("vid", "kdist", "density"), ["vid"], model.rows)
+    around = F.sum(F.col("take") * F.col("density")) / F.lit(float(model.k))
+    return known.groupBy(F.col("qid").alias("vid")).agg((around / _density(known, model.k)).alias("lof"))
+
+
+def outlier_factor(model: OutlierModel, x: Column) -> Column:
+    """The factor of a vector as a column, for a reference of one block; equal vectors of a batch are done once."""
+    if model.blocks > 1:
+        raise ValueError("the reference has several blocks")
+    shared = model.refs.sparkSession.sparkContext.broadcast(_block(model, 0))
+    k = model.k
+
+    @F.pandas_udf("double")
+    def factor(batch: pd.Series) -> pd.Series:
+        block = shared.value
+        if not len(batch) or not len(block["vid"]):
+            return pd.Series(np.full(len(batch), np.nan))
+        distinct, back = np.unique(np.stack(batch.to_numpy()), axis=0, return_inverse=True)
+        places, dist = nearest(distinct, block["x"], block["vid"], k)
+        copies = block["copies"][places]
+        before = np.cumsum(copies, axis=1) - copies
+        take = np.clip(k - before, 0, copies)
+        reach = np.maximum(dist, block["kdist"][places])
+        density = 1.0 / ((take * reach).sum(axis=1) / k + DENSITY_FLOOR)
+        around = (take * block["density"][places]).sum(axis=1) / k
+        return pd.Series((around / density)[back.ravel()])
+
+    return factor(x)

@@ -529,7 +529,9 @@ def m03(spark, sf):
     return S.stats_table(spark, stats).select("feature", *[r6(c) for c in ("mean", "std", "min", "max")])
 
 
-@query("m04_forest_fit")
+@query("m04_forest_fit", f"""
+SELECT tree::INTEGER AS tree, count(*) AS nodes, count(*) FILTER (f < 0) AS leaves, {rr('longest_path', 'max(path)')}
+FROM forest_nodes GROUP BY tree""")
 def m04(spark, sf):
     """Size, depth and leaf weight of every tree."""
     benign = P.benign_only(features(spark, sf))
@@ -537,26 +539,26 @@ def m04(spark, sf):
     forest = fit_forest(benign.select("event_id", S.scaled_vector(stats).alias("x")), stats.rows)
     return forest.nodes.groupBy("tree").agg(
         F.count("*").alias("nodes"), F.count_if(F.col("feature") < 0).alias("leaves"),
-        F.max("path").alias("longest_path"))
+        F.max("path").alias("longest_path")).select("tree", "nodes", "leaves", r6("longest_path"))
 
 
-def part_scores(spark, sf, part: str, **options) -> DataFrame:
-    fitted = D.fit(P.benign_only(process_events(spark, sf)), (part,), **options)
+def part_scores(spark, sf, part: str) -> DataFrame:
+    fitted = D.fit(P.benign_only(process_events(spark, sf)), (part,), digits=O.SCORE_DIGITS)
     return M.score(FE.model_features(process_events(spark, sf), fitted.baseline), fitted.model)
 
 
-@query("m05_forest_score")
+@query("m05_forest_score", O.part_score("forest"))
 def m05(spark, sf):
     return part_scores(spark, sf, "forest").select("event_id", "label", "ml_anomaly_score")
 
 
-@query("m06_outlier_factor")
+@query("m06_outlier_factor", O.part_score("lof"))
 def m06(spark, sf):
-    """Every event against the whole benign baseline."""
+    """Every event against the density of the reference rows."""
     return part_scores(spark, sf, "lof").select("event_id", "label", "ml_anomaly_score")
 
 
-@query("m07_boundary_score")
+@query("m07_boundary_score", O.part_score("boundary"))
 def m07(spark, sf):
     return part_scores(spark, sf, "boundary").select("event_id", "label", "ml_anomaly_score")
 
@@ -584,10 +586,10 @@ def m10(spark, sf):
     return scored(spark, sf)[0].select("event_id", "ml_anomaly_score")
 
 
-@query("m11_ensemble")
+@query("m11_ensemble", "SELECT event_id, label, ml_anomaly_score FROM all_scores JOIN scaled USING (event_id)")
 def m11(spark, sf):
-    """All three models, fitted on all benign events, over all events."""
-    fitted = D.fit(P.benign_only(process_events(spark, sf)))
+    """All three models over all events."""
+    fitted = D.fit(P.benign_only(process_events(spark, sf)), digits=O.SCORE_DIGITS)
     df = M.score(FE.model_features(process_events(spark, sf), fitted.baseline), fitted.model)
     return df.select("event_id", "label", "ml_anomaly_score")
 
@@ -727,9 +729,9 @@ def u4(spark, sf):
     return detected(spark, sf).select(*ALL_RESULTS)
 
 
-@query("u4_detect_full_ensemble")
+@query("u4_detect_full_ensemble", f"SELECT {', '.join(ALL_RESULTS)} FROM all_reasoned")
 def u4_full(spark, sf):
-    return D.run(process_events(spark, sf)).select(*ALL_RESULTS)
+    return D.run(process_events(spark, sf), digits=O.SCORE_DIGITS).select(*ALL_RESULTS)
 
 
 # ---- evaluation and reports ---------------------------------------------------

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from procwarden import fixed_values as V
+from procwarden.operators import boundary, forest, neighbours
 from procwarden.operators.boundary import make_directions
 from procwarden.sources import tables as B
 
@@ -277,6 +278,138 @@ SELECT s.event_id, printf('ANOMALY SCORE: %.0f/100', {rnd('ml_anomaly_score', 0)
           ELSE ' | Unusual factors: ' || told END AS explanation
 FROM scores s LEFT JOIN factors f USING (event_id)"""
 
+# ---- the three trained models --------------------------------------------
+# Draws and splits are MD5 of names, so the same trees grow here.
+def chance(*name: str) -> str:
+    joined = " || ':' || ".join(name)
+    return f"(('0x' || substr(md5({joined}), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+
+
+def drawn(name: str, wanted: int, n: str) -> str:
+    """Whether a row is among about ``wanted`` of ``n``, by the hash of a name."""
+    limit = f"ceil({forest.HASH_SPACE}::DOUBLE * ({wanted}::DOUBLE / {n}))::BIGINT"
+    return f"({n} <= {wanted} OR substr(md5({name}), 1, 10) < printf('%010x', {limit}))"
+
+
+def path_of(n: str) -> str:
+    return (f"CASE WHEN {n} <= 1 THEN 0.0::DOUBLE WHEN {n} = 2 THEN 1.0::DOUBLE "
+            f"ELSE 2.0::DOUBLE * (ln({n} - 1.0::DOUBLE) + {forest.EULER}::DOUBLE) - 2.0::DOUBLE * ({n} - 1.0::DOUBLE) / {n} END")
+
+
+DEPTH = (V.FOREST_SAMPLE - 1).bit_length()
+SCORE_DIGITS = 4  # of scores of trained models
+VIEWS["benign_rows"] = "SELECT event_id, x, count(*) OVER () AS n FROM scaled WHERE label = 'benign'"
+VIEWS["forest_pool"] = "SELECT event_id, x, n FROM benign_rows WHERE " + drawn(
+    f"'pool:{V.SEED}:' || event_id", V.FOREST_SAMPLE * forest.POOL_SAMPLES, "n")
+VIEWS["forest_values"] = f"""
+SELECT event_id, unnest(range({len(V.MODEL_COLUMNS)})) AS f, unnest(x) AS v FROM forest_pool"""
+VIEWS["members_0"] = f"""
+SELECT tree, event_id, 1 AS node FROM (
+  SELECT tree, event_id, row_number() OVER (
+    PARTITION BY tree ORDER BY substr(md5('{V.SEED}:' || tree || ':' || event_id), 1, 10), event_id) AS place
+  FROM forest_pool, (SELECT unnest(range({V.FOREST_TREES})) AS tree))
+WHERE place <= {V.FOREST_SAMPLE}"""
+for _d in range(DEPTH):
+    VIEWS[f"spreads_{_d}"] = f"""
+SELECT tree, node, f, min(v) AS low, max(v) AS high FROM members_{_d} JOIN forest_values USING (event_id)
+GROUP BY tree, node, f HAVING max(v) > min(v)"""
+    VIEWS[f"splits_{_d}"] = f"""
+SELECT tree, node, f, low + {chance(f"'{V.SEED}'", 'tree', 'node', "'cut'")} * (high - low) AS cut FROM (
+  SELECT *, row_number() OVER (PARTITION BY tree, node ORDER BY f) - 1 AS place, count(*) OVER (PARTITION BY tree, node) AS m
+  FROM spreads_{_d})
+WHERE place = floor({chance(f"'{V.SEED}'", 'tree', 'node', "'feature'")} * m)
+  AND {_d} < (SELECT ceil(log2(greatest(least({V.FOREST_SAMPLE}, any_value(n)), 2))) FROM benign_rows)"""
+    VIEWS[f"members_{_d + 1}"] = f"""
+SELECT tree, event_id, 2 * node + (v > cut)::INTEGER AS node
+FROM members_{_d} JOIN splits_{_d} USING (tree, node) JOIN forest_values USING (event_id, f)"""
+VIEWS["forest_nodes"] = "\nUNION ALL ".join(
+    [f"SELECT tree, node, f, cut, 0.0::DOUBLE AS path FROM splits_{d}" for d in range(DEPTH)]
+    + [f"SELECT tree, node, -1 AS f, 0.0::DOUBLE AS cut, {d} + {path_of('count(*)')} AS path FROM members_{d} "
+       + (f"ANTI JOIN splits_{d} USING (tree, node) " if d < DEPTH else "") + "GROUP BY tree, node"
+       for d in range(DEPTH + 1)])
+VIEWS["walk_0"] = f"SELECT event_id, tree, 1 AS node FROM scaled, (SELECT unnest(range({V.FOREST_TREES})) AS tree)"
+for _d in range(DEPTH):
+    VIEWS[f"walk_{_d + 1}"] = f"""
+SELECT event_id, tree, CASE WHEN f < 0 THEN node ELSE 2 * node + (x[f + 1] > cut)::INTEGER END AS node
+FROM walk_{_d} JOIN forest_nodes USING (tree, node) JOIN scaled USING (event_id)"""
+VIEWS["forest_raw"] = f"""
+SELECT event_id, pow(2.0::DOUBLE, -(sum(path) / {V.FOREST_TREES})
+  / (SELECT {path_of(f'least({V.FOREST_SAMPLE}, any_value(n))')} FROM benign_rows)) AS raw
+FROM walk_{DEPTH} JOIN forest_nodes USING (tree, node) GROUP BY event_id"""
+
+K = V.LOF_NEIGHBOURS
+VIEWS["reference_rows"] = "SELECT event_id, x FROM benign_rows WHERE " + drawn(
+    "'density:' || event_id", neighbours.REFERENCE_ROWS, "n")
+VIEWS["refs"] = "SELECT x, min(event_id) AS vid, count(*) AS copies FROM reference_rows GROUP BY x"
+VIEWS["lof_k"] = f"SELECT greatest(1, least({K}, sum(copies) - 1))::INTEGER AS k FROM refs"
+
+
+def near(queries: str, key: str, more: int) -> str:
+    """The nearest vectors of the reference, by (distance, vid)."""
+    return f"""
+SELECT qid, unnest(found, recursive := true) FROM (
+  SELECT q.{key} AS qid, min({{'dist': {rnd('list_distance(q.x, r.x)', neighbours.DIGITS)}, 'vid': r.vid, 'copies': r.copies}},
+    {K + more}) AS found FROM {queries} q, refs r GROUP BY q.{key})"""
+
+
+def taken(pairs: str, copies: str) -> str:
+    """How many copies of each neighbour are among the k nearest points."""
+    return f"""
+SELECT qid, vid, dist, least(copies, k - before) AS take FROM (
+  SELECT qid, vid, dist, copies, coalesce(sum(copies) OVER (
+    PARTITION BY qid ORDER BY dist, vid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM (SELECT qid, vid, dist, {copies} AS copies FROM {pairs}) WHERE copies > 0), lof_k
+WHERE before < k"""
+
+
+DENSITY = f"1.0::DOUBLE / (sum(take * greatest(dist, kdist)) / any_value(k) + {neighbours.DENSITY_FLOOR}::DOUBLE)"
+VIEWS["ref_near"] = near("refs", "vid", 1)
+VIEWS["ref_taken"] = taken("ref_near", "copies - (qid = vid)::INTEGER")
+VIEWS["kdists"] = "SELECT qid AS vid, max(dist) AS kdist FROM ref_taken GROUP BY qid"
+VIEWS["densities"] = f"""
+SELECT qid AS vid, {DENSITY} AS density FROM ref_taken JOIN kdists USING (vid), lof_k GROUP BY qid"""
+VIEWS["event_near"] = near("scaled", "event_id", 0)
+VIEWS["event_taken"] = taken("event_near", "copies")
+VIEWS["lof_raw"] = f"""
+SELECT qid AS event_id, sum(take * density) / any_value(k) / ({DENSITY}) AS raw
+FROM event_taken JOIN kdists USING (vid) JOIN densities USING (vid), lof_k GROUP BY qid"""
+
+BINS, STEPS, SPAN = boundary.BINS, boundary.STEPS, boundary.SPAN
+VIEWS["benign_lifted"] = "SELECT event_id, j, z FROM lifted WHERE label = 'benign'"
+VIEWS["weights_0"] = "SELECT j, avg(z) AS w, true AS live FROM benign_lifted GROUP BY j"
+for _t in range(STEPS):
+    VIEWS[f"bins_{_t}"] = f"""
+SELECT event_id, least({BINS - 1}, floor((greatest(-{SPAN}::DOUBLE, least({SPAN}::DOUBLE, {rnd('sum(z * w)', boundary.DIGITS)}))
+  + {SPAN}::DOUBLE) / {2 * SPAN}::DOUBLE * {BINS}))::INTEGER AS bin
+FROM benign_lifted JOIN weights_{_t} USING (j) GROUP BY event_id"""
+    VIEWS[f"shares_{_t}"] = f"""
+SELECT bin, c, greatest(0.0::DOUBLE, least(1.0::DOUBLE, ({V.BOUNDARY_NU}::DOUBLE * sum(c) OVER ()
+  - (sum(c) OVER (ORDER BY bin) - c)) / c)) AS part
+FROM (SELECT bin, count(*) AS c FROM bins_{_t} GROUP BY bin)"""
+    VIEWS[f"lowest_{_t}"] = f"""
+SELECT j, sum(part * z) / (SELECT sum(part * c) FROM shares_{_t}) AS l
+FROM benign_lifted JOIN bins_{_t} USING (event_id) JOIN shares_{_t} USING (bin) WHERE part > 0 GROUP BY j"""
+    VIEWS[f"weights_{_t + 1}"] = f"""
+SELECT j, CASE WHEN live THEN w + move ELSE w END AS w, live AND sqrt(sum(move * move) OVER ())
+  > {boundary.TOLERANCE}::DOUBLE * sqrt(sum((w + move) * (w + move)) OVER ()) AS live
+FROM (SELECT j, w, live, (l - w) / {_t + 2}::DOUBLE AS move FROM weights_{_t} JOIN lowest_{_t} USING (j))"""
+VIEWS["boundary_raw"] = f"SELECT event_id, -sum(z * w) AS raw FROM lifted JOIN weights_{STEPS} USING (j) GROUP BY event_id"
+
+for _part, _known in [("forest", "benign_rows"), ("lof", "reference_rows"), ("boundary", "benign_rows")]:
+    VIEWS[f"{_part}_placed"] = f"""
+SELECT event_id, greatest(0.0::DOUBLE, least(100.0::DOUBLE, (raw - low) / greatest(high - low, 0.001::DOUBLE) * 100.0::DOUBLE))
+  AS score FROM {_part}_raw, (SELECT min(raw) AS low, max(raw) AS high FROM {_part}_raw SEMI JOIN {_known} USING (event_id))"""
+VIEWS["all_scores"] = f"""
+SELECT event_id, {rnd(' + '.join(f"{w}::DOUBLE * {p}_placed.score" for p, w in V.WEIGHTS.items()), SCORE_DIGITS)}
+  AS ml_anomaly_score FROM forest_placed JOIN lof_placed USING (event_id) JOIN boundary_placed USING (event_id)"""
+
+
+def part_score(part: str) -> str:
+    """Scores of one trained model by itself."""
+    return (f"SELECT event_id, label, {rnd('score', SCORE_DIGITS)} AS ml_anomaly_score "
+            f"FROM {part}_placed JOIN scaled USING (event_id)")
+
+
 # ---- fusion -------------------------------------------------------------
 def ladder(a, b, c, d, e) -> str:
     return (f"CASE WHEN sigma_match THEN {a} WHEN chain_risk_score > 60 AND ml_anomaly_score > 70 THEN {b} "
@@ -324,6 +457,17 @@ WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)"""
 VIEWS["rates"] = """
 SELECT *, tp / greatest((SELECT sum(pos) FROM roc), 1) AS tpr, fp / greatest((SELECT sum(neg) FROM roc), 1) AS fpr FROM roc"""
 
+def _with_all_models(name: str) -> str:
+    """A view of the fused results, on the scores of all three models."""
+    text = VIEWS[name]
+    for word in ("scores", "explained", "layered", "detected"):
+        text = re.sub(rf"\b(FROM|JOIN) {word}\b", rf"\1 all_{word}", text)
+    return text
+
+
+for _name in ("explained", "layered", "detected", "reasoned"):
+    VIEWS[f"all_{_name}"] = _with_all_models(_name)
+
 _WORDS = {name: re.compile(rf"\b{name}\b") for name in VIEWS}
 
 

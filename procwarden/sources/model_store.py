@@ -84,7 +84,7 @@ def load_model(spark: SparkSession, path: str) -> Model:
         model.forest = Forest(spark.read.parquet(f"{path}/forest"), meta["trees"], meta["sample"])
     if "lof" in parts:
         refs = spark.read.parquet(f"{path}/density")
-        model.lof = OutlierModel(refs, refs.count(), meta["k"])
+        model.lof = OutlierModel(refs, refs.count(), meta["k"], len(stats.columns))
     if "boundary" in parts:
         table = spark.read.parquet(f"{path}/boundary").orderBy("position").collect()  # one per direction
         model.boundary = Boundary(np.array([r["direction"] for r in table]).T,

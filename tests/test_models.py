@@ -22,6 +22,10 @@ def points(spark, n=600, seed=5, width=3):
     return spark.createDataFrame(rows, "vid long, copies long, x array<double>"), x, copies
 
 
+def all_distances(a, b):
+    return np.round(np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2)), N.DIGITS)
+
+
 def brute_factors(x, copies, queries, k):
     def near(d, drop=None):
         out, left = [], k
@@ -34,7 +38,7 @@ def brute_factors(x, copies, queries, k):
                 break
         return out
 
-    own = N._distances(x, x)
+    own = all_distances(x, x)
     fit = [near(own[i], i) for i in range(len(x))]
     kdist = np.array([max(own[i][j] for j, _ in f) for i, f in enumerate(fit)])
 
@@ -43,27 +47,58 @@ def brute_factors(x, copies, queries, k):
 
     dens = np.array([density(own[i], f) for i, f in enumerate(fit)])
     out = []
-    for d in N._distances(queries, x):
+    for d in all_distances(queries, x):
         found = near(d)
         out.append(sum(t * dens[j] for j, t in found) / k / density(d, found))
     return np.array(out)
 
 
-@pytest.mark.parametrize("cell, block, ask", [(256, 1024, 20000), (16, 8, 5), (40, 20, 50)])
-def test_outlier_factor_is_exact(spark, monkeypatch, cell, block, ask):
-    monkeypatch.setattr(N, "CELL_ROWS", cell)
-    monkeypatch.setattr(N, "BLOCK_ROWS", block)
-    monkeypatch.setattr(N, "QUERY_ROWS", ask)
+@pytest.mark.parametrize("block_bytes, chunk", [(N.BLOCK_BYTES, N.CHUNK_CELLS), (4000, 500), (1200, 1)])
+def test_outlier_factor_is_exact(spark, monkeypatch, block_bytes, chunk):
+    """One block and several, against all pairs; a vector holds a third of all rows."""
+    monkeypatch.setattr(N, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(N, "CHUNK_CELLS", chunk)
     df, x, copies = points(spark, 300)
-    model, own = N.fit_outliers(df, int(copies.sum()), 7)
+    model, own = N.fit_outliers(df, int(copies.sum()), 3, 7)
+    assert (model.blocks == 1) == (block_bytes == 64_000_000)
     got = np.array([r["lof"] for r in own.orderBy("vid").collect()])
     np.testing.assert_allclose(got, brute_factors(x, copies, x, 7), rtol=1e-9)
     asked = np.round(np.random.default_rng(1).uniform(-5, 20, (60, 3)), 3)
+    asked[::7] = x[5]  # equal vectors, and equal to one of the reference
     queries = spark.createDataFrame([(1000 + i, v.tolist()) for i, v in enumerate(asked)], "vid long, x array<double>")
     got = np.array([r["lof"] for r in N.outlier_factors(queries, model).orderBy("vid").collect()])
     np.testing.assert_allclose(got, brute_factors(x, copies, asked, 7), rtol=1e-9)
 
 
+def test_nearest_orders_ties():
+    """Many equal distances, far vectors, and fewer rows than neighbours."""
+    rng = np.random.default_rng(2)
+    refs, vids = rng.integers(0, 3, (200, 4)).astype(float), rng.permutation(200)
+    x = np.r_[refs[:20], rng.integers(0, 3, (20, 4)) * 1e4]
+    for k in (1, 5, 200, 300):
+        places, dist = N.nearest(x, refs, vids, k)
+        for i, d in enumerate(all_distances(x, refs)):
+            want = np.lexsort((vids, d))[:k]
+            assert places[i].tolist() == want.tolist() and dist[i].tolist() == d[want].tolist()
+
+
+def test_events_do_not_move(spark, labelled):
+    """The plan that scores events has no exchange; the reference is bounded by the option."""
+    model = M.fit_model(labelled.filter("label = 'benign'"), parts=("lof",), neighbours=5, reference=100)
+    assert 50 <= model.lof.refs.agg(F.sum("copies")).first()[0] <= 150
+    plan = M.score(labelled, model)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_several_blocks_score_events_alike(spark, labelled, monkeypatch):
+    model = M.fit_model(labelled.filter("label = 'benign'"), trees=10, steps=2, rff=32, neighbours=5)
+    one = {r.event_id: r.ml_anomaly_score for r in M.score(labelled, model).collect()}
+    monkeypatch.setattr(N, "BLOCK_BYTES", 2000)
+    assert model.lof.blocks > 3
+    for r in M.score(labelled, model).collect():
+        assert r.ml_anomaly_score == pytest.approx(one[r.event_id], abs=1e-9)
+
+
 def test_forest_does_not_depend_on_partitions(spark):
     df, x, _ = points(spark, 400)
     rows = df.select(F.col("vid").alias("event_id"), "x")
