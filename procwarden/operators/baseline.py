@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from procwarden.functions.text import col, half_even, shannon_entropy
+from procwarden.functions.text import half_even, shannon_entropy
 from procwarden.operators.clean import prepare
 from procwarden.session import cut_lineage
 
@@ -54,7 +54,7 @@ def fit_baseline(benign: DataFrame) -> Baseline:
     """Baseline of plain events."""
     return fit_baseline_rows(prepare(benign).select(
         "_parent", "_child", F.length("CommandLine").alias("command_line_length"),
-        col(shannon_entropy("CommandLine")).alias("command_line_entropy")))
+        shannon_entropy("CommandLine").alias("command_line_entropy")))
 
 
 def fit_baseline_rows(rows: DataFrame) -> Baseline:

@@ -21,25 +21,38 @@ class Encoder:
     size: int
 
 
-def fit_encoder(df: DataFrame, value: str, known: Encoder | None = None,
-                order: str = EVENT_KEY) -> Encoder:
-    """Codes 0, 1, 2 ... by the first event of a value.
+def fit_encoders(df: DataFrame, values: dict[str, str], known: dict[str, Encoder] | None = None,
+                 order: str = EVENT_KEY) -> dict[str, Encoder]:
+    """Codes 0, 1, 2 ... by the first event of a value, for several columns in one pass.
 
-    Only distinct values are ranked, never events.  With a known encoder its
-    codes stay and new values are appended after the last.
+    ``values``: encoder name -> column.  Only distinct values are ranked, never events.
+    With known encoders their codes stay and new values are appended after the last.
     """
-    firsts = df.groupBy(F.col(value).alias("value")).agg(F.min(order).alias("first"))
-    if known is not None:
-        firsts = firsts.join(known.codes, "value", "left_anti")
+    known = known or {}
+    told = F.inline(F.array(*[
+        F.struct(F.lit(name).alias("name"), F.col(c).alias("value")) for name, c in values.items()]))
+    firsts = df.select(told, F.col(order)).groupBy("name", "value").agg(F.min(order).alias("first"))
+    for name, encoder in known.items():
+        old = encoder.codes.select(F.lit(name).alias("name"), "value")
+        firsts = firsts.join(old, ["name", "value"], "left_anti")
     firsts = cut_lineage(firsts)
-    fresh = firsts.count()
-    start = known.size if known else 0
-    ranked = running_totals(firsts.withColumn("_one", F.lit(1)), "first",
-                            {"_one": "_rank"}, fresh)
-    codes = ranked.select("value", (F.col("_rank") - 1 + start).cast("long").alias("code"))
-    if known is not None:
-        codes = known.codes.select("value", "code").unionByName(codes)
-    return Encoder(cut_lineage(codes), start + fresh)
+    fresh = {r["name"]: r["count"] for r in firsts.groupBy("name").count().collect()}  # one row per encoder
+    ranked = cut_lineage(running_totals(firsts.withColumn("_one", F.lit(1)), "first", {"_one": "_rank"},
+                                        sum(fresh.values()), groups=["name"]))
+    out = {}
+    for name in values:
+        start = known[name].size if name in known else 0
+        codes = ranked.where(F.col("name") == name).select("value", (F.col("_rank") - 1 + start).cast("long").alias("code"))
+        if name in known:
+            codes = cut_lineage(known[name].codes.select("value", "code").unionByName(codes))
+        out[name] = Encoder(codes, start + fresh.get(name, 0))
+    return out
+
+
+def fit_encoder(df: DataFrame, value: str, known: Encoder | None = None,
+                order: str = EVENT_KEY) -> Encoder:
+    """Codes of one column."""
+    return fit_encoders(df, {"value": value}, {"value": known} if known else None, order)["value"]
 
 
 def encode(df: DataFrame, value: str, encoder: Encoder, name: str) -> DataFrame:

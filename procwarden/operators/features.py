@@ -17,12 +17,12 @@ from procwarden.operators.lookup import lookup_join
 NEAR = V.SCRIPT_ENGINES + V.OFFICE_APPS + V.BROWSERS
 CODES = " ".join(f"WHEN {X.quoted(k)} THEN {v}" for k, v in V.INTEGRITY_CODES.items())
 
-# Features of one row alone, as SQL over the prepared columns.
+# Features of one row alone, as SQL over the prepared columns, or as a function that gives a column.
 ROW_FEATURES = {
     "is_known_lolbin": X.flag(f"_child IN {X.name_list(V.KNOWN_BINARIES)}"),
     "is_scripting_engine": X.flag(f"_child IN {X.name_list(V.SCRIPT_ENGINES)}"),
     "command_line_length": "length(CommandLine)",
-    "command_line_entropy": X.shannon_entropy("CommandLine"),
+    "command_line_entropy": lambda: X.shannon_entropy("CommandLine"),
     "has_suspicious_flag": X.flag(X.contains_any("_cmd", V.SUSPICIOUS_FLAGS)),
     "contains_url": X.flag(f"rlike(CommandLine, {X.quoted(V.URL_PATTERN)})"),
     "contains_ip_address": X.flag(f"rlike(CommandLine, {X.quoted(V.IP_PATTERN)})"),
@@ -48,8 +48,8 @@ ROW_FEATURES = {
 
 
 def row_features(prepared: DataFrame, names: list[str] | None = None) -> DataFrame:
-    wanted = names or list(ROW_FEATURES)
-    return prepared.withColumns({n: X.col(ROW_FEATURES[n]) for n in wanted})
+    made = {n: ROW_FEATURES[n] for n in names or ROW_FEATURES}
+    return prepared.withColumns({n: f() if callable(f) else X.col(f) for n, f in made.items()})
 
 
 def pair_rarity(prepared: DataFrame, baseline: Baseline) -> DataFrame:
@@ -84,7 +84,8 @@ CODED = [
 
 
 def label_codes(prepared: DataFrame, encoders: dict[str, Encoder]) -> DataFrame:
-    df = prepared.withColumn("_user", F.lower("User"))
+    """Add the label codes; ``_user`` is taken from the events if it is not there yet."""
+    df = prepared if "_user" in prepared.columns else prepared.withColumn("_user", F.lower("User"))
     for name, value, encoder in CODED:
         df = encode(df, value, encoders[encoder], name)
     return df.drop("_user")

@@ -74,7 +74,8 @@ def checked_fit(spark, sf) -> D.Artefacts:
 
 
 def detected(spark, sf) -> DataFrame:
-    return D.detect(process_events(spark, sf), checked_fit(spark, sf))
+    """The same model, fitted and applied in one reading of the events."""
+    return D.run(process_events(spark, sf), ("boundary",), codes=False, steps=0, digits=6, keep=RUN_COLUMNS)
 
 
 def scored(spark, sf) -> tuple[DataFrame, D.Artefacts]:
@@ -102,6 +103,7 @@ EVENT_COLUMNS = [f.name for f in KEYED_EVENT_SCHEMA.fields]
 BLANK_AS_NULL = ", ".join(
     f"nullif({c}, '') AS {c}" if f.dataType.simpleString() == "string" else c
     for c, f in zip(EVENT_COLUMNS, KEYED_EVENT_SCHEMA.fields)).replace("User", '"User"')
+RUN_COLUMNS = [c for c in EVENT_COLUMNS if c not in ("CommandLine", "ParentCommandLine")]  # no query shows the texts
 PLAIN = ", ".join(EVENT_COLUMNS).replace("User", '"User"')
 
 
@@ -408,10 +410,7 @@ for _id, _name in FEATURE_IDS.items():
 
 
 def coded(key: str, name: str, value: str, sql_value: str) -> None:
-    @query(key, f"""
-SELECT event_id, code AS {name} FROM prepared JOIN (
-  SELECT v, row_number() OVER (ORDER BY first) - 1 AS code
-  FROM (SELECT {sql_value} AS v, min(event_id) AS first FROM prepared GROUP BY 1)) ON v = {sql_value}""")
+    @query(key, f"SELECT event_id, code AS {name} FROM prepared JOIN ({O.codes(sql_value)}) ON v = {sql_value}")
     def run(spark, sf):
         df = prepared(spark, sf).withColumn("_user", F.lower("User"))
         return EN.encode(df, value, EN.fit_encoder(df, value), name).select("event_id", name)
@@ -419,7 +418,7 @@ SELECT event_id, code AS {name} FROM prepared JOIN (
 
 coded("f01_parent_process_name", "parent_process_name", "_parent", "parent")
 coded("f02_child_process_name", "child_process_name", "_child", "child")
-coded("f28_user_encoded", "user_encoded", "_user", 'lower("User")')
+coded("f28_user_encoded", "user_encoded", "_user", O.CODES["user_encoded"])
 
 
 @query("f24_parent_child_pair_rarity", "SELECT event_id, parent_child_pair_rarity FROM features")
@@ -724,6 +723,10 @@ ALL_RESULTS = [*MATCH, "ml_anomaly_score", "chain_risk_score", "chain_descriptio
                "final_verdict", "priority", "confidence", "explanation"]
 
 
+ALL_FEATURES = ["event_id", *FE.ROW_FEATURES, "parent_child_pair_rarity", "command_length_zscore", "entropy_zscore",
+                *[name for name, _, _ in FE.CODED]]
+
+
 @query("u4_detect", f"SELECT {', '.join(ALL_RESULTS)} FROM reasoned")
 def u4(spark, sf):
     return detected(spark, sf).select(*ALL_RESULTS)
@@ -731,7 +734,18 @@ def u4(spark, sf):
 
 @query("u4_detect_full_ensemble", f"SELECT {', '.join(ALL_RESULTS)} FROM all_reasoned")
 def u4_full(spark, sf):
-    return D.run(process_events(spark, sf), digits=O.SCORE_DIGITS).select(*ALL_RESULTS)
+    return D.run(process_events(spark, sf), digits=O.SCORE_DIGITS, keep=[], codes=False).select(*ALL_RESULTS)
+
+
+@query("u4_features", f"""
+SELECT {', '.join(f'f.{c}' for c in ALL_FEATURES[:-6])}, {', '.join(f"{O.rnd('f.' + c)} AS {c}" for c in ALL_FEATURES[-6:-3])},
+  {', '.join(f'{name}.code AS {name}' for name in O.CODES)}
+FROM features f """ + " ".join(f"JOIN ({O.codes(v)}) {name} ON {name}.v = {v}" for name, v in O.CODES.items()))
+def u4_features(spark, sf):
+    """All 29 features of the one-pass detection."""
+    df = D.run(process_events(spark, sf), ("boundary",), steps=0, keep=[])
+    plain = [c for c in ALL_FEATURES if c not in ALL_FEATURES[-6:-3]]
+    return df.select(*plain, *[r6(c) for c in ALL_FEATURES[-6:-3]])
 
 
 # ---- evaluation and reports ---------------------------------------------------

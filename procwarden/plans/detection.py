@@ -1,26 +1,30 @@
-"""The whole detection as one plan."""
+"""The whole detection as one plan.
+
+``event_facts`` derives from an event all that it tells by itself: features, rule match,
+chain risk.  Fitting and detecting go on from these facts and never read a text again.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from procwarden.fixed_values import MODEL_COLUMNS
 from procwarden.operators.baseline import Baseline, fit_baseline_rows
 from procwarden.operators.chains import score_chains
 from procwarden.operators.clean import benign_only, drop_helpers, prepare
 from procwarden.operators.ensemble import PARTS, Model, explanation, fit_model, score
-from procwarden.operators.encoders import Encoder, fit_encoder
-from procwarden.operators.features import (
-    CODED, ROW_FEATURES, label_codes, model_features, relative_features, row_features,
-)
+from procwarden.operators.encoders import Encoder, fit_encoders
+from procwarden.operators.features import CODED, ROW_FEATURES, label_codes, relative_features, row_features
 from procwarden.operators.fusion import fuse
-from procwarden.operators.rules import Rule, apply_rules
+from procwarden.operators.rules import NO_MATCH, Rule, apply_rules
 from procwarden.schema import EVENT_KEY
 from procwarden.session import cut_lineage
 
+CHAIN_COLUMNS = ["chain_risk_score", "chain_description", "chain_matched_pattern"]
+
 
 @dataclass
 class Artefacts:
@@ -28,38 +32,68 @@ class Artefacts:
 
     baseline: Baseline
     model: Model
+    encoders: dict[str, Encoder] | None = None
 
 
-def fit(benign: DataFrame, parts: tuple[str, ...] = PARTS, **options) -> Artefacts:
-    """Baseline and ensemble from benign events.
+def event_facts(events: DataFrame, rules: list[Rule] | None = None, duplicate_keys: str = "last",
+                keep: Iterable[str] | None = None, layers: bool = True) -> DataFrame:
+    """One row per event: the columns to ``keep`` (None: all), names and row features.
 
-    The command lines are read once: their features are written as a narrow
-    table, and baseline and models are fitted on that.
+    With ``layers`` also rule match and chain risk.
     """
-    own = [c for c in MODEL_COLUMNS if c in ROW_FEATURES]
-    rows = cut_lineage(row_features(prepare(benign), own).select(EVENT_KEY, "_parent", "_child", *own))
-    baseline = fit_baseline_rows(rows)
-    return Artefacts(baseline, fit_model(relative_features(rows, baseline), parts, **options))
+    df = row_features(prepare(events))
+    made = [EVENT_KEY, "_parent", "_child", "_user", *ROW_FEATURES]
+    if layers:
+        df = score_chains(apply_rules(df, rules, duplicate_keys))
+        made += [*NO_MATCH, *CHAIN_COLUMNS]
+    kept = [c for c in (events.columns if keep is None else keep) if c not in made]
+    return df.withColumn("_user", F.lower("User")).select(*[F.col(f"`{c}`") for c in kept], *made)
+
+
+def fit_facts(facts: DataFrame, parts: tuple[str, ...] = PARTS, codes: bool = False, **options) -> Artefacts:
+    """Baseline and ensemble from the benign facts; with ``codes`` label encoders from all of them."""
+    benign = benign_only(facts)
+    baseline = fit_baseline_rows(benign)
+    rows = cut_lineage(relative_features(benign, baseline).drop("_user"))
+    model = fit_model(rows, parts, **options)
+    return Artefacts(baseline, model, fit_label_codes(facts) if codes else None)
+
+
+def fit_label_codes(facts: DataFrame) -> dict[str, Encoder]:
+    return fit_encoders(facts, {encoder: value for _, value, encoder in CODED})
 
 
-def fit_encoders(events: DataFrame) -> dict[str, Encoder]:
-    prepared = prepare(events).withColumn("_user", F.lower("User"))
-    return {encoder: fit_encoder(prepared, value) for _, value, encoder in CODED}
+def detect_facts(facts: DataFrame, artefacts: Artefacts) -> DataFrame:
+    """Score, codes and fused verdict of event facts with all layers."""
+    df = relative_features(facts, artefacts.baseline)
+    if artefacts.encoders:
+        df = label_codes(df, artefacts.encoders)
+    df = score(df, artefacts.model)
+    told = explanation(artefacts.model.stats, df.columns, "ml_anomaly_score")
+    return drop_helpers(fuse(df, told)).drop("_user")
+
+
+def fit(benign: DataFrame, parts: tuple[str, ...] = PARTS, **options) -> Artefacts:
+    """Baseline and ensemble from benign events, whose texts are read once."""
+    return fit_facts(cut_lineage(event_facts(benign, keep=["label"], layers=False)), parts, **options)
 
 
 def detect(events: DataFrame, artefacts: Artefacts, rules: list[Rule] | None = None,
            duplicate_keys: str = "last", encoders: dict[str, Encoder] | None = None) -> DataFrame:
     """Events with features, rule match, score, chain risk and fused verdict."""
-    df = model_features(events, artefacts.baseline)
     if encoders:
-        df = label_codes(df, encoders)
-    df = apply_rules(df, rules, duplicate_keys)
-    df = score(df, artefacts.model)
-    df = score_chains(df)
-    stats = artefacts.model.stats
-    return drop_helpers(fuse(df, explanation(stats, df.columns, "ml_anomaly_score")))
+        artefacts = Artefacts(artefacts.baseline, artefacts.model, encoders)
+    return detect_facts(event_facts(events, rules, duplicate_keys), artefacts)
+
 
+def run(events: DataFrame, parts: tuple[str, ...] = PARTS, rules: list[Rule] | None = None,
+        duplicate_keys: str = "last", keep: Iterable[str] | None = None, codes: bool = True, **options) -> DataFrame:
+    """Fit on the benign rows of the events, then detect on all of them.
 
-def run(events: DataFrame, parts: tuple[str, ...] = PARTS, **options) -> DataFrame:
-    """Fit on the benign rows of the events, then detect on all of them."""
-    return detect(events, fit(benign_only(events), parts, **options))
+    The events are read once: their facts are written as one table, on which both work.
+    ``keep`` names the event columns that the result holds (``label`` is always one; None:
+    all), ``codes`` asks for the three label codes, which complete the 29 features.
+    """
+    kept = events.columns if keep is None else list(dict.fromkeys([*keep, "label"]))
+    facts = cut_lineage(event_facts(events, rules, duplicate_keys, kept))
+    return detect_facts(facts, fit_facts(facts, parts, codes, **options))

@@ -97,6 +97,16 @@ SELECT event_id, ProcessGuid, ProcessId, ParentProcessId, is_malicious, mitre_te
   try_cast(UtcTime AS TIMESTAMP) AS stamp
 FROM process_events"""
 
+# Coded column and the value it codes.
+CODES = {"parent_process_name": "parent", "child_process_name": "child", "user_encoded": 'lower("User")'}
+
+
+def codes(value: str) -> str:
+    """Codes by first appearance."""
+    return (f"SELECT v, row_number() OVER (ORDER BY first) - 1 AS code "
+            f"FROM (SELECT {value} AS v, min(event_id) AS first FROM prepared GROUP BY 1)")
+
+
 ARGS = f"list_filter(string_split_regex(cmd, {q(V.WHITESPACE_PATTERN)}), lambda a: a <> '')"
 NEAR = V.SCRIPT_ENGINES + V.OFFICE_APPS + V.BROWSERS
 

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,7 +60,7 @@ def working_folder(spark: SparkSession) -> str:
         if current:
             # Spark appends one uuid segment to the folder it was given.
             return current.rsplit("/", 1)[0]
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         configured = tempfile.mkdtemp(prefix="procwarden-")
     if not spark.sparkContext.getCheckpointDir():
@@ -69,12 +73,63 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(working_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+class StepTables:
+    """The step tables that are written while the object is entered; ``remove`` deletes them.
+
+    Tables live until their reader is done, so a lost executor's work can be done again
+    from them.  Entered objects nest; a table belongs to the innermost one of its thread.
+    """
+
+    _open = threading.local()
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def __enter__(self) -> StepTables:
+        self._open.stack = [*getattr(self._open, "stack", []), self]
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._open.stack = self._open.stack[:-1]
+
+    def remove(self, spark: SparkSession, but: DataFrame | None = None) -> None:
+        """Delete the tables, except those that ``but`` still reads."""
+        read = list(but.inputFiles()) if but is not None and self.paths else []
+        left = []
+        for path in self.paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            if any(os.path.basename(path) in name for name in read):
+                left.append(path)
+            else:
+                where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        self.paths = left
+
+    @classmethod
+    def record(cls, path: str) -> None:
+        stack = getattr(cls._open, "stack", None)
+        if stack:
+            stack[-1].paths.append(path)
+
+
+@contextmanager
+def step_tables(spark: SparkSession) -> Iterator[StepTables]:
+    """A block after which the step tables written inside it are gone: write results within."""
+    steps = StepTables()
+    try:
+        with steps:
+            yield steps
+    finally:
+        steps.remove(spark)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and go on from there.
 
     The plan runs once (a checkpoint would run its last stage twice), the
-    table survives lost executors, and later readers prune its columns.
+    table survives lost executors, and later readers prune its columns.  Inside
+    ``step_tables`` it goes at the end of the block.
     """
     path = scratch_path(df.sparkSession, "step")
+    StepTables.record(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from procwarden.operators.rules import Rule
 from procwarden.plans.detection import Artefacts, detect
+from procwarden.session import step_tables
 
 
 def write_detections(events: DataFrame, artefacts: Artefacts, path: str, checkpoint: str,
@@ -21,7 +22,8 @@ def write_detections(events: DataFrame, artefacts: Artefacts, path: str, checkpo
     lost nor doubled.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        detect(batch, artefacts, rules).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        with step_tables(batch.sparkSession):  # a batch leaves no table behind but its own
+            detect(batch, artefacts, rules).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -20,7 +20,7 @@ CERTUTIL = {
     ("a.*+$[", 2.585), ("a\\'\n", 2.0)])
 def test_entropy(spark, text, bits):
     df = spark.createDataFrame([(text,)], "t string")
-    assert df.select(col(shannon_entropy("t"))).first()[0] == bits
+    assert df.select(shannon_entropy("t")).first()[0] == bits
 
 
 @pytest.mark.parametrize("path, name", [
