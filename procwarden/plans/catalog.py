@@ -29,7 +29,7 @@ from procwarden.operators.forest import fit_forest
 from procwarden.plans import detection as D
 from procwarden.plans import oracle as O
 from procwarden.schema import KEYED_EVENT_SCHEMA, TEXT_COLUMNS
-from procwarden.session import apply_settings, scratch_path
+from procwarden.session import apply_settings, file_system, scratch_path
 from procwarden.sources import event_files as IO
 from procwarden.sources import model_store as MS
 from procwarden.sources.rule_files import load_rules
@@ -164,7 +164,16 @@ SELECT * FROM (
   FROM process_events WHERE regexp_matches(CommandLine, '(?i)ping\\s+[0-9]+')
     AND lower(IntegrityLevel) IN ('high', 'system') AND NOT starts_with(lower("User"), 'nt authority'))""")
 def io6(spark, sf):
-    return rule_counts(process_events(spark, sf), load_rules(SAMPLE_RULES))
+    """Rules of a folder on the shared storage."""
+    return rule_counts(process_events(spark, sf), load_rules(spark, shared_rules(spark)).rules)
+
+
+def shared_rules(spark) -> str:
+    """The sample rules, copied to the shared storage where every task can read them."""
+    folder = scratch_path(spark, "rules")
+    fs, where = file_system(spark, folder)
+    fs.copyFromLocalFile(spark._jvm.org.apache.hadoop.fs.Path("file://" + SAMPLE_RULES), where)
+    return folder
 
 
 def rule_counts(events: DataFrame, rules: list[R.Rule]) -> DataFrame:
@@ -498,6 +507,10 @@ def f35(spark, sf):
     return EN.encode(df, "_user", grown, "user_encoded").select("event_id", "user_encoded")
 
 
+ALL_RESULTS = [*MATCH, "ml_anomaly_score", "chain_risk_score", "chain_description", "chain_matched_pattern",
+               "final_verdict", "priority", "confidence", "explanation"]
+
+
 # ---- anomaly model ----------------------------------------------------------
 @query("m01_matrix_prep", """
 SELECT event_id, coalesce(length(CommandLine), 0)::DOUBLE AS command_line_length,
@@ -624,6 +637,15 @@ def m14(spark, sf):
     return M.score(df, MS.load_or_fit(benign, path, **options)).select("event_id", "ml_anomaly_score")
 
 
+@query("m14_stored_run", f"SELECT {', '.join(ALL_RESULTS)} FROM reasoned")
+def m14_run(spark, sf):
+    """First use fits and stores all artefacts, second use detects with what was stored."""
+    path = scratch_path(spark, "artefacts")
+    options = {"parts": ("boundary",), "steps": 0, "digits": 6, "codes": False}
+    MS.run_with_store(P.benign_only(process_events(spark, sf)), path, keep=[], **options)
+    return MS.run_with_store(process_events(spark, sf), path, keep=[], **options).select(*ALL_RESULTS)
+
+
 @query("m15_top_anomalies", f"""
 SELECT event_id, label, CASE WHEN parent = 'unknown' THEN 'unknown' ELSE {O.base('ParentImage')} END AS parent_process,
   {O.base('Image')} AS child_process, ml_anomaly_score, explanation
@@ -719,10 +741,6 @@ def u3(spark, sf):
     return detected(spark, sf).select("event_id", "explanation")
 
 
-ALL_RESULTS = [*MATCH, "ml_anomaly_score", "chain_risk_score", "chain_description", "chain_matched_pattern",
-               "final_verdict", "priority", "confidence", "explanation"]
-
-
 ALL_FEATURES = ["event_id", *FE.ROW_FEATURES, "parent_child_pair_rarity", "command_length_zscore", "entropy_zscore",
                 *[name for name, _, _ in FE.CODED]]
 

@@ -68,6 +68,12 @@ def working_folder(spark: SparkSession) -> str:
     return configured
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that holds a path, and the path in its terms."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(working_folder(spark), f"{name}-{uuid.uuid4().hex}")
@@ -97,11 +103,11 @@ class StepTables:
         read = list(but.inputFiles()) if but is not None and self.paths else []
         left = []
         for path in self.paths:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
             if any(os.path.basename(path) in name for name in read):
                 left.append(path)
             else:
-                where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+                fs, where = file_system(spark, path)
+                fs.delete(where, True)
         self.paths = left
 
     @classmethod

@@ -1,5 +1,13 @@
 import json
+import threading
 
+import pytest
+from pyspark.sql import functions as F
+
+from procwarden.operators.baseline import Baseline
+from procwarden.operators.clean import benign_only
+from procwarden.operators.encoders import Encoder
+from procwarden.plans.detection import detect, fit
 from procwarden.schema import EVENT_SCHEMA, KEYED_EVENT_SCHEMA
 from procwarden.sources import event_files as IO
 from procwarden.operators.baseline import fit_baseline
@@ -48,3 +56,74 @@ def test_baseline_survives_saving(spark, make_events, tmp_path):
     assert (again.length_mean, again.length_std, again.entropy_mean, again.unseen_rarity, again.n_pairs) == (
         b.length_mean, b.length_std, b.entropy_mean, b.unseen_rarity, b.n_pairs)
     assert again.pairs.collect() == b.pairs.collect()
+
+
+def whole(spark, n):
+    """A baseline and an encoder that both tell their number."""
+    pairs = spark.range(n).select(F.col("id").cast("string").alias("parent"), F.lit("c").alias("child"), F.lit(n).alias("n"),
+                                  F.lit(0.5).alias("freq"), F.lit(1.0).alias("rarity"))
+    codes = spark.range(n).select(F.col("id").cast("string").alias("value"), F.col("id").alias("code"))
+    return Baseline(events=n, unseen_rarity=float(n), pairs=pairs, n_pairs=n), {"user": Encoder(codes, n)}
+
+
+def test_reader_beside_a_writer(spark, tmp_path):
+    """While versions are written, a reader sees the parts of one version."""
+    path = str(tmp_path / "b")
+    b, e = whole(spark, 1)
+    MS.save_baseline(spark, b, path, e)
+    done = threading.Event()
+
+    def write():
+        for n in range(2, 8):
+            b, e = whole(spark, n)
+            MS.save_baseline(spark, b, path, e)
+        done.set()
+
+    writer, seen = threading.Thread(target=write), set()
+    writer.start()
+    while True:
+        last = done.is_set()
+        folder = MS.current(spark, path)
+        b, e = MS._read_baseline(spark, folder), MS._read_encoder(spark, folder, "user")
+        assert b.events == b.n_pairs == b.pairs.count() == e.size == int(b.unseen_rarity)
+        seen.add(b.events)
+        if last:
+            break
+    writer.join()
+    assert len(seen) > 1 and max(seen) == 7
+    assert len(MS.versions(spark, path)) == 7
+    MS.remove_old(spark, path)
+    assert len(MS.versions(spark, path)) == 2 and MS.load_baseline(spark, path).events == 7
+
+
+def test_unfinished_version_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "b")
+    with pytest.raises(FileNotFoundError):
+        MS.load_baseline(spark, path)
+    b, e = whole(spark, 3)
+    MS.save_baseline(spark, b, path, e)
+
+    def fails(folder):
+        MS._write(e["user"].codes, f"{folder}/encoder_user")
+        raise OSError("the writer ended")
+
+    with pytest.raises(OSError):
+        MS.publish(spark, path, fails)
+    assert MS.load_baseline(spark, path).events == 3
+
+
+def test_stored_artefacts_are_used(spark, make_events, tmp_path):
+    """The second run detects with what the first one fitted, also on other events."""
+    rows = [{"CommandLine": f"notepad.exe file{i}.txt", "User": f"CORP\\u{i % 4}"} for i in range(40)]
+    events, other = make_events(rows), make_events([{"CommandLine": "cmd.exe /c " + "x" * 300, "User": "CORP\\new"}] * 3)
+    path, options = str(tmp_path / "a"), {"parts": ("boundary",), "steps": 0}
+    MS.run_with_store(events, path, **options)
+    assert len(MS.versions(spark, path)) == 1
+    got = MS.run_with_store(other, path, **options)
+    want = detect(other, fit(benign_only(events), **options))
+    columns = ["event_id", "ml_anomaly_score", "final_verdict", "command_length_zscore"]
+    assert sorted(got.select(columns).collect()) == sorted(want.select(columns).collect())
+    assert [r["user_encoded"] for r in got.collect()] == [None] * 3
+    assert len(MS.versions(spark, path)) == 1
+    with pytest.raises(ValueError, match="were fitted with"):
+        MS.run_with_store(events, path, parts=("boundary",), steps=1)
