@@ -7,7 +7,7 @@ import re
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -139,3 +139,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     StepTables.record(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """The written result of ``build``; the step tables written on the way go."""
+    steps = StepTables()
+    with steps:
+        df = build()
+    out = cut_lineage(df)
+    steps.remove(spark)
+    return out
