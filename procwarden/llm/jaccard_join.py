@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from procwarden.llm.common import byte_slices, lowered, mix, span_hashes, text_bytes, words
 from procwarden.llm.graph import components
-from procwarden.session import cut_lineage
+from procwarden.session import cut_lineage, settle
 
 WORDS = 5
 SHARE = 80  # per cent
@@ -224,24 +224,29 @@ def _runs(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[tup
         yield key, held
 
 
-def _pairs(left: list[bool], comp: list[int], n: list[int], bits: list[bytes],
+def _pairs(left: list[bool], right: list[bool], comp: list[int], n: list[int], bits: list[bytes],
            lower: list[list[int]]) -> Iterator[tuple[int, int]]:
-    """Left against right rows of unlike components that may link and share no lower tile."""
-    rights = [j for j, x in enumerate(left) if not x]
+    """Left against right rows of unlike components that may link and share no lower tile.
+
+    Of two rows that are both left and right one order is enough.
+    """
+    rights = [j for j, x in enumerate(right) if x]
     sets = [frozenset(x) for x in lower]
     for i in (i for i, x in enumerate(left) if x):
         for j in rights:
+            if left[j] and right[i] and j <= i:
+                continue
             if comp[i] != comp[j] and sets[i].isdisjoint(sets[j]) and may_link(n[i], n[j], bits[i], bits[j]):
                 yield i, j
 
 
-_ROW = ["left", "id", "comp", "n", "bits", "lower"]
+_ROW = ["left", "right", "id", "comp", "n", "bits", "lower"]
 
 
 def _open(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Promising pairs of every block pair."""
-    for _, (left, ids, comp, n, bits, lower) in _runs(batches, _ROW):
-        pairs = sorted({(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in _pairs(left, comp, n, bits, lower)})
+    for _, (left, right, ids, *rest) in _runs(batches, _ROW):
+        pairs = sorted({(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in _pairs(left, right, *rest)})
         if pairs:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs, strict=True)], ["a", "b"])
 
@@ -250,15 +255,47 @@ def join_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for (doc_id, text), one row per row.
 
     Null and empty texts, and texts without words, have size 0 and are linked with
-    nothing; so are rows without an id, whose component is null.  Ids are expected to
-    be unique: unlike texts under one id may pass as one document.  An empty table
-    gives no rows; other columns are ignored.
+    nothing; so are rows without an id, whose component is null.  Unlike texts under one id
+    are documents of their own: their rows are numbered, joined by number, and named by
+    the smallest id of their component.  An empty table gives no rows; other columns
+    are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return settle(docs.sparkSession, lambda: _joined(docs))
+
+
+def _joined(docs: DataFrame) -> DataFrame:
     late = frequent_shingles(docs)
-    profile = cut_lineage(docs.mapInArrow(
-        _profile(late), "doc_id long, n long, digest binary, part array<long>, bits binary"))
+    profile = _profiles(docs, late)
     there = profile.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    unlike = there.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high")
+    if unlike.isEmpty():
+        component = _components(docs, there)
+        return (profile.select("doc_id", F.col("n").alias("n_shingles"),
+                               F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
+                .join(component, "digest", "left")
+                .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+    numbered = cut_lineage(docs.withColumn("id", F.monotonically_increasing_id()))
+    known = numbered.where("doc_id IS NOT NULL").select(F.col("id").alias("doc_id"), "text")
+    profile = _profiles(known, late)
+    component = _components(known, profile.where("n > 0"))
+    rows = cut_lineage(
+        numbered.select("id", "doc_id").join(profile.select(F.col("doc_id").alias("id"), "n", "digest"), "id", "left")
+        .join(component, "digest", "left").select("doc_id", "n", "component_id", "id"))
+    least = rows.where("component_id IS NOT NULL").groupBy("component_id").agg(F.min("doc_id").alias("least"))
+    unnamed = _profiles(docs.where("doc_id IS NULL"), late).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return rows.where("doc_id IS NOT NULL").join(least, "component_id", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")).unionByName(unnamed)
+
+
+def _profiles(docs: DataFrame, late: np.ndarray) -> DataFrame:
+    return cut_lineage(docs.mapInArrow(
+        _profile(late), "doc_id long, n long, digest binary, part array<long>, bits binary"))
+
+
+def _components(docs: DataFrame, there: DataFrame) -> DataFrame:
+    """(digest, component_id) of every set; an id has one set here."""
     groups = cut_lineage(there.groupBy("digest").agg(F.min("doc_id").alias("id")))
     reps = _representatives(there, groups)
     shared = cut_lineage(reps.select(F.explode("part").alias("tile")).groupBy("tile").count()
@@ -274,12 +311,8 @@ def join_documents(docs: DataFrame) -> DataFrame:
         members = _renamed(members, links)
     pairs = _tile_pairs(reps, members, 2 if ROUNDS else 1)
     links = links.union(_linked_pairs(docs, pairs))
-    component = groups.join(components(links).withColumnRenamed("node", "id"), "id", "left").select(
+    return groups.join(components(links).withColumnRenamed("node", "id"), "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component_id"))
-    return (profile.select("doc_id", F.col("n").alias("n_shingles"),
-                           F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
-            .join(component, "digest", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def few_ids(ids: DataFrame) -> DataFrame:
@@ -293,7 +326,7 @@ def _representatives(there: DataFrame, groups: DataFrame) -> DataFrame:
     copies = there.select("digest", "doc_id").join(groups, "digest").where("doc_id != id").select("doc_id")
     reps = there.join(few_ids(copies), "doc_id", "left_anti").withColumnRenamed("doc_id", "id")
     repeated = few_ids(reps.groupBy("id").count().where("count > 1").select("id"))
-    if not repeated.isEmpty():
+    if not repeated.isEmpty():  # equal rows: the id and the set are the same
         reps = reps.join(repeated, "id", "left_anti").unionByName(
             reps.join(repeated, "id", "left_semi").dropDuplicates(["id"]).select(*reps.columns))
     return reps
@@ -301,12 +334,19 @@ def _representatives(there: DataFrame, groups: DataFrame) -> DataFrame:
 
 def _renamed(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members with the components that the links make."""
-    named = components(links).withColumnsRenamed({"node": "id", "component": "_comp"})
-    return cut_lineage(members.join(named, "id", "left").withColumn("comp", F.coalesce("_comp", "id")).drop("_comp"))
+    def build() -> DataFrame:
+        named = components(links).withColumnsRenamed({"node": "id", "component": "_comp"})
+        return members.join(named, "id", "left").withColumn("comp", F.coalesce("_comp", "id")).drop("_comp")
+
+    return settle(members.sparkSession, build)
 
 
 def _linked_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose documents link; their sets are computed from the texts again."""
+    """The pairs (a, b) whose documents link; their sets are computed from the texts again and then go."""
+    return settle(docs.sparkSession, lambda: _found_links(docs, pairs))
+
+
+def _found_links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     ids = few_ids(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
     sets = cut_lineage(docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").select("id", "text")
                        .mapInArrow(_sets, "id long, n long, bits binary, shingles binary").dropDuplicates(["id"]))
@@ -335,23 +375,33 @@ def _leader_pairs(reps: DataFrame, members: DataFrame, lowest: bool) -> DataFram
 
 
 def _tile_pairs(reps: DataFrame, members: DataFrame, decided: int) -> DataFrame:
-    """Promising pairs over the components of a tile; tiles of ``decided`` documents or fewer are done."""
+    """Promising pairs over the components of a tile; tiles of ``decided`` documents or fewer are done.
+
+    A tile of up to ``BLOCK`` documents is one block, each of its documents comes to it once.
+    Larger ones are cut into size bands and those into blocks.
+    """
+    return settle(reps.sparkSession, lambda: _block_pairs(reps, members, decided))
+
+
+def _block_pairs(reps: DataFrame, members: DataFrame, decided: int) -> DataFrame:
     per_comp = members.groupBy("tile", "comp").agg(F.count("*").alias("k"))
     mixed = per_comp.groupBy("tile").agg(F.max_by("comp", F.struct("k", "comp")).alias("major"),
                                          F.count("*").alias("comps"), F.sum("k").alias("k")).where(
         (F.col("comps") > 1) & (F.col("k") > decided))
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / SHARE))))
-    rows = cut_lineage(members.join(mixed.select("tile", "major"), "tile").select(
-        "tile", "id", "comp", "n", band.alias("band"), (F.col("comp") != F.col("major")).alias("minor")))
+    rows = cut_lineage(members.join(mixed.select("tile", "major", "k"), "tile").select(
+        "tile", "id", "comp", "n", band.alias("band"), (F.col("comp") != F.col("major")).alias("minor"),
+        (F.col("k") <= BLOCK).alias("whole")))
     # sizes that link differ by a factor of 1.25 at most: a band meets itself and its neighbours
-    sizes = rows.groupBy("tile", "band").agg(F.ceil(F.count("*") / BLOCK).alias("all"),
+    large = rows.where("NOT whole")
+    sizes = large.groupBy("tile", "band").agg(F.ceil(F.count("*") / BLOCK).alias("all"),
                                              F.ceil(F.sum(F.col("minor").cast("int")) / BLOCK).alias("minor"))
     near = sizes.select("tile", "all", "minor", F.col("band").alias("of"),
                         F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])).alias("band"))
     shape = near.groupBy("tile", "band").agg(*[
         F.coalesce(F.max(F.when(F.col("of") == F.col("band") + d, F.col(c))), F.lit(0)).alias(f"{c}_{d + 1}")
         for c in ("all", "minor") for d in (-1, 0, 1)])
-    dealt = rows.join(shape, ["tile", "band"])
+    dealt = large.join(shape, ["tile", "band"])
 
     def at(parts: str):
         return F.pmod(F.xxhash64("id"), F.greatest(F.col(parts), F.lit(1)))
@@ -374,9 +424,11 @@ def _tile_pairs(reps: DataFrame, members: DataFrame, decided: int) -> DataFrame:
     none = F.array().cast("array<struct<l_band:bigint,l_at:bigint,r_band:bigint,r_at:bigint,left:boolean>>")
     placed = dealt.withColumn("to", F.explode(F.concat(*[F.coalesce(x, none) for x in to]))).select(
         "tile", "to.*", "id", "comp", "n")
+    one = [F.lit(0).cast("long").alias(c) for c in _KEY[1:]]
+    placed = placed.withColumn("right", ~F.col("left")).unionByName(rows.where("whole").select(
+        "tile", *one, F.col("minor").alias("left"), "id", "comp", "n", F.lit(True).alias("right")))
     # a pair is looked at in the lowest tile that both documents are in
     own = rows.groupBy("id").agg(F.collect_list("tile").alias("tiles"))
     placed = placed.join(reps.select("id", "bits").join(own, "id"), "id").withColumn(
         "lower", F.filter("tiles", lambda t: t < F.col("tile"))).select(*_KEY, *_ROW)
-    return cut_lineage(placed.repartition(*_KEY).sortWithinPartitions(*_KEY)
-                       .mapInArrow(_open, "a long, b long").distinct())
+    return placed.repartition(*_KEY).sortWithinPartitions(*_KEY).mapInArrow(_open, "a long, b long").distinct()

@@ -90,6 +90,18 @@ def test_odd_rows(spark):
     assert got == [(5, 2, 5), (5, 2, 5), (9, 2, 5), (None, 2, None)]
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_unlike_texts_under_one_id(spark, turned):
+    """No link is lost, whatever the order of the rows."""
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (1, b), (2, b + " more"), (3, a + " more"), (1, b), (7, a), (7, None), (None, a), (None, ""), (4, "x y")]
+    df = spark.createDataFrame([(*r, 1, "x") for r in (rows[::-1] if turned else rows)], SCHEMA).coalesce(1)
+    got = sorted((tuple(r) for r in jj.join_documents(df).collect()), key=str)
+    want = [(1, 56, 1), (1, 56, 1), (1, 56, 1), (2, 57, 1), (3, 57, 1), (7, 56, 1), (7, 0, 7), (4, 1, 4), (None, 56, None),
+            (None, 0, None)]
+    assert got == sorted(want, key=str)
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(4)
     for _ in range(500):
