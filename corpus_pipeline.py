@@ -3,24 +3,43 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it
 as Parquet to the shared folder and reads it again as the next stage's ``docs``.
 All but the last return the columns of ``documents``.
+
+The tables that a stage writes on its way live until its output is written: they go when
+the next stage begins, or when ``run`` has written the output.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from procwarden.llm import jaccard_join, language, line_templates, mixing, sentencepiece_scan
 from procwarden.llm.common import table
-from procwarden.session import cut_lineage
+from procwarden.session import StepTables, cut_lineage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document whose language is less sure than this is rejected.
 MIN_SCORE = 0.35
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_steps = StepTables()  # of the last stage
+
+
+def _stage(fn: Stage) -> Stage:
+    """A stage that first drops the tables of the stages before, but for those that its input still reads."""
+    @wraps(fn)
+    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _steps.remove(spark, but=docs)
+        with _steps:
+            return fn(spark, docs, sf_dir)
+
+    return call
+
 
+@_stage
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with some confidence; a null language is filled in.
 
@@ -33,6 +52,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return kept.withColumn("lang", F.coalesce("lang", F.when(sure, F.col("lang_pred")))).select(*COLUMNS)
 
 
+@_stage
 def drop_line_templates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without recurring lines; documents that consisted of such lines only go."""
     found = line_templates.drop_recurring_lines(docs.select(*COLUMNS))
@@ -41,6 +61,7 @@ def drop_line_templates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
         F.length("text").cast("long"))).select(*COLUMNS)
 
 
+@_stage
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by like shingle sets the one of the smallest id; of repeated rows one."""
     joined = jaccard_join.join_documents(docs)
@@ -54,6 +75,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return kept.select(*COLUMNS)
 
 
+@_stage
 def mix_to_curriculum(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, once for each copy, in the order of their training positions.
 
@@ -71,12 +93,13 @@ def mix_to_curriculum(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return placed.orderBy("_at", "doc_id").select(*COLUMNS)
 
 
+@_stage
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip) of every text."""
     return sentencepiece_scan.tokenize(docs, sentencepiece_scan.load())
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("language_id", keep_known_languages),
     ("line_dedup", drop_line_templates),
     ("jaccard_join", keep_one_of_each_group),
@@ -88,8 +111,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the result of the last one."""
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = cut_lineage(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``; the result of the last one, of all tables the one that is left."""
+    docs, before = table(spark, sf_dir, "documents"), StepTables()
+    for _, stage in STAGES:
+        now = StepTables()
+        with now:
+            docs = cut_lineage(stage(spark, docs, sf_dir))
+        for done in (before, _steps):
+            done.remove(spark)
+        before = now
+    return docs
