@@ -1,7 +1,10 @@
+import os
+
 import corpus_pipeline as cp
 from conftest import SMALL
 from procwarden.llm import jaccard_join, language, line_templates, mixing
 from procwarden.llm.common import table
+from procwarden.session import working_folder
 
 FOLDER = SMALL.replace("0.001", "0.01")
 
@@ -40,7 +43,11 @@ def test_stages(spark):
             assert sorted(r.doc_id for r in docs.collect()) == sorted(want)
         else:
             assert kept[name] == before.count() and docs.where("NOT round_trip").count() == 0
+    folder = working_folder(spark)
+    cp._steps.remove(spark)
+    before = set(os.listdir(folder))
     assert cp.run(spark, FOLDER).count() == kept["sentencepiece"]
+    assert len(set(os.listdir(folder)) - before) == 1  # of all tables the result is left
 
 
 def test_odd_and_empty_tables(spark):
