@@ -28,7 +28,7 @@ from procwarden.llm.common import SpanHasher, span_hashes
 from procwarden.session import cut_lineage
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK = 8_192  # characters of a chunk
+CHUNK = 32_768  # characters of a chunk; shorter texts are encoded where they lie, once
 FANIN = 32  # chunks, or groups of them, whose matrices one task multiplies
 SLICE_CHARS = 1_000_000  # characters segmented at once
 KNOWN_WORDS = 1_000_000  # segmented words that a task remembers, at most about so many
