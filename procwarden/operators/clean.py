@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from procwarden.fixed_values import DETAIL_COLUMNS
 from procwarden.functions.text import basename, col, filled
+from procwarden.operators.ordered import at_position
 from procwarden.schema import EVENT_KEY, TEXT_COLUMNS
 
 HELPERS = ["_child", "_parent", "_cmd"]
@@ -62,7 +63,7 @@ def command_preview(df: DataFrame, width: int = 200) -> DataFrame:
 
 def event_detail(df: DataFrame, position: int, order: str = EVENT_KEY) -> DataFrame:
     """The event at a position of an ordered set, one row per shown feature."""
-    one = df.orderBy(order).offset(position).limit(1)
+    one = at_position(df, order, position)
     shown = [c for c in DETAIL_COLUMNS if c in df.columns]
     ids = [c for c in (order, "final_verdict", "priority") if c in df.columns]
     wide = one.select(*ids, *[F.col(c).cast("double").alias(c) for c in shown])

@@ -19,6 +19,8 @@ from procwarden.functions.text import quoted
 
 log = logging.getLogger(__name__)
 TECHNIQUE_PREFIX = "attack.t"
+LOWERED = "_lower_"  # before a field's name: the field in lower case
+CHUNK = 50  # rules of one CASE
 NO_MATCH = {"sigma_match": False, "sigma_rule_name": "None",
             "sigma_level": "none", "sigma_mitre_tags": ""}
 
@@ -98,7 +100,7 @@ def match_field(df: DataFrame, name: str, modifier: str, values) -> str:
         present = f"`{name}` != 0"
     else:
         present = f"{value} != ''"
-    low = f"lower({value})"
+    low = f"`{LOWERED}{name}`" if f"{LOWERED}{name}" in df.columns else f"lower({value})"
     tests = []
     for v in values:
         needle = quoted(str(v).lower())
@@ -161,6 +163,13 @@ def match_rule(df: DataFrame, rule: Rule, duplicate_keys: str = "last") -> Colum
     return F.expr(rule_condition(df, rule, duplicate_keys))
 
 
+def with_lowered(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Add every field that the rules compare in lower case, lowered once per row."""
+    asked = {key.partition("|")[0] for r in rules for block in r.blocks.values() for key, _ in block}
+    present = [c for c in df.columns if c in asked]
+    return df.withColumns({f"{LOWERED}{c}": F.lower(F.col(f"`{c}`").cast("string")) for c in present})
+
+
 def all_matches(df: DataFrame, rules: list[Rule], duplicate_keys: str = "last") -> DataFrame:
     """Add ``rule_matches``: one struct per matching rule, in rule order."""
     found = ", ".join(
@@ -181,15 +190,43 @@ def apply_rules(df: DataFrame, rules: list[Rule] | None = None,
     rules = default_rules() if rules is None else rules
     if not rules:
         return df.withColumns({k: F.lit(v) for k, v in NO_MATCH.items()})
-    ranked = sorted(enumerate(rules), key=lambda r: (-r[1].severity, r[0]))
-    best = " ".join(
-        f"WHEN {rule_condition(df, r, duplicate_keys)} THEN named_struct("
-        f"'sigma_match', true, 'sigma_rule_name', {quoted(r.title)}, 'sigma_level', {quoted(r.level)}, "
-        f"'sigma_mitre_tags', {quoted(', '.join(r.techniques))})" for _, r in ranked)
-    return df.withColumn("_best", F.expr(f"CASE {best} END")).withColumns({
+    return with_best(df, rules, duplicate_keys).withColumns({
         k: F.coalesce(F.col(f"_best.{k}"), F.lit(v)) for k, v in NO_MATCH.items()}).drop("_best")
 
 
+def with_best(df: DataFrame, rules: list[Rule], duplicate_keys: str = "last") -> DataFrame:
+    """Add ``_best``: the best match as a struct, null if there is none.
+
+    The rules are cut into CASE expressions of ``CHUNK`` rules, of which the first that hits
+    ends the search; so generated methods stay small for large rule sets.
+    """
+    low = with_lowered(df, rules)
+    ranked = [r for _, r in sorted(enumerate(rules), key=lambda r: (-r[1].severity, r[0]))]
+
+    def case(part: list[Rule]) -> str:
+        return "CASE " + " ".join(
+            f"WHEN {rule_condition(low, r, duplicate_keys)} THEN named_struct("
+            f"'sigma_match', true, 'sigma_rule_name', {quoted(r.title)}, 'sigma_level', {quoted(r.level)}, "
+            f"'sigma_mitre_tags', {quoted(', '.join(r.techniques))})" for r in part) + " END"
+
+    cases = [case(ranked[i:i + CHUNK]) for i in range(0, len(ranked), CHUNK)]
+    return low.withColumn("_best", F.expr(f"coalesce({', '.join(cases)})" if len(cases) > 1 else cases[0])).drop(
+        *[c for c in low.columns if c not in df.columns])
+
+
+def matched_events(df: DataFrame, rules: list[Rule] | None = None, duplicate_keys: str = "last") -> DataFrame:
+    """Only the events that match, with their best match.
+
+    The match is a row of a generated table: a filter on it would be pushed below the
+    CASE together with a copy of it, so that all rules would be tested twice.
+    """
+    rules = default_rules() if rules is None else rules
+    if not rules:
+        return apply_rules(df, rules).limit(0)
+    best = with_best(df, rules, duplicate_keys)
+    return best.select(*[F.col(f"`{c}`") for c in df.columns], F.inline(F.array_compact(F.array("_best"))))
+
+
 def rules_table(spark, rules: list[Rule]) -> DataFrame:
     """One row of metadata per rule, in file order."""
     rows = ", ".join(
@@ -206,6 +243,6 @@ def match_rate_by_label(df: DataFrame) -> DataFrame:
 
 
 def events_per_rule(df: DataFrame) -> DataFrame:
-    return (df.filter("sigma_match").groupBy("sigma_rule_name")
-            .agg(F.count("*").alias("n_events"))
+    # counted before they are filtered: a filter on the match would repeat all rules
+    return (df.groupBy("sigma_rule_name").agg(F.count_if("sigma_match").alias("n_events")).where("n_events > 0")
             .orderBy(F.desc("n_events"), "sigma_rule_name"))

@@ -359,7 +359,7 @@ def r13(spark, sf):
 
 @query("r14_best_match", "SELECT event_id, title AS sigma_rule_name, level AS sigma_level FROM best")
 def r14(spark, sf):
-    return matched(spark, sf).filter("sigma_match").select("event_id", "sigma_rule_name", "sigma_level")
+    return R.matched_events(process_events(spark, sf)).select("event_id", "sigma_rule_name", "sigma_level")
 
 
 MATCH = ["event_id", "sigma_match", "sigma_rule_name", "sigma_level", "sigma_mitre_tags"]

@@ -239,3 +239,32 @@ def test_large_lookup_moves_rows_once(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_running_totals_in_levels(spark, monkeypatch, descending):
+    """Ranges of ranges: as many levels as it takes, no window over more rows than a range has."""
+    monkeypatch.setattr(ordered, "RANGE_ROWS", 7)
+    rng = np.random.default_rng(6)
+    rows = [(g, int(v), int(rng.integers(1, 9))) for g in "ab" for v in rng.choice(5000, 300, replace=False)]
+    df = spark.createDataFrame(rows, "g string, v long, n long").repartition(5)
+    got = ordered.running_totals(df, "v", {"n": "upto"}, len(rows), ["g"], descending).collect()
+    for g in "ab":
+        own = sorted((r for r in rows if r[0] == g), key=lambda r: r[1], reverse=descending)
+        want = dict(zip([r[1] for r in own], np.cumsum([r[2] for r in own]), strict=True))
+        assert {r["v"]: r["upto"] for r in got if r["g"] == g} == want
+    assert len(got) == len(rows)
+
+
+def test_row_at_a_position(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    keys = sorted(int(k) for k in rng.choice(10**6, 500, replace=False))
+    df = spark.createDataFrame([(k,) for k in keys], "event_id long").repartition(6)
+    for size in (200_000, 20, 3):
+        monkeypatch.setattr(ordered, "RANGE_ROWS", size)
+        for at in (0, 1, 250, 498, 499):
+            assert [r[0] for r in ordered.at_position(df, "event_id", at).collect()] == [keys[at]]
+        assert ordered.at_position(df, "event_id", 500).count() == 0
+    same = spark.createDataFrame([(5,)] * 40, "event_id long")
+    assert [r[0] for r in ordered.at_position(same, "event_id", 30).collect()] == [5]
+    assert ordered.at_position(same.limit(0), "event_id", 0).count() == 0

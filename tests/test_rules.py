@@ -140,3 +140,28 @@ def test_missing_and_empty_folders(spark, tmp_path):
 
 def test_ten_rules():
     assert len(R.default_rules()) == 10
+
+
+def test_every_rule_is_tested_once(make_events):
+    """One lower() per field in the plans, also where only matches are wanted."""
+    df = make_events([CERTUTIL, CHROME])
+    for found in (R.apply_rules(df), R.matched_events(df), R.events_per_rule(R.apply_rules(df))):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert 1 <= plan.count("lower(") <= 3
+    assert [r["event_id"] for r in R.matched_events(df).collect()] == [0]
+    assert R.matched_events(df).columns[:15] == df.columns and "_best" not in R.matched_events(df).columns
+    assert R.matched_events(df, []).count() == 0
+
+
+def test_a_thousand_rules(spark, make_events):
+    """Large sets compile; the best match is the one that a loop over the rules finds."""
+    levels = ["low", "high", "medium", "critical"]
+    docs = [{"title": f"r{i}", "level": levels[i * 7 % 4], "detection": [
+        ("selection", [("CommandLine|contains", [f"word{i} ", f"WORD{i}!"]), ("Image|endswith", ".exe")])]} for i in range(1000)]
+    rules = [R.parse_rule(d) for d in docs]
+    rows = [{"CommandLine": f"x word{i} Word{(i * 13) % 1000}! y"} for i in range(0, 1200, 7)]
+    got = R.apply_rules(make_events(rows), rules).orderBy("event_id").collect()
+    for i, r in zip(range(0, 1200, 7), got, strict=True):
+        hits = [k for k in {i, (i * 13) % 1000} if k < 1000]
+        best = min(hits, key=lambda k: (-rules[k].severity, k))
+        assert r["sigma_rule_name"] == f"r{best}"
