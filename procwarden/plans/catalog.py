@@ -29,7 +29,7 @@ from procwarden.operators.forest import fit_forest
 from procwarden.plans import detection as D
 from procwarden.plans import oracle as O
 from procwarden.schema import KEYED_EVENT_SCHEMA, TEXT_COLUMNS
-from procwarden.session import apply_settings, file_system, scratch_path
+from procwarden.session import apply_settings, cut_lineage, file_system, scratch_path
 from procwarden.sources import event_files as IO
 from procwarden.sources import model_store as MS
 from procwarden.sources.rule_files import load_rules
@@ -78,9 +78,12 @@ def detected(spark, sf) -> DataFrame:
     return D.run(process_events(spark, sf), ("boundary",), codes=False, steps=0, digits=6, keep=RUN_COLUMNS)
 
 
-def scored(spark, sf) -> tuple[DataFrame, D.Artefacts]:
-    fitted = checked_fit(spark, sf)
-    return M.score(FE.model_features(process_events(spark, sf), fitted.baseline), fitted.model), fitted
+def scored(spark, sf, parts: tuple[str, ...] = ("boundary",), **options) -> tuple[DataFrame, D.Artefacts]:
+    """Scores of a model that is fitted and applied in one reading of the events; by default SQL's plain one."""
+    options = options or {"steps": 0, "digits": 6}
+    facts = cut_lineage(D.event_facts(process_events(spark, sf), keep=RUN_COLUMNS, layers=False))
+    fitted = D.fit_facts(facts, parts, **options)
+    return M.score(FE.relative_features(facts, fitted.baseline), fitted.model), fitted
 
 
 def matched(spark, sf) -> DataFrame:
@@ -555,8 +558,7 @@ def m04(spark, sf):
 
 
 def part_scores(spark, sf, part: str) -> DataFrame:
-    fitted = D.fit(P.benign_only(process_events(spark, sf)), (part,), digits=O.SCORE_DIGITS)
-    return M.score(FE.model_features(process_events(spark, sf), fitted.baseline), fitted.model)
+    return scored(spark, sf, (part,), digits=O.SCORE_DIGITS)[0]
 
 
 @query("m05_forest_score", O.part_score("forest"))
@@ -601,8 +603,7 @@ def m10(spark, sf):
 @query("m11_ensemble", "SELECT event_id, label, ml_anomaly_score FROM all_scores JOIN scaled USING (event_id)")
 def m11(spark, sf):
     """All three models over all events."""
-    fitted = D.fit(P.benign_only(process_events(spark, sf)), digits=O.SCORE_DIGITS)
-    df = M.score(FE.model_features(process_events(spark, sf), fitted.baseline), fitted.model)
+    df = scored(spark, sf, M.PARTS, digits=O.SCORE_DIGITS)[0]
     return df.select("event_id", "label", "ml_anomaly_score")
 
 

@@ -3,6 +3,7 @@ import threading
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from procwarden.operators.baseline import Baseline
 from procwarden.operators.clean import benign_only
@@ -127,3 +128,30 @@ def test_stored_artefacts_are_used(spark, make_events, tmp_path):
     assert len(MS.versions(spark, path)) == 1
     with pytest.raises(ValueError, match="were fitted with"):
         MS.run_with_store(events, path, parts=("boundary",), steps=1)
+
+
+@pytest.mark.parametrize("split", ["128m", "700", "60"])
+def test_large_csv_file_is_read_by_many_tasks(spark, tmp_path, split):
+    """Line breaks and quotes in fields, records over several splits; the rows are those of a whole-file read."""
+    texts = [HARD, "plain", 'a ""b"" , c', "one\ntwo\n\nthree", '"', 'say "x\ny" z', "", "tail\n" + "word " * 40 + "\nend",
+             ", ,", "é\n日本"]
+    quoted = ['"' + texts[i % 10].replace('"', '""') + '"' for i in range(120)]
+    for k in range(2):
+        (tmp_path / f"f{k}.csv").write_text("event_id,CommandLine,User\n" + "".join(
+            f"{k * 1000 + i},{q},{'u' if i % 3 else ''}\n" for i, q in enumerate(quoted)), newline="\n")
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("CommandLine", T.StringType()),
+                           T.StructField("User", T.StringType())])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = IO.read_events_csv(spark, str(tmp_path), schema)
+        parts = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+        rows = sorted(got.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert (parts > 10) == (split != "128m")
+    want = spark.read.schema(schema).options(**IO.CSV_OPTIONS).option("multiLine", True).option("lineSep", "\n").csv(str(tmp_path))
+    assert rows == sorted(want.collect()) and len(rows) == 240
+    assert [r["CommandLine"] for r in rows[:10]] == [t or None for t in texts]
