@@ -10,7 +10,7 @@ the words of a variable place in the others are lost.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from procwarden.llm.common import small_or_shuffled
@@ -66,29 +66,49 @@ def recurring_lines(docs: DataFrame) -> DataFrame:
         "leaf", "line", F.xxhash64("leaf", "t.token").alias("template")))
     named = cut_lineage(lines.select("row", "doc_id", "pos", "leaf", "line").join(templates, ["leaf", "line"]).select(
         "row", "doc_id", "pos", "template"))
-    found = named.join(_recurring(named, "template"), "template").where(F.col("row") != F.col("first"))
+    recurring = small_or_shuffled(cut_lineage(_recurring(named, "template")))
+    found = named.join(recurring, "template").where(F.col("row") != F.col("first"))
     return found.groupBy("row").agg(F.collect_set("pos").alias("dropped"))
 
 
+def _flags(places: Column) -> Column:
+    """Booleans by place, up to the last of ``places``: true where it is one; linear in their number."""
+    ordered = F.sort_array(places)
+    before = F.concat(F.array(F.lit(-1)), F.slice(ordered, F.lit(1), F.size(ordered) - 1))
+    gaps = F.zip_with(ordered, before, lambda place, last: place - last - 1)
+    return F.flatten(F.transform(gaps, lambda n: F.concat(F.array_repeat(F.lit(False), n), F.array(F.lit(True)))))
+
+
 def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with recurring lines taken out of ``text``, and ``n_lines``, ``n_dropped`` added.
 
     A document is a row; rows with equal id and text count as one and keep or lose the same
     lines.  The first document of a template is that of the smallest id, null ids last.
     Lines are what newlines part; null and empty texts stay as they are (null: 0 lines).
-    An empty table gives no rows.
+    Columns ``n_lines`` and ``n_dropped`` are replaced, all others are kept.  An empty table
+    gives no rows.
     """
     row = F.xxhash64("doc_id", "text")
     found = recurring_lines(docs.where(F.col("text").isNotNull()).select(row.alias("row"), "doc_id", "text"))
-    found = found.withColumnsRenamed({"row": "_row", "dropped": "_dropped"})
-    lines = F.split("text", "\n")
-    kept = F.filter(F.transform(lines, lambda x, i: F.when(~F.array_contains("_dropped", i), x)), lambda x: x.isNotNull())
-    out = docs.withColumn("_row", row).join(found, "_row", "left")
+    own_row, own_places = _free("_row", docs), _free("_dropped", docs)
+    found = found.withColumnsRenamed({"row": own_row, "dropped": own_places})
+    lines, places = F.split("text", "\n"), F.col(own_places)
+    # places beyond the last flag have none and stay; joining leaves nulls out
+    kept = F.zip_with(lines, _flags(places), lambda line, gone: F.when(~F.coalesce(gone, F.lit(False)), line))
+    out = docs.withColumn(own_row, row).join(found, own_row, "left")
     return out.withColumns({
         "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"),
-        "n_dropped": F.when(F.col("_dropped").isNull(), 0).otherwise(F.size("_dropped")).cast("long"),
-        "text": F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")),
-    }).drop("_row", "_dropped")
+        "n_dropped": F.when(places.isNull(), 0).otherwise(F.size(places)).cast("long"),
+        "text": F.when(places.isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")),
+    }).drop(own_row, own_places)
+
+
+def _free(name: str, docs: DataFrame) -> str:
+    """``name``, with underscores before it until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
 
 
 ORACLE = r"""

@@ -1,3 +1,5 @@
+import time
+
 from check import compare, connect
 from conftest import SMALL
 from procwarden.llm import line_templates as lt
@@ -46,6 +48,23 @@ def test_odd_rows(spark):
     assert run(spark, []).collect() == []
 
 
+def test_many_lines_take_linear_time(spark):
+    shared = [f"line of the {'abcdefghij'[i % 10] * (1 + i % 7)} kind" for i in range(120_000)]
+    rows = [(i, "\n".join([f"own{i} words here{i}", *shared, "last"])) for i in range(3)]
+    started = time.time()
+    got = {r.doc_id: r for r in run(spark, rows).select("doc_id", "text", "n_dropped").collect()}
+    assert time.time() - started < 60
+    assert got[0].text == rows[0][1]
+    assert all(got[i].text == f"own{i} words here{i}\nlast" and got[i].n_dropped == 120_000 for i in (1, 2))
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(i, "a line that many have\nlast", "a", "b", "c", "d") for i in range(3)],
+                               "doc_id long, text string, _row string, _dropped string, __row string, n_lines string")
+    for r in lt.drop_recurring_lines(df).collect():
+        assert (r._row, r._dropped, r["__row"], r.n_lines, r.n_dropped) == ("a", "b", "c", 2, int(r.doc_id > 0))
+
+
 def test_against_sql(spark):
     folder = SMALL.replace("0.001", "0.01")
     assert compare(spark, connect(folder), "op5_line_templates", folder) == "ok"
