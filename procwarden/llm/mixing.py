@@ -26,9 +26,6 @@ REPEATS = 2  # a source, and a document, is taken so often at most
 #: Relative demand over training, as knots (time, weight): the first sources lead
 #: early, the last ones late.  One line per weight, repeating as the weights do.
 SCHEDULES = (((0.0, 3.0), (0.5, 2.0), (1.0, 1.0)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 1.0), (0.5, 1.0), (1.0, 4.0)))
-#: Documents of a source whose offsets one window adds up.
-GROUP_ROWS = 1_000
-_HASH_BITS = 60
 
 
 def n_words(text: Column) -> Column:
@@ -81,31 +78,33 @@ def mix_sources(sized: DataFrame, keep: list[str] | None = None) -> DataFrame:
     are its target.  ``first_position`` and ``second_position`` are the times of
     training (0 to 1) at which the first and the second copy start, null if not taken.
 
+    Rows of equal id and size come in the order of ``keep``.  Ranges of the whole order are
+    summed up, so that rows of one id (or none), however many, are shared among tasks.
+
     Repeated rows are documents of their own; those without words are never taken
     (taken 0).  An empty table gives no rows, and so do no words at all targets of 0.
     """
     sized = cut_lineage(sized.select(
-        "doc_id", "source", "size", *(keep or []), hash_order(F.col("doc_id")).alias("_h")))
-    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs"))
+        "doc_id", "source", "size", *(keep or []), hash_order(F.col("doc_id")).alias("_h"),
+        F.monotonically_increasing_id().alias("_own")))
+    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     ranked = with_rank(sums, [F.col("source").asc_nulls_last()], "_rank")
     sources = cut_lineage(ranked.withColumns({
         "_weight": _cycle([F.lit(w) for w in WEIGHTS], F.col("_rank")),
         "_limit": REPEATS * F.col("source_size")}))
     total = sources.agg(F.sum("source_size").alias("s"), F.count("*").alias("n")).first()
     level = water_level(sources, SHARE * (total["s"] or 0))
-    limits = sources.withColumns({
-        "target": F.least(F.col("_limit").cast("double"), F.col("_weight") * F.lit(level)),
-        "_groups": F.ceil(F.col("_docs") / GROUP_ROWS)})
+    limits = sources.withColumn("target", F.least(F.col("_limit").cast("double"), F.col("_weight") * F.lit(level)))
     docs = (sized.withColumns({"_none": F.col("source").isNull(), "_name": F.coalesce("source", F.lit(""))})
             .join(small_or_shuffled(limits.select(
                 F.col("source").isNull().alias("_none"), F.coalesce("source", F.lit("")).alias("_name"),
-                "_rank", "source_size", "target", "_groups"), total["n"]), ["_none", "_name"])
-            .withColumn("_group", F.floor(F.col("_h") / F.lit(float(1 << _HASH_BITS)) * F.col("_groups"))))
+                "_rank", "source_size", "target"), total["n"]), ["_none", "_name"]).drop("_none", "_name"))
+    order = ["_h", "doc_id", "size", *(keep or []), "_own"]
+    docs = cut_lineage(docs.repartitionByRange("_rank", *order).withColumn("_group", F.spark_partition_id()))
     group_sums = docs.groupBy("_rank", "_group").agg(F.sum("size").alias("_sum"))
     before = W.partitionBy("_rank").orderBy("_group").rowsBetween(W.unboundedPreceding, -1)
     offsets = group_sums.select("_rank", "_group", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    inside = (W.partitionBy("_rank", "_group").orderBy("_h", "doc_id", "size")
-              .rowsBetween(W.unboundedPreceding, W.currentRow))
+    inside = W.partitionBy("_rank", "_group").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     run = (docs.withColumn("_upto", F.sum("size").over(inside)).join(offsets, ["_rank", "_group"])
            .withColumns({"_start": F.col("_offset") + F.col("_upto") - F.col("size"),
                          "_goal": F.round("target").cast("long")}))

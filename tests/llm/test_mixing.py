@@ -79,5 +79,24 @@ def test_hash_order(spark):
     assert [r.h for r in got] == [int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16) for i in range(3)]
 
 
+def test_rows_of_one_id_are_shared_among_tasks(spark):
+    """Without ids all rows have one hash; their sums run over several ranges, in the order of ``keep``."""
+    from pyspark.sql import functions as F
+    rows = spark.range(20_000, numPartitions=4).select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit("a").alias("source"), F.lit(3).cast("long").alias("size"),
+        (F.lit(19_999) - F.col("id")).alias("tie"))
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merged)
+    spark.conf.set(merged, "false")  # small ranges stay apart
+    try:
+        taken = {r.tie: r for r in mixing.mix_sources(rows, keep=["tie"]).collect()}
+    finally:
+        spark.conf.set(merged, before)
+    assert len(taken) == 20_000 and sum(r.taken for r in taken.values()) == 90_000
+    firsts = [taken[i].first_position for i in range(20_000)]
+    assert firsts == sorted(firsts) and len(set(firsts)) == 20_000
+    assert [taken[i].taken for i in range(20_000)] == [6] * 10_000 + [3] * 10_000
+
+
 def test_against_sql(spark):
     assert compare(spark, connect(SMALL), "op3_curriculum_mix", SMALL) == "ok"
