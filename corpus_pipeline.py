@@ -83,10 +83,11 @@ def mix_to_curriculum(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Documents without words are in no mix.
     """
     rows = cut_lineage(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()))
-    sized = rows.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"), "_row")
+    sized = rows.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"),
+                        F.xxhash64("text").alias("_text"), "_row")
     copies = [F.when((F.col(f"{c}_taken") * 2 >= F.col("size")) & (F.col("size") > 0), F.col(f"{c}_position"))
               for c in ("first", "second")]
-    taken = cut_lineage(mixing.mix_sources(sized, keep=["_row"]).select("_row", F.array_compact(F.array(*copies)).alias("at"))
+    taken = cut_lineage(mixing.mix_sources(sized, keep=["_text", "_row"]).select("_row", F.array_compact(F.array(*copies)).alias("at"))
                         .where(F.size("at") > 0))
     few = F.broadcast(taken) if taken.count() <= jaccard_join.BROADCAST_IDS else taken
     placed = rows.join(few, "_row").select(*COLUMNS, F.explode("at").alias("_at"))
