@@ -1,11 +1,13 @@
 """Personal data: fixed patterns, and further secrets found by weak supervision.
 
 The base kinds (email, ip, card, phone) are what their patterns and digit rules
-say.  Beyond them, runs of letters and digits that hold a digit are candidates
-for secrets (passwords, tokens, access keys).  Labelers vote on every candidate:
-patterns, a list of names, the words in front, and the shape.  Expectation
-maximisation over the counts of vote patterns estimates how reliable each
-labeler is; its posteriors train a logistic span classifier, which decides.
+say.  Beyond them, candidates for secrets and identifiers (passwords, tokens, access
+keys, account and national numbers, hardware addresses) are runs of letters and digits
+that hold a digit, whatever stands behind the name of a secret, and numbers in groups.
+Labelers vote on every candidate: forms and check digits, a list of names, the words in
+front, and the shape.  Expectation maximisation over the counts of vote patterns
+estimates how reliable each labeler is; its posteriors train a logistic span
+classifier, which sees the forms as well and decides.
 
 All work on rows is DataFrame functions.  What reaches the driver are counts by
 vote and feature pattern, whose number is bounded by the labelers and features.
@@ -16,6 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,13 +34,28 @@ PATTERNS = {
     "card": ("[0-9]", r"[0-9](?:[\x20-]?[0-9])++"),
     "phone": (r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
-CANDIDATE = ("[0-9]", r"(?<![A-Za-z0-9_+/-])[A-Za-z_+/-]*+[0-9][A-Za-z0-9_+/-]*+")
+# Behind a name, a run up to white space or a quote, without the marks that end a
+# sentence; then addresses and account numbers in groups; then runs that hold a digit.
+_INNER, _MARKS = r"[^\x00-\x20\"'<>,;.!?)\]:]++", r"[.!?)\]:]++"
+CANDIDATE = (
+    "[0-9]|(?i:passw|pwd|passphrase|secret|token)",
+    r"(?<=(?i:password|passwd|pwd|passphrase|secret|token)(?:\x20is|\x20?[=:])\x20?[\"']?)(?<![=:]{2})"
+    rf"(?![=:]){_INNER}(?:{_MARKS}{_INNER})*+"
+    r"|(?<![0-9A-Za-z:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![0-9A-Za-z:-])"
+    r"|(?<![A-Za-z0-9_+/-])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[0-9]{1,3})?(?![A-Za-z0-9_+/-])"
+    r"|(?<![A-Za-z0-9_+/-])[A-Za-z_+/-]*+[0-9][A-Za-z0-9_+/-]*+")
+#: Forms that tell by themselves: access keys, prefixed tokens, hardware addresses, national
+#: numbers in groups of three, two and four digits; and numbers of accounts, by their check digits.
+FORMS = (r"^(AKIA|ASIA)[A-Z0-9]{16}$|^(ghp_|gho_|sk-|xox[abp]-)(?=.*[0-9])[A-Za-z0-9-]{10,}$"
+         r"|^[0-9A-Fa-f]{2}([:-][0-9A-Fa-f]{2}){5}$|^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$")
+ACCOUNT = r"^[A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]{4}){2,7}(\x20?[0-9]{1,3})?$"
 CANDIDATE_CHARS = 8  # shorter runs are no candidates
 CONTEXT = 32  # characters in front of a candidate that labelers see
 NAMES = ("password", "passwd", "pwd", "passphrase", "secret", "token", "api key", "api_key", "apikey", "access key",
          "access_key", "private key", "credential", "login", "bearer", "authorization")
 HARMLESS = ("version", "license", "chapter", "page", "section", "figure", "table", "isbn", "doi", "year", "article")
-EM_ROUNDS, FIT_ROUNDS = 50, 400
+EM_ROUNDS, FIT_ROUNDS = 50, 40
+SHRINK = 0.002  # weight of the penalty, as a share of the rows
 
 
 def _running_sums(values: Column) -> Column:
@@ -85,6 +103,34 @@ VALID: dict[str, Callable[[Column], Column]] = {
 }
 
 
+def _account(found: Column) -> Column:
+    """A number of the form of an international account whose check digits hold (1 modulo 97)."""
+    plain = F.replace(found, F.lit(" "), F.lit(""))
+    turned = F.concat(F.substring(plain, 5, 34), F.substring(plain, 1, 4))
+
+    def add(rest: Column, sign: Column) -> Column:
+        code = F.ascii(sign)
+        return F.when(code < 65, rest * 10 + code - 48).otherwise(rest * 100 + code - 55) % 97
+
+    return F.when(found.rlike(ACCOUNT), F.aggregate(F.split(turned, ""), F.lit(0), add) == 1).otherwise(False)
+
+
+def _certain(found: Column) -> Column:
+    return found.rlike(FORMS) | _account(found)
+
+
+def _candidate(found: Column) -> Column:
+    """Long enough, no plain word, no date, and no group of signs that only looks like an account's number."""
+    return (F.length(found) >= CANDIDATE_CHARS) & ~found.rlike(
+        "^[A-Z]?[a-z]+$|^[0-9]{4}-[0-9]{2}-[0-9]{2}([T_].*)?$") & (
+        ~found.contains(" ") | _account(found))
+
+
+def _named(before: Column, names: tuple[str, ...]) -> Column:
+    """One of the names stands right in front, ``is`` or signs at most between."""
+    return before.rlike("(" + "|".join(names) + r")([^a-z]{0,6}|\x20is:?\x20[\"']?)$")
+
+
 def _holds(valid: Callable[[Column], Column]) -> Callable[[Column], Column]:
     return lambda x: valid(x["found"])
 
@@ -98,16 +144,12 @@ def _votes(x: Column) -> Column:
     found, before = x["found"], F.lower(x["before"])
     runs = F.regexp_count(found, F.lit("[0-9]+"))
 
-    def named(names: tuple[str, ...]) -> Column:
-        return before.rlike("(" + "|".join(names) + r")[^a-z]{0,6}$")
-
     def vote(yes: Column, no: Column) -> Column:
         return F.when(yes, 1).when(no, -1).otherwise(0)
 
     return F.array(
-        vote(found.rlike(r"^(AKIA|ASIA)[A-Z0-9]{16}$|^[0-9a-f]{16,}$|^(ghp_|gho_|sk-|xox[abp]-)[A-Za-z0-9-]{10,}$")
-             & ~found.rlike("^[0-9]+$"), found.rlike("^[0-9+/_-]+$")),
-        vote(named(NAMES), named(HARMLESS)),
+        vote(_certain(found) | found.rlike("^[0-9a-f]{16,}$") & ~found.rlike("^[0-9]+$"), found.rlike("^[0-9+/_-]+$")),
+        vote(_named(before, NAMES), _named(before, HARMLESS)),
         vote(before.rlike(r"[=:]\s{0,2}[\"']?$"), before.rlike(r"^$|[.!?,]\s*$")),
         vote(runs >= 3, runs <= 1),
         vote(F.length(found) >= 16, F.length(found) < 12))
@@ -117,16 +159,20 @@ LABELERS = 5
 
 
 def _features(x: Column) -> Column:
-    """What the final classifier sees of a candidate: eight numbers, 0 or 1."""
+    """What the final classifier sees of a candidate: nine numbers, 0 or 1; the last one is whether its form is certain."""
     found, before = x["found"], F.lower(x["before"])
     flags = [F.length(found) >= 12, F.length(found) >= 16, F.length(found) >= 24, found.rlike("[a-z]"),
              found.rlike("[A-Z]"), F.regexp_count(found, F.lit("[0-9]+")) >= 3, before.rlike(r"[=:]\s{0,2}[\"']?$"),
-             before.rlike("(" + "|".join(NAMES) + r")[^a-z]{0,6}$")]
+             _named(before, NAMES), _certain(found)]
     return F.array(*[f.cast("int") for f in flags])
 
 
-def reliabilities(counts: list[tuple[tuple[int, ...], int]]) -> tuple[float, list[dict[bool, dict[int, float]]]]:
-    """Share of private candidates and P(vote | truth) of each labeler, by expectation maximisation."""
+def reliabilities(counts: list[tuple[tuple[int, ...], int]], certain: dict[tuple[int, ...], int] | None = None,
+                  ) -> tuple[float, list[dict[bool, dict[int, float]]]]:
+    """Share of private candidates and P(vote | truth) of each labeler, by expectation maximisation.
+
+    ``certain`` counts, by votes, the candidates among them that are known to be private.
+    """
     share, total = 0.5, sum(n for _, n in counts)
     # at first a vote is more often right than wrong
     tables = [{True: {1: 0.6, 0: 0.3, -1: 0.1}, False: {1: 0.1, 0: 0.3, -1: 0.6}} for _ in range(LABELERS)]
@@ -134,11 +180,12 @@ def reliabilities(counts: list[tuple[tuple[int, ...], int]]) -> tuple[float, lis
         sums = [{t: dict.fromkeys((1, 0, -1), 0.1) for t in (True, False)} for _ in range(LABELERS)]
         private = 0.0
         for votes, n in counts:
-            p = posterior(votes, share, tables)
-            private += n * p
+            known = (certain or {}).get(votes, 0)
+            yes = known + (n - known) * posterior(votes, share, tables)
+            private += yes
             for k, v in enumerate(votes):
-                sums[k][True][v] += n * p
-                sums[k][False][v] += n * (1 - p)
+                sums[k][True][v] += yes
+                sums[k][False][v] += n - yes
         share = min(max(private / total, 1e-6), 1 - 1e-6)
         tables = [{t: {v: s / sum(by[t].values()) for v, s in by[t].items()} for t in by} for by in sums]
     return share, tables
@@ -152,18 +199,24 @@ def posterior(votes: tuple[int, ...], share: float, tables: list[dict[bool, dict
 
 
 def span_classifier(rows: list[tuple[tuple[int, ...], float, float]]) -> list[float]:
-    """Logistic weights (bias last) for (features, rows, private rows), by gradient steps."""
+    """Logistic weights (bias last) for (features, rows, private rows), by Newton's steps.
+
+    Weights are shrunk in proportion to the rows; that of a certain form (the last feature) is
+    not, as such candidates are known to be private however few they are.
+    """
     size = len(rows[0][0]) + 1 if rows else 1
-    weights, total = [0.0] * size, sum(n for _, n, _ in rows)
-    for _ in range(FIT_ROUNDS if total else 0):
-        slope = [0.002 * w for w in weights]
-        for features, n, private in rows:
-            x = (*features, 1)
-            p = 1 / (1 + math.exp(-sum(w * v for w, v in zip(weights, x, strict=True))))
-            for k, v in enumerate(x):
-                slope[k] += (n * p - private) / total * v
-        weights = [w - 2.0 * s for w, s in zip(weights, slope, strict=True)]
-    return weights
+    weights = np.zeros(size)
+    x = np.array([(*features, 1) for features, _, _ in rows], float).reshape(-1, size)
+    n, private = (np.array([r[i] for r in rows], float) for i in (1, 2))
+    shrink = np.full(size, SHRINK * n.sum())
+    shrink[-2:-1] = 0.01
+    for _ in range(FIT_ROUNDS if n.sum() else 0):
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -60, 60)))
+        slope = x.T @ (n * p - private) + shrink * weights
+        bend = (x * (n * p * (1 - p))[:, None]).T @ x + np.diag(shrink)
+        step = np.linalg.solve(bend, slope)
+        weights = weights - step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
+    return [float(w) for w in weights]
 
 
 def locate(docs: DataFrame) -> DataFrame:
@@ -177,7 +230,7 @@ def locate(docs: DataFrame) -> DataFrame:
                              for k, (_, p) in patterns.items()})
     rows = rows.select("doc_id", *[_located(F.col(f"_m_{k}"), F.col(f"_s_{k}")).alias(k) for k in patterns])
     rows = rows.withColumns({k: F.filter(F.col(k), _holds(VALID[k])) for k in KINDS})
-    rows = rows.withColumn("candidates", F.filter("candidates", lambda x: F.length(x["found"]) >= CANDIDATE_CHARS))
+    rows = rows.withColumn("candidates", F.filter("candidates", lambda x: _candidate(x["found"])))
     apart = [F.transform(k, lambda x: F.struct(x["start"], x["end"])) for k in KINDS]
     return rows.select("doc_id", *[a.alias(k) for a, k in zip(apart, KINDS, strict=True)], F.transform(
         "candidates", lambda x: F.struct(x["start"], x["end"], _votes(x).alias("votes"), _features(x).alias("features")))
@@ -188,22 +241,25 @@ def fit(located: DataFrame) -> list[float]:
     """The span classifier, from all candidates of all documents."""
     found = located.select(F.explode("candidates").alias("c")).groupBy("c.votes", "c.features").count().collect()
     by_votes: dict[tuple[int, ...], int] = {}
+    certain: dict[tuple[int, ...], int] = {}
     for r in found:  # at most 3**labelers times 2**features
-        by_votes[tuple(r["votes"])] = by_votes.get(tuple(r["votes"]), 0) + r["count"]
-    share, tables = reliabilities(sorted(by_votes.items()))
+        votes = tuple(r["votes"])
+        by_votes[votes] = by_votes.get(votes, 0) + r["count"]
+        certain[votes] = certain.get(votes, 0) + r["count"] * r["features"][-1]
+    share, tables = reliabilities(sorted(by_votes.items()), certain)
     soft: dict[tuple[int, ...], list[float]] = {}
     for r in found:
         n = soft.setdefault(tuple(r["features"]), [0.0, 0.0])
         n[0] += r["count"]
-        n[1] += r["count"] * posterior(tuple(r["votes"]), share, tables)
+        n[1] += r["count"] * (1.0 if r["features"][-1] else posterior(tuple(r["votes"]), share, tables))
     return span_classifier([(k, n, p) for k, (n, p) in sorted(soft.items())])
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, n_secret, base_sha256, spans), one row per row.
+    """(doc_id, n_email, n_ip, n_card, n_phone, n_secret, n_spans, base_sha256, spans), one row per row.
 
     Counts and ``base_sha256`` are of the base kinds; ``spans`` lists these and the
-    secrets that the classifier found outside them, as ``kind:start:end``.  Null texts
+    secrets that the classifier found outside them, as ``kind:start:end``, ``n_spans`` counts them.  Null texts
     count as empty and have no spans; equal texts have equal results; other columns are
     ignored; without any candidate nothing is learned and only base spans are found.
     """
@@ -225,5 +281,6 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     base = F.concat(*[lines[k] for k in KINDS])
     return found.select(
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in (*KINDS, "secret")],
+        sum((F.size(k) for k in KINDS), F.size("secret")).cast("long").alias("n_spans"),
         F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
         F.array_join(F.concat(base, lines["secret"]), ",").alias("spans"))
