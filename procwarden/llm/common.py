@@ -28,29 +28,6 @@ def small_or_shuffled(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if counted <= BROADCAST_ROWS else df
 
 
-def cut_points(df: DataFrame, column: str, n_ranges: int) -> list[int]:
-    """At most ``n_ranges - 1`` increasing values that cut ``column`` into like shares."""
-    if n_ranges <= 1:
-        return []
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    cuts = df.agg(F.percentile_approx(column, probs, max(10_000, 20 * n_ranges)).alias("c")).first()["c"]
-    return sorted(set(cuts or []))
-
-
-def range_index(column: Column, cuts: list[int]) -> Column:
-    """Number of cut points at or below the value: a binary search."""
-    if not cuts:
-        return F.lit(0)
-    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
-    bounds = F.array(*[F.lit(c) for c in cuts])
-
-    def step(at: Column, width: Column) -> Column:
-        there = at + width
-        return F.when((there <= len(cuts)) & (F.get(bounds, there - 1) <= column), there).otherwise(at)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
-
-
 def with_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Add the position (from 0) in the total order: sorted ranges, then offsets per range."""
     ranged = cut_lineage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))

@@ -1,7 +1,9 @@
 import hashlib
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from procwarden.llm import fingerprint as fp
 
@@ -15,7 +17,7 @@ def expected(rows):
         edited = text[:len(text) - half] + after[:half]
         a, b, c = (fp.fingerprint(x)[0] for x in (text, edited, after))
         out.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), a, b,
-                    fp.likeness(a, b), fp.likeness(a, c)))
+                    fp.likeness(a, b), fp.likeness(a, c), ",".join(map(str, fp.locate_edits(a, b)))))
     return out
 
 
@@ -58,3 +60,35 @@ def test_edits_are_located():
     a, b = (fp.fingerprint("\n".join(x))[0] for x in (lines, changed))
     assert fp.locate_edits(a, b) == [77, 150]
     assert 0.9 < fp.likeness(a, b) < 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab #", max_size=30), max_size=12), st.lists(st.text("ab #", max_size=30), max_size=12))
+def test_descent_against_all_paragraphs(a, b):
+    """Nothing differs below equal nodes: the descent finds what all paragraphs at once tell."""
+    left, right = (fp.fingerprint("\n".join(x)) for x in (a, b))
+    near, places = fp.compare(left[0], right[0])
+    texts = ["\n".join(x).split("\n") for x in (a, b)]
+    assert sorted(texts[1][i] for i in places) == sorted((Counter(texts[1]) - Counter(texts[0])).elements())
+    if left[0] != right[0]:
+        assert (near, places) == fp.descend(left[1], right[1])
+
+
+def test_null_and_equal_ids_are_split(spark, monkeypatch):
+    rows = [(None, f"text {i:04d} " * 20) for i in range(300)] + [(7, f"{i:04d} text " * 20) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(fp, "RANGE_BYTES", 9_000)
+    out = fp.fingerprint_documents(df)
+    starts = fp._range_starts(df.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"),
+                                        fp._order(F.col("doc_id"), F.col("text")).alias("_order")))
+    assert len(starts) > 8
+    assert sorted(map(tuple, out.collect()), key=key) == sorted(expected(rows), key=key)
+
+
+def test_plan_does_not_grow_with_the_ranges(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "x" * 100) for i in range(2_000)], "doc_id long, text string")
+    sizes = []
+    for size in (100_000, 400):
+        monkeypatch.setattr(fp, "RANGE_BYTES", size)
+        sizes.append(len(fp.fingerprint_documents(df)._jdf.queryExecution().optimizedPlan().toString()))
+    assert sizes[1] < sizes[0] + 200
