@@ -32,8 +32,8 @@ MARK = 6  # hexadecimal digits of a piece's mark
 PIECE_BITS = 4  # a piece has 2**PIECE_BITS bytes on average
 SECTION = 8  # a section has about so many paragraphs
 RANGE_BYTES = 12_000_000  # text in one range of ids, as long as there are no more than MAX_RANGES
-MAX_RANGES = 100_000  # beyond, ranges have more text; rows of a range are streamed
-DRAWN = 4  # rows drawn per range to place the borders
+MAX_RANGES = 50_000  # beyond, ranges have more text; rows of a range are streamed
+DRAWN = 16  # rows drawn per range to place the borders
 PREFIX = 32  # bytes of a text by which rows of one id are ordered, before the text's hash
 _LOWEST = -(1 << 63)
 _ORDER = f"S{PREFIX + 16}"
