@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from procwarden.llm import jaccard_join, language, line_templates, mixing, sentencepiece_scan
 from procwarden.llm.common import table
-from procwarden.session import StepTables, cut_lineage
+from procwarden.session import StepTables, apply_settings, cut_lineage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document whose language is less sure than this is rejected.
@@ -29,9 +29,13 @@ _steps = StepTables()  # of the last stage
 
 
 def _stage(fn: Stage) -> Stage:
-    """A stage that first drops the tables of the stages before, but for those that its input still reads."""
+    """A stage under the library's settings, in whatever session.
+
+    It first drops the tables of the stages before, but for those that its input still reads.
+    """
     @wraps(fn)
     def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        apply_settings(spark)
         _steps.remove(spark, but=docs)
         with _steps:
             return fn(spark, docs, sf_dir)
