@@ -45,15 +45,18 @@ def name_of(column: str) -> str:
 
 
 N_T, N_I, N_P = len(B.TEMPLATES), len(B.IMAGES), len(B.PARENTS)
-KIND = f"{listed([t[1] or '' for t in B.TEMPLATES])}[t + 1]"
 
 VIEWS: dict[str, str] = {}
 
 VIEWS["indexed"] = f"""
-SELECT e.*, (event_id * 3 + user_id) % {N_T} AS t,
+SELECT e.*, CASE WHEN event_id < n_docs THEN {B.DOC_TEMPLATES}[event_id % {len(B.DOC_TEMPLATES)} + 1]
+    WHEN event_id < n_docs + n_pages THEN {B.URL_TEMPLATES}[event_id % {len(B.URL_TEMPLATES)} + 1]
+    ELSE (event_id * 3 + user_id) % {N_T} END AS t,
+  replace({listed([t[1] or '' for t in B.TEMPLATES])}[t + 1], 'doc',
+    CASE WHEN event_id < n_docs THEN 'doc' ELSE 'props' END) AS kind,
   {listed(B.IMAGES)}[(event_id * 7 + user_id) % {N_I} + 1] AS image,
   CASE WHEN event_id % 101 <> 0 THEN {listed(B.PARENTS)}[(event_id * 5 + user_id) % {N_P} + 1] END AS parent
-FROM events e"""
+FROM (SELECT *, (SELECT count(*) FROM documents) AS n_docs, (SELECT count(*) FROM pages) AS n_pages FROM events) e"""
 
 VIEWS["process_events"] = f"""
 SELECT i.event_id,
@@ -64,9 +67,9 @@ SELECT i.event_id,
     || '-' || substr(upper(md5(event_id::VARCHAR)), 21, 12) || '}}' AS ProcessGuid,
   (1000 + event_id % 64536)::INTEGER AS ProcessId,
   image AS Image,
-  CASE WHEN event_id % 97 <> 0 THEN {base('image')}
+  CASE WHEN event_id % 97 <> 0 OR event_id < n_docs + n_pages THEN {base('image')}
     || {listed([t[0] for t in B.TEMPLATES])}[t + 1]
-    || CASE {KIND} WHEN 'url' THEN p.url WHEN 'props' THEN props
+    || CASE kind WHEN 'url' THEN p.url WHEN 'props' THEN props
          WHEN 'props64' THEN base64(encode(props)) WHEN 'doc' THEN d.text
          WHEN 'doc64' THEN base64(encode(d.text)) ELSE '' END
     || {listed([t[2] for t in B.TEMPLATES])}[t + 1] END AS CommandLine,
@@ -83,9 +86,9 @@ SELECT i.event_id,
     AS technique_name,
   CASE event_type WHEN 'error' THEN 'malicious' WHEN 'signup' THEN 'gray_area' ELSE 'benign' END AS label
 FROM indexed i
-LEFT JOIN pages p ON p.page_id = event_id % (SELECT count(*) FROM pages) AND {KIND} = 'url'
-LEFT JOIN documents d ON d.doc_id = event_id % (SELECT count(*) FROM documents)
-  AND {KIND} IN ('doc', 'doc64')"""
+LEFT JOIN pages p ON p.page_id = event_id % n_pages AND kind = 'url'
+LEFT JOIN documents d ON d.doc_id = event_id % n_docs
+  AND kind IN ('doc', 'doc64')"""
 
 VIEWS["prepared"] = f"""
 SELECT event_id, ProcessGuid, ProcessId, ParentProcessId, is_malicious, mitre_technique_id, technique_name, label,

@@ -2,8 +2,9 @@
 
 The given data holds no process log, so ``process_events`` derives one, row by
 row, from ``events`` joined to ``pages`` (URLs) and ``documents`` (whole
-texts).  Every event row gives exactly one process event.  The lists below are
-parameters of that derivation; ``plans.oracle`` renders the same derivation as
+texts).  Every event row gives exactly one process event.  The first events take
+a document each and the next ones a page each, so that all of them are read as
+long as there are as many events.  The lists below are parameters of that derivation; ``plans.oracle`` renders the same derivation as
 SQL for the checks.
 """
 
@@ -72,6 +73,8 @@ TEMPLATES = [
     (" curl -o x.bin ", "url", ""),
     (" shell32.dll,Control_RunDLL appwiz.cpl ", "props", ""),
 ]
+DOC_TEMPLATES = [i for i, t in enumerate(TEMPLATES) if t[1] in ("doc", "doc64")]
+URL_TEMPLATES = [i for i, t in enumerate(TEMPLATES) if t[1] == "url"]
 INTEGRITY = ["Low", "Medium", "High", "System", "Protected"]
 TECHNIQUES = [
     ("T1105", "Ingress Tool Transfer"),
@@ -112,16 +115,24 @@ def pick(values: list, index: Column) -> Column:
 
 
 def process_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One process event per row of ``events``."""
+    """One process event per row of ``events``.
+
+    Event n takes document n, and event ``documents + n`` page n, whatever their templates
+    would be; later events have no document, and pages in turn.
+    """
     e = spread(read_table(spark, sf_dir, "events").drop("value"))
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     n_pages, n_docs = pages.count(), docs.count()  # answered from file footers
 
     eid, uid = F.col("event_id"), F.col("user_id")
-    t_idx = (eid * 3 + uid) % len(TEMPLATES)
+    with_doc, bound = eid < n_docs, eid < n_docs + n_pages
+    t_idx = (F.when(with_doc, pick(DOC_TEMPLATES, eid % len(DOC_TEMPLATES)))
+             .when(bound, pick(URL_TEMPLATES, eid % len(URL_TEMPLATES)))
+             .otherwise((eid * 3 + uid) % len(TEMPLATES)))
     payload_of = pick([t[1] or "" for t in TEMPLATES], t_idx)
-    keyed = e.withColumn("payload_kind", payload_of)
+    keyed = e.withColumn("payload_kind", F.when(with_doc, payload_of).otherwise(
+        F.replace(payload_of, F.lit("doc"), F.lit("props"))))
     # The join keys are spread evenly over the events, so no key is hot; rows
     # whose template holds no such payload match nothing.
     joined = (
@@ -166,7 +177,7 @@ def process_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         guid.alias("ProcessGuid"),
         (F.lit(1000) + eid % 64536).cast("int").alias("ProcessId"),
         image.alias("Image"),
-        F.when(eid % 97 != 0, command).alias("CommandLine"),
+        F.when((eid % 97 != 0) | bound, command).alias("CommandLine"),
         parent.alias("ParentImage"),
         parent_leaf.alias("ParentCommandLine"),
         (F.lit(1000) + (eid * 31) % 64536).cast("int").alias("ParentProcessId"),
