@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
+from procwarden.plans.catalog import CHECKS
 from procwarden.sources.tables import plain_base64, process_events, read_table
 
 
@@ -17,3 +18,18 @@ def test_every_document_and_page_is_bound(spark, folder):
                          (pages, F.col("command").contains(F.col("url")))):
         n = table.count()
         assert n and table.join(commands, "event_id").where(found).count() == n
+
+
+def test_later_events_take_documents_in_turn(spark):
+    """io9_save_stages: a template that asks for a document gets one in every event, as its SQL says."""
+    n_docs = read_table(spark, SMALL, "documents").count()
+    n_pages = read_table(spark, SMALL, "pages").count()
+    later = F.col("event_id") >= n_docs + n_pages
+    texts = read_table(spark, SMALL, "documents").select("doc_id", "text").where("text IS NOT NULL")
+    events = read_table(spark, SMALL, "events").select("event_id", "user_id").where(later)
+    asked = events.where(((F.col("event_id") * 3 + F.col("user_id")) % 23).isin(8, 9) & (F.col("event_id") % 97 != 0))
+    made = process_events(spark, SMALL, every_document=True).select("event_id", "CommandLine")
+    held = asked.join(made, "event_id").join(texts, F.col("doc_id") == F.col("event_id") % n_docs)
+    found = F.col("CommandLine").contains(F.col("text")) | F.col("CommandLine").contains(plain_base64("text"))
+    assert held.where(found).count() == held.count() > 0
+    assert "ELSE 'props'" in CHECKS["u1_verdict"] and "ELSE 'props'" not in CHECKS["io9_save_stages"]
