@@ -8,7 +8,7 @@ from procwarden.operators import ordered
 from procwarden.operators.boundary import _by_value, fit_boundary, kernel_mean, lift, lowest_mean, make_directions
 from procwarden.operators.forest import fit_forest, forest_score
 from procwarden.operators.lookup import lookup_join
-from procwarden.operators.scaling import fit_stats
+from procwarden.operators.scaling import distinct_vectors, fit_stats, row_vectors
 from procwarden.sources import model_store as MS
 
 
@@ -285,3 +285,16 @@ def test_row_at_a_position(spark, monkeypatch):
     same = spark.createDataFrame([(5,)] * 40, "event_id long")
     assert [r[0] for r in ordered.at_position(same, "event_id", 30).collect()] == [5]
     assert ordered.at_position(same.limit(0), "event_id", 0).count() == 0
+
+
+def test_rows_are_fitted_where_they_lie(spark, labelled):
+    """Forest and boundary move no row to merge equal ones; the fit is that of the distinct vectors with counts."""
+    benign = labelled.filter("label = 'benign'")
+    doubled = benign.unionAll(benign.withColumn("event_id", F.col("event_id") + 1000))
+    stats = fit_stats(doubled)
+    rows, merged = row_vectors(doubled, stats), distinct_vectors(doubled, stats)
+    assert rows.count() == stats.rows == merged.agg(F.sum("copies")).first()[0] > merged.count()
+    fitted = [fit_boundary(v, len(stats.columns), 32, steps=4).weights for v in (rows, merged)]
+    assert np.allclose(*fitted, atol=1e-9)
+    again = M.fit_model(doubled, ("boundary",), rff=32, steps=4).boundary.weights
+    assert np.allclose(fitted[1], again, atol=1e-9)
