@@ -1,12 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from procwarden.fixed_values import MODEL_COLUMNS
-from procwarden.functions.text import basename, col, half_even, shannon_entropy
+from procwarden.fixed_values import MODEL_COLUMNS, SUSPICIOUS_FLAGS, WHITESPACE_PATTERN
+from procwarden.functions.text import argument_count, basename, col, flagged_share, half_even, quoted, shannon_entropy
 from procwarden.operators import baseline as BL
 from procwarden.operators import encoders as EN
 from procwarden.operators import features as FE
 from procwarden.operators.clean import fill_text, prepare
+from procwarden.plans.detection import event_facts
 
 CERTUTIL = {
     "Image": "C:\\Windows\\System32\\certutil.exe",
@@ -110,3 +111,25 @@ def test_known_codes_stay(spark):
 def test_fill_text_only_present_columns(spark):
     df = fill_text(spark.createDataFrame([(None, 1)], "Image string, n int"))
     assert df.columns == ["Image", "n"] and df.first()["Image"] == ""
+
+
+ODD_LINES = ["", " ", "a", " -enc  -nop\t", "-enc-nop x", "a　-w hidden\x85b ", "é -decode 😀", "x\x1cy\x1fz", None, "\n-noprofile"]
+
+
+def test_arguments_are_counted_as_split(spark):
+    """In runs of one Arrow batch, against the pattern that splits one line after another."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD_LINES * 3)], "i int, t string").coalesce(1)
+    split = f"filter(split(coalesce(t, ''), {quoted(WHITESPACE_PATTERN)}), a -> a != '')"
+    flagged = " OR ".join(f"contains(a, {quoted(f)})" for f in SUSPICIOUS_FLAGS)
+    rows = df.select("t", argument_count("t").alias("n"), flagged_share("t").alias("share"), col(f"size({split})").alias("want"),
+                     col(f"size(filter({split}, a -> {flagged}))").alias("hits")).collect()
+    assert len(rows) == 3 * len(ODD_LINES)
+    for r in rows:
+        assert r["n"] == r["want"], r
+        assert r["share"] == (round(r["hits"] / r["want"], 4) if r["want"] else 0.0), r
+
+
+def test_no_line_is_split_value_by_value(make_events):
+    """Functions of single arguments are interpreted by Spark, row by row; facts hold none."""
+    facts = event_facts(make_events([CERTUTIL]), keep=["label"])
+    assert "lambdafunction" not in facts._jdf.queryExecution().optimizedPlan().toString().lower()
