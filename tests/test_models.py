@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +7,7 @@ from procwarden.operators import ensemble as M
 from procwarden.operators import neighbours as N
 from procwarden.operators import ordered
 from procwarden.operators.boundary import _by_value, fit_boundary, kernel_mean, lift, lowest_mean, make_directions
-from procwarden.operators.forest import fit_forest, forest_score
+from procwarden.operators.forest import fit_forest, forest_score, mean_path, node_arrays
 from procwarden.operators.lookup import lookup_join
 from procwarden.operators.scaling import distinct_vectors, fit_stats, row_vectors
 from procwarden.sources import model_store as MS
@@ -298,3 +299,37 @@ def test_rows_are_fitted_where_they_lie(spark, labelled):
     assert np.allclose(*fitted, atol=1e-9)
     again = M.fit_model(doubled, ("boundary",), rff=32, steps=4).boundary.weights
     assert np.allclose(fitted[1], again, atol=1e-9)
+
+
+@pytest.mark.parametrize("size", [1, 3, 16])
+def test_nearest_by_groups(monkeypatch, size):
+    """Whatever the groups' size, the nearest are those of all distances, ties by id among them."""
+    monkeypatch.setattr(N, "GROUP", size)
+    rng = np.random.default_rng(5)
+    refs, x, vids = np.round(rng.normal(size=(1000, 3))), np.round(rng.normal(size=(40, 3))), rng.permutation(1000)
+    places, dist = N.nearest(x, refs, vids, 6)
+    for i, row in enumerate(x):
+        every = np.round(np.sqrt(((row - refs) ** 2).sum(axis=1)), N.DIGITS)
+        want = np.lexsort((vids, every))[:6]
+        assert places[i].tolist() == want.tolist() and dist[i].tolist() == every[want].tolist()
+
+
+def test_forest_filled_up_to_one_depth():
+    """A leaf far above the last level keeps its path; before, rows were moved through masks of open nodes."""
+    nodes = pd.DataFrame([(0, 1, 0, 0.5, 0.0), (0, 2, -1, 0.0, 1.5), (0, 3, 1, 2.0, 0.0), (0, 6, -1, 0.0, 2.5), (0, 7, -1, 0.0, 3.5),
+                          (2, 1, -1, 0.0, 9.0)], columns=["tree", "node", "feature", "threshold", "path"])
+    arrays = node_arrays(nodes)
+    assert arrays["levels"] == 3
+    x = np.array([[0.5, 9.0], [0.6, 2.0], [0.6, 2.1]])
+    assert mean_path(x, arrays).tolist() == [5.25, 5.75, 6.25]
+
+
+def test_statistics_over_tasks(spark):
+    """A constant column has no deviation, however its rows are dealt out, and another one its exact moments."""
+    df = spark.range(1000).repartition(7).select(F.lit(0.1).alias("command_line_entropy"), (F.col("id") + 1e6).alias("command_line_length"))
+    stats = fit_stats(df)
+    at = {c: i for i, c in enumerate(stats.columns)}
+    i, j = at["command_line_entropy"], at["command_line_length"]
+    assert (stats.mean[i], stats.std[i], stats.scale[i], stats.rows) == (0.1, 0.0, 1.0, 1000)
+    assert stats.mean[j] == pytest.approx(1000499.5, abs=1e-6) and stats.std[j] == pytest.approx(np.arange(1000).std(), rel=1e-9)
+    assert (stats.low[j], stats.high[j]) == (1e6, 1e6 + 999)
