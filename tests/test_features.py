@@ -1,8 +1,16 @@
+import math
+import re
+from collections import Counter
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from procwarden import fixed_values as V
 from procwarden.fixed_values import MODEL_COLUMNS, SUSPICIOUS_FLAGS, WHITESPACE_PATTERN
-from procwarden.functions.text import argument_count, basename, col, flagged_share, half_even, quoted, shannon_entropy
+from procwarden.functions.text import (
+    argument_count, argument_counts, basename, col, contains_any, entropies, flagged_share, half_even, quoted, shannon_entropy,
+)
 from procwarden.operators import baseline as BL
 from procwarden.operators import encoders as EN
 from procwarden.operators import features as FE
@@ -133,3 +141,40 @@ def test_no_line_is_split_value_by_value(make_events):
     """Functions of single arguments are interpreted by Spark, row by row; facts hold none."""
     facts = event_facts(make_events([CERTUTIL]), keep=["label"])
     assert "lambdafunction" not in facts._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+TEXTS = [
+    "", "x -enc", "x -ENC\tQQ", "x -encq", "-enc\n", "curl http://10.0.0.1/a", "HtTpS://é", "httpſ://x", "http:/x", "1.2.3.4", "a1.2.3.4",
+    "1.2.3.4é", "日1.2.3.4", "١.٢.٣.٤", "1..2.3.4", "1.2.3.4444 5.6.7.8", "a.b.c.d", "A" * 39, "é" + "A/+9" * 10 + "==", "A" * 39 + " A",
+    "IEX(new)", "WGET DownloadFile", "-split -f", "　-nop　", "a b c d​e", "İ -Nop K", "日本 -hidden\u0085x",
+]
+
+
+def test_text_flags_are_those_of_plain_search(make_events):
+    asked = ["contains_url", "contains_ip_address", "has_base64_pattern", "has_suspicious_flag", "has_encoded_command",
+             "has_download_indicator"]
+    df = prepare(make_events([{"CommandLine": t} for t in TEXTS]))
+    flags = [V.SUSPICIOUS_FLAGS, ["-enc ", "-enc\t", "-encodedcommand"], V.DOWNLOAD_INDICATORS]
+    plain = [f"rlike(CommandLine, {quoted(p)})" for p in (V.URL_PATTERN, V.IP_PATTERN, V.BASE64_PATTERN)]
+    plain += [contains_any("_cmd", f) for f in flags]
+    plain[4] += " OR endswith(_cmd, '-enc')"
+    rows = FE.row_features(df, asked).select("CommandLine", F.array(*asked).alias("got"), F.array(*[
+        F.expr(f"cast({p} AS int)") for p in plain]).alias("wanted")).collect()
+    assert [(r["CommandLine"], r["got"]) for r in rows] == [(r["CommandLine"], r["wanted"]) for r in rows]
+    assert all(sum(r["got"][i] for r in rows) for i in range(len(asked)))
+
+
+def test_arguments_and_entropy_of_wide_texts():
+    texts = [*TEXTS, None, "a" * 3 + "\U0010ffff", ""]
+    wanted = [len((t or "").split()) for t in texts]
+    assert argument_counts(pa.array(texts)).tolist() == wanted
+    assert argument_counts(pa.array(["cut", *texts])[1:]).tolist() == wanted
+    bits = [-sum(n / len(t) * math.log2(n / len(t)) for n in Counter(t).values()) if t else 0.0 for t in texts]
+    assert entropies(pa.array(texts)).tolist() == pytest.approx(bits, abs=6e-5)
+
+
+def test_facts_read_a_command_line_few_times(make_events):
+    """A text is lowered once, and no pattern that goes back over it at every place is searched by the JVM."""
+    plan = event_facts(make_events([CERTUTIL]), keep=["label"])._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"lower\(CommandLine", plan)) == 1
+    assert "{40,}" not in plan
