@@ -1,5 +1,7 @@
 """The binding of the given tables to process events."""
 
+import base64
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,3 +35,10 @@ def test_later_events_take_documents_in_turn(spark):
     found = F.col("CommandLine").contains(F.col("text")) | F.col("CommandLine").contains(plain_base64("text"))
     assert held.where(found).count() == held.count() > 0
     assert "ELSE 'props'" in CHECKS["u1_verdict"] and "ELSE 'props'" not in CHECKS["io9_save_stages"]
+
+
+def test_base64_has_no_breaks(spark):
+    texts = ["", "a", "é😀" * 100, "\r\n" * 90, "x" * 5000]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select("text", plain_base64("text").alias("coded"))
+    assert [r["coded"] for r in df.collect()] == [base64.b64encode(t.encode()).decode() for t in texts]
+    assert "translate(" not in df._jdf.queryExecution().optimizedPlan().toString()  # slow: it looks every character up
