@@ -2,12 +2,14 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from procwarden import fixed_values as V
 from procwarden.fixed_values import MODEL_COLUMNS, SUSPICIOUS_FLAGS, WHITESPACE_PATTERN
+from procwarden.functions import text as TX
 from procwarden.functions.text import (
     argument_count, argument_counts, basename, col, contains_any, entropies, flagged_share, half_even, quoted, shannon_entropy,
 )
@@ -178,3 +180,18 @@ def test_facts_read_a_command_line_few_times(make_events):
     plan = event_facts(make_events([CERTUTIL]), keep=["label"])._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"lower\(CommandLine", plan)) == 1
     assert "{40,}" not in plan
+
+
+def test_entropy_decodes_wide_characters_only(monkeypatch):
+    """Bytes are counted as they are; only those beyond ASCII are decoded, in long texts and short ones."""
+    texts = ["", None, "a", "é", "aé日😀" * 300, "x" * 5000, "ab é\u3000-" * 90 + "😀", "plain", "日本" * 2, "é" + "b" * 900]
+    want = []
+    for t in texts:
+        counts = Counter(t or "")
+        want.append(round(-sum(n / len(t) * math.log2(n / len(t)) for n in counts.values()), 4) + 0.0 if t else 0.0)
+    for size in (0, TX.LONG_BYTES, 10**9):
+        monkeypatch.setattr(TX, "LONG_BYTES", size)
+        assert TX.entropies(pa.array(texts)).tolist() == want
+    raw, ends = np.frombuffer("aéb日".encode(), np.uint8), np.array([0, 3, 7])
+    text, number = TX.wide_counts(raw, ends)
+    assert text.tolist() == [0, 1] and number.tolist() == [1, 1]

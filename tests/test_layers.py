@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 from procwarden.operators import chains as C
 from procwarden.operators import evaluation as E
 from procwarden.operators import reporting as RP
+from procwarden.operators.clean import prepare
 from procwarden.operators.fusion import fuse
+from procwarden.plans.detection import event_facts
 
 
 def chain(make_events, **event):
@@ -103,3 +105,16 @@ def test_empty_table_is_safe(graded):
 def test_histogram_ends(graded):
     got = RP.score_histogram(graded[0].withColumn("label", F.lit("x"))).agg(F.max("bin"), F.sum("events")).first()
     assert got[0] == 39 and got[1] == 60
+
+
+def test_facts_tell_chains_without_reading_texts_again(make_events):
+    """p07_analyst_filter and all queries of ``detected``: a chain's tests come from the pass that makes the features."""
+    lines = ["x", "a HTTP://b", "x https:/", "-ENC abc", "x -enc", "-enc\tx", "-EncodedCommand", "-Nop", "-w hidden http://a -enc b", None]
+    times = ["2024-07-01T03:00:00.000Z", "2024-07-01T12:00:00.000Z", "bad-time", None]
+    paths = ["C:\\a\\WINWORD.EXE", "C:/b/certutil.exe", "C:\\c/powershell.exe", None]
+    events = make_events([{"CommandLine": c, "UtcTime": t, "Image": i, "ParentImage": paths[0]} for c in lines for t in times for i in paths])
+    facts = event_facts(events, keep=["label"])
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    assert "https?://" not in plan and "_encoded" not in facts.columns and plan.count("ArrowEvalPython") == 1
+    apart = {r["event_id"]: r["_chain"] for r in C.chain_codes(prepare(events)).collect()}
+    assert {r["event_id"]: r["_chain"] for r in facts.collect()} == apart and len(set(apart.values())) > 10
