@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 from procwarden.operators import ensemble as M
 from procwarden.operators import neighbours as N
 from procwarden.operators import ordered
-from procwarden.operators.boundary import _by_value, fit_boundary, kernel_mean, lift, lowest_mean, make_directions
+from procwarden.operators.boundary import (
+    LIFTED, _by_value, boundary_score, fit_boundary, kernel_mean, lift, lowest_mean, make_directions, slices,
+)
 from procwarden.operators.forest import fit_forest, forest_score, mean_path, node_arrays
 from procwarden.operators.lookup import lookup_join
 from procwarden.operators.scaling import distinct_vectors, fit_stats, row_vectors
+from procwarden.session import step_tables
 from procwarden.sources import model_store as MS
 
 
@@ -333,3 +336,30 @@ def test_statistics_over_tasks(spark):
     assert (stats.mean[i], stats.std[i], stats.scale[i], stats.rows) == (0.1, 0.0, 1.0, 1000)
     assert stats.mean[j] == pytest.approx(1000499.5, abs=1e-6) and stats.std[j] == pytest.approx(np.arange(1000).std(), rel=1e-9)
     assert (stats.low[j], stats.high[j]) == (1e6, 1e6 + 999)
+
+
+def test_two_passes_write_no_vectors(spark, labelled):
+    """m08_kernel_mean and all queries of ``detected``: the kernel mean is fitted without a second table of the rows."""
+    benign = labelled.filter("label = 'benign'")
+    with step_tables(spark) as steps:
+        plain = M.fit_model(benign, ("boundary",), rff=32, steps=0)
+        assert not steps.paths
+        vectors = row_vectors(benign, plain.stats)
+        assert len(steps.paths) == 1
+        written = fit_boundary(vectors, len(plain.stats.columns), 32, steps=0)
+        low, high = vectors.agg(F.min(boundary_score(written, F.col("x"))), F.max(boundary_score(written, F.col("x")))).first()
+    assert np.allclose(plain.boundary.weights, written.weights, atol=1e-12)
+    assert np.allclose(plain.ranges["boundary"], (low, high), atol=1e-12)
+
+
+def test_rows_are_lifted_in_slices(spark):
+    """No more than ``LIFTED`` rows are lifted at once, and every row gets its own score."""
+    x = np.random.default_rng(3).normal(size=(2 * LIFTED + 5, 4))
+    b = make_directions(4, 16)
+    b.weights = np.linspace(-1, 1, 16)
+    df = spark.createDataFrame([(v.tolist(), 1) for v in x], "x array<double>, copies long").coalesce(1)
+    want = -(np.sqrt(2 / 16) * np.cos(x @ b.directions + b.phases) @ b.weights)
+    got = [r[0] for r in df.select(boundary_score(b, F.col("x"))).collect()]
+    np.testing.assert_allclose(got, want, atol=1e-12)
+    assert [s.stop - s.start for s in slices(x)] == [LIFTED] * 3
+    np.testing.assert_allclose(kernel_mean(df, b).weights, lift(x, b).mean(axis=0), atol=1e-12)
