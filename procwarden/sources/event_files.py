@@ -117,12 +117,12 @@ def read_label(spark: SparkSession, path: str, label: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("label") == label)
 
 
-def save_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write a stage or result table as parquet or CSV."""
+def save_table(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
+    """Write a stage or result table as parquet or CSV; ``options`` are those of the format."""
     if fmt == "csv":
         write_csv(df, path)
     else:
-        df.write.mode("overwrite").format(fmt).save(path)
+        df.write.mode("overwrite").format(fmt).options(**options).save(path)
 
 
 def save_results(df: DataFrame, path: str, fmt: str = "parquet") -> None:

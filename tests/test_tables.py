@@ -5,8 +5,11 @@ import base64
 import pytest
 from pyspark.sql import functions as F
 
+from check import compare, connect
 from conftest import SMALL
+from procwarden.plans import catalog
 from procwarden.plans.catalog import CHECKS
+from procwarden.schema import COMMAND_LINES, KEYED_EVENT_SCHEMA
 from procwarden.sources.tables import plain_base64, process_events, read_table
 
 
@@ -42,3 +45,24 @@ def test_base64_has_no_breaks(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string").select("text", plain_base64("text").alias("coded"))
     assert [r["coded"] for r in df.collect()] == [base64.b64encode(t.encode()).decode() for t in texts]
     assert "translate(" not in df._jdf.queryExecution().optimizedPlan().toString()  # slow: it looks every character up
+
+
+def test_stages_hold_command_lines_once(spark, monkeypatch):
+    """io9_save_stages: every stage has all events and their columns, and one of them the command lines."""
+    written, kept = {}, catalog.IO.save_table
+
+    def save(df, path, *args, **options):
+        kept(df, path, *args, **options)
+        written[path.rsplit("/", 1)[1]] = spark.read.parquet(path)
+
+    monkeypatch.setattr(catalog.IO, "save_table", save)
+    assert compare(spark, connect(SMALL), "io9_save_stages", SMALL) == "ok"
+    assert list(written) == ["features", "rules", "scored", "chains"]
+    rest = {*KEYED_EVENT_SCHEMA.names} - {*COMMAND_LINES}
+    before = rest
+    for name, table in written.items():
+        assert table.count() == 1000 and before <= {*table.columns} and "_cmd" not in table.columns
+        assert not {*COMMAND_LINES} & {*table.columns} or name == "features"
+        before = before | {*table.columns} - {*COMMAND_LINES, *catalog.C.TESTS}
+    events = process_events(spark, SMALL, every_document=True).select("event_id", F.coalesce("CommandLine", F.lit("")))
+    assert written["features"].select("event_id", "CommandLine").exceptAll(events).isEmpty()
