@@ -9,9 +9,10 @@ from procwarden.operators import ordered
 from procwarden.operators.boundary import (
     LIFTED, _by_value, boundary_score, fit_boundary, kernel_mean, lift, lowest_mean, make_directions, slices,
 )
-from procwarden.operators.forest import fit_forest, forest_score, mean_path, node_arrays
+from procwarden.operators.forest import draw_samples, fit_forest, forest_score, mean_path, node_arrays
 from procwarden.operators.lookup import lookup_join
 from procwarden.operators.scaling import distinct_vectors, fit_stats, row_vectors
+from procwarden.plans.catalog import CHECKS
 from procwarden.session import step_tables
 from procwarden.sources import model_store as MS
 
@@ -94,6 +95,44 @@ def test_events_do_not_move(spark, labelled):
     assert "Exchange" not in plan and "Join" not in plan
 
 
+def many_rows(spark, n=12_000):
+    """Benign rows, more than a bounded reference or a pool of the trees would hold."""
+    rng = np.random.default_rng(9)
+    rows = zip(range(n), rng.integers(20, 400, n).tolist(), np.round(rng.normal(4, 0.5, n), 4).tolist(), rng.integers(0, 24, n).tolist())
+    return spark.createDataFrame([*rows], "event_id long, command_line_length int, command_line_entropy double, hour_of_day int")
+
+
+@pytest.mark.parametrize("block_bytes", [N.BLOCK_BYTES, 200_000])
+def test_density_is_fitted_on_all_rows(spark, monkeypatch, block_bytes):
+    """The ensemble's density and the range of its scores, against all pairs of all benign rows."""
+    monkeypatch.setattr(N, "BLOCK_BYTES", block_bytes)
+    rows = many_rows(spark)
+    model = M.fit_model(rows, parts=("lof",), neighbours=5)
+    assert model.lof.refs.agg(F.sum("copies")).first()[0] == 12_000
+    known = model.lof.refs.orderBy("vid").toPandas()
+    x = np.stack(known["x"].to_numpy())
+    distances = [all_distances(x[i:i + 500], x) for i in range(0, len(x), 500)]
+    nearest = np.concatenate([np.argsort(d, axis=1, kind="stable")[:, :6] for d in distances])
+    copies = known["copies"].to_numpy()
+    assert (copies == 1).all()
+    dist = np.concatenate([np.sort(d, axis=1)[:, :6] for d in distances])
+    kdist = dist[:, 5]
+    np.testing.assert_array_equal(known["kdist"], kdist)
+    density = 1 / (np.maximum(dist[:, 1:], kdist[nearest[:, 1:]]).mean(axis=1) + 1e-10)
+    np.testing.assert_allclose(known["density"], density, rtol=1e-9)
+    factors = density[nearest[:, :5]].mean(axis=1) * (np.maximum(dist[:, :5], kdist[nearest[:, :5]]).mean(axis=1) + 1e-10)
+    np.testing.assert_allclose(model.ranges["lof"], (factors.min(), factors.max()), rtol=1e-9)
+
+
+def test_trees_draw_from_all_rows(spark):
+    """m11_ensemble: the trees' samples are of all rows, in code and SQL; a pool is asked for by name."""
+    rows = spark.range(4000).select(F.col("id").alias("event_id"), F.array(F.col("id").cast("double")).alias("x"))
+    seen = [draw_samples(rows, 4000, 100, 16, 42, pool_samples=p).select("event_id").distinct().count() for p in (None, 64)]
+    assert seen[0] > 2000 > 1200 > seen[1]
+    for key, cut in (("m11_ensemble", False), ("m05_forest_score", True), ("m06_outlier_factor", True)):
+        assert ("'pool:" in CHECKS[key] or "'density:" in CHECKS[key]) == cut
+
+
 def test_several_blocks_score_events_alike(spark, labelled, monkeypatch):
     model = M.fit_model(labelled.filter("label = 'benign'"), trees=10, steps=2, rff=32, neighbours=5)
     one = {r.event_id: r.ml_anomaly_score for r in M.score(labelled, model).collect()}
