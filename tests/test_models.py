@@ -125,11 +125,11 @@ def test_density_is_fitted_on_all_rows(spark, monkeypatch, block_bytes):
 
 
 def test_trees_draw_from_all_rows(spark):
-    """m11_ensemble: the trees' samples are of all rows, in code and SQL; a pool is asked for by name."""
+    """m11_ensemble, u4_detect_full_ensemble: the trees' samples are of all rows, in code and SQL; a pool is asked for by name."""
     rows = spark.range(4000).select(F.col("id").alias("event_id"), F.array(F.col("id").cast("double")).alias("x"))
     seen = [draw_samples(rows, 4000, 100, 16, 42, pool_samples=p).select("event_id").distinct().count() for p in (None, 64)]
     assert seen[0] > 2000 > 1200 > seen[1]
-    for key, cut in (("m11_ensemble", False), ("m05_forest_score", True), ("m06_outlier_factor", True)):
+    for key, cut in (("m11_ensemble", False), ("u4_detect_full_ensemble", False), ("m05_forest_score", True), ("m06_outlier_factor", True)):
         assert ("'pool:" in CHECKS[key] or "'density:" in CHECKS[key]) == cut
 
 
