@@ -111,11 +111,14 @@ def test_density_is_fitted_on_all_rows(spark, monkeypatch, block_bytes):
     assert model.lof.refs.agg(F.sum("copies")).first()[0] == 12_000
     known = model.lof.refs.orderBy("vid").toPandas()
     x = np.stack(known["x"].to_numpy())
-    distances = [all_distances(x[i:i + 500], x) for i in range(0, len(x), 500)]
-    nearest = np.concatenate([np.argsort(d, axis=1, kind="stable")[:, :6] for d in distances])
-    copies = known["copies"].to_numpy()
-    assert (copies == 1).all()
-    dist = np.concatenate([np.sort(d, axis=1)[:, :6] for d in distances])
+    assert (known["copies"] == 1).all()
+    found = []
+    for i in range(0, len(x), 500):
+        d = all_distances(x[i:i + 500], x)
+        some = np.sort(np.argpartition(d, 40, axis=1)[:, :40], axis=1)
+        found.append(np.take_along_axis(some, np.argsort(np.take_along_axis(d, some, 1), axis=1, kind="stable")[:, :6], 1))
+    nearest = np.concatenate(found)
+    dist = np.stack([all_distances(x[i:i + 1], x[near])[0] for i, near in enumerate(nearest)])
     kdist = dist[:, 5]
     np.testing.assert_array_equal(known["kdist"], kdist)
     density = 1 / (np.maximum(dist[:, 1:], kdist[nearest[:, 1:]]).mean(axis=1) + 1e-10)
@@ -142,6 +145,18 @@ def test_several_blocks_score_events_alike(spark, labelled, monkeypatch):
         assert r.ml_anomaly_score == pytest.approx(one[r.event_id], abs=1e-9)
 
 
+def test_own_vectors_are_not_searched_for_again(spark, labelled, monkeypatch):
+    """Several blocks: only vectors that the model does not know are searched for, and factors are those of a full search."""
+    monkeypatch.setattr(N, "BLOCK_BYTES", 4000)
+    model = M.fit_model(labelled.filter("label = 'benign'"), parts=("lof",), neighbours=5)
+    vectors, asked, near = distinct_vectors(labelled, model.stats), [], N._near
+    monkeypatch.setattr(N, "_near", lambda queries, *rest: asked.append(queries.count()) or near(queries, *rest))
+    some = {r.vid: r.lof for r in N.outlier_factors(vectors, model.lof).collect()}
+    every = {r.vid: r.lof for r in N.outlier_factors(vectors.select("vid", "x"), model.lof).collect()}
+    assert model.lof.blocks > 1 and asked == [vectors.count() - model.lof.rows, vectors.count()]
+    assert some.keys() == every.keys() and all(some[v] == pytest.approx(every[v], rel=1e-12) for v in every)
+
+
 def test_forest_does_not_depend_on_partitions(spark):
     df, x, _ = points(spark, 400)
     rows = df.select(F.col("vid").alias("event_id"), "x")
